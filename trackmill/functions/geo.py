@@ -23,18 +23,12 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, mode: st
         lat1, lon1, lat2, lon2 = (c * ASIN_PI / 180 for c in (lat1, lon1, lat2, lon2))
         half_lat, half_lon = F.abs(lat2 - lat1) / 2, F.abs(lon2 - lon1) / 2
         a = F.pow(F.sin(half_lat), 2) + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin(half_lon), 2)
-        return F.asin(F.sqrt(_at_most_one(a))) * 2 * ASIN_RADIUS_M
+        return F.asin(F.sqrt(a)) * 2 * ASIN_RADIUS_M
     if mode == "atan2":
         half_lat = (lat2 - lat1) * math.pi / 180.0 / 2
         half_lon = (lon2 - lon1) * math.pi / 180.0 / 2
         cosines = F.cos(lat1 * math.pi / 180.0) * F.cos(lat2 * math.pi / 180.0)
-        a = _at_most_one(
-            F.sin(half_lat) * F.sin(half_lat) + cosines * F.sin(half_lon) * F.sin(half_lon)
-        )
+        a = F.sin(half_lat) * F.sin(half_lat) + cosines * F.sin(half_lon) * F.sin(half_lon)
         return F.atan2(F.sqrt(a), F.sqrt(1 - a)) * 2 * ATAN2_RADIUS_KM * 1000
     raise ValueError(f"unknown mode: {mode}")
 
-
-def _at_most_one(a: Column) -> Column:
-    # Rounding can lift the haversine of opposite points above 1; null stays null.
-    return F.when(a > 1, F.lit(1.0)).otherwise(a)
