@@ -1,19 +1,17 @@
 """Live speed per vehicle: distance and time since the vehicle's last point.
 
 Every micro-batch is an ordinary frame. The last point of every vehicle is kept in
-a table, one folder per batch, and joins the next batch as the row before its
-first point. So the speeds are the batch operators' own, a vehicle that sends a
-large part of a batch is cut into pieces like a long trajectory, and a repeated
-batch replaces its own output.
+a table and joins the next batch as the row before its first point. So the speeds
+are the batch operators' own, a vehicle that sends a large part of a batch is cut
+into pieces like a long trajectory, and a repeated batch replaces its own output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackmill.functions.times import seconds
 from trackmill.operators.ordered import MAX_ROWS_PER_TASK, plain
 from trackmill.operators.trajectory import KEY, distance, number_points, time_gap
 
@@ -22,19 +20,63 @@ POINT = (KEY, "ts", "seq", "lat", "lon")
 
 def latest_points(points: DataFrame) -> DataFrame:
     """The newest point of every vehicle, combined before the shuffle."""
-    others = F.struct(*POINT[1:])
-    return points.groupBy(KEY).agg(F.max(others).alias("p")).select(KEY, "p.*")
+    newest = F.max(F.struct(*POINT[1:])).alias("p")
+    return points.groupBy(KEY).agg(newest).select(KEY, "p.*")
 
 
-def speeds_after(batch: DataFrame, last: DataFrame, max_rows: int | None = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Speeds of a batch of points, given the last earlier point of each vehicle.
+def speeds_after(
+    batch: DataFrame, last: DataFrame | None, max_rows: int | None = MAX_ROWS_PER_TASK
+) -> DataFrame:
+    """``dist_m``, ``gap_s`` and ``speed`` of points, given the last earlier point of each vehicle.
 
-    A vehicle's first point ever has speed 0. A point that comes ``late``, before its
-    vehicle's last earlier one, is kept without speed.
+    A vehicle's first point ever has speed 0. A point that comes ``late``, not after
+    its vehicle's last earlier one, is kept without values.
     """
-    known = F.broadcast(last) if False else last
-    seen = known.select(KEY, F.struct("ts", "seq").alias("_last"))
-    placed = batch.select(*POINT).join(seen, KEY, "left")
-    placed = placed.withColumn("late", F.coalesce(F.struct("ts", "seq") <= F.col("_last"), F.lit(False)))
-    placed = placed.drop("_last").withColumn("_old", F.lit(False))
-    return placed
+    points = batch.select(*POINT)
+    if last is None:
+        fresh, late = points.withColumn("_old", F.lit(False)), None
+    else:
+        seen = last.select(KEY, F.struct("ts", "seq").alias("_seen"))
+        placed = points.join(seen, KEY, "left")
+        is_late = F.coalesce(F.struct("ts", "seq") <= F.col("_seen"), F.lit(False))
+        late = placed.filter(is_late).drop("_seen")
+        fresh = placed.filter(~is_late).drop("_seen").withColumn("_old", F.lit(False))
+        fresh = fresh.unionByName(last.select(*POINT, F.lit(True).alias("_old")))
+    df = distance(time_gap(number_points(fresh, max_rows)), "atan2")
+    speed = F.when(F.col("id") > 0, F.try_divide("dist_m", "gap_s")).otherwise(0.0)
+    df = plain(df).filter(~F.col("_old")).withColumn("speed", speed).withColumn("late", F.lit(False))
+    df = df.drop("_old", "id", "is_last")
+    if late is None:
+        return df
+    empty = {name: F.lit(None).cast("double") for name in ("gap_s", "dist_m", "speed")}
+    return df.unionByName(late.withColumns(empty | {"late": F.lit(True)}))
+
+
+def start_vehicle_speeds(
+    points: DataFrame,
+    path: str,
+    state: str,
+    checkpoint: str,
+    every: str | None = None,
+    max_rows: int | None = MAX_ROWS_PER_TASK,
+) -> StreamingQuery:
+    """Write the speeds of every batch to ``path``, one folder per batch.
+
+    ``state`` holds the last points of two batches in turn: a batch that is run again
+    finds what it found before. Without ``every`` the query takes all there is and ends.
+    """
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select(*POINT).persist()
+        known, last = batch, None
+        if batch_id > 0:
+            last = batch.sparkSession.read.schema(batch.schema).parquet(f"{state}/{(batch_id - 1) % 2}")
+            known = last.unionByName(batch)
+        speeds = speeds_after(batch, last, max_rows)
+        speeds.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        latest_points(known).write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
+        batch.unpersist()
+
+    writer = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
