@@ -15,6 +15,12 @@ def seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / 1e6
 
 
+def seconds_between(newer: Column, older: Column) -> Column:
+    """Seconds between two timestamps, exact to the microsecond."""
+    newer, older = newer.cast("timestamp"), older.cast("timestamp")
+    return (F.unix_micros(newer) - F.unix_micros(older)) / 1e6
+
+
 def day_serial(ts: Column) -> Column:
     """Fractional days since 1899-12-30."""
     return seconds(ts) / SECONDS_PER_DAY + EPOCH_DAY_SERIAL

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmill.functions.geo import haversine_m
-from trackmill.functions.times import day_serial_gap, seconds
+from trackmill.functions.times import day_serial_gap, seconds_between
 from trackmill.operators.ordered import (
     MAX_ROWS_PER_TASK,
     beyond_piece,
@@ -24,9 +24,12 @@ from trackmill.operators.ordered import (
 )
 
 KEY, ORDER = "traj_id", ("ts", "seq")
-STOP_SPEED = 0.4
 UP, DOWN = 1, -1
+# The speed in m/s below which a vehicle stands, and the report texts.
+STOP_SPEED = 0.4
 UP_LABEL, DOWN_LABEL = "加速", "减速"
+STOP_LINE = "第%d个轨迹点,为车辆停留点,时刻为%s,速度为%sm/s"
+INTERVAL_LINE = "第%d个轨迹点,处于第%d个区间,该区间为%s区间,时刻为%s,速度为%sm/s"
 # The run markers of a point look at four points before it and two after it.
 _BEFORE, _AFTER = 4, 2
 
@@ -42,7 +45,7 @@ def number_points(points: DataFrame, max_rows: int | None = MAX_ROWS_PER_TASK) -
 
 def time_gap(df: DataFrame) -> DataFrame:
     """Add ``gap_s``, seconds since the previous point, 0 for the first."""
-    passed = seconds(F.col("ts")) - seconds(F.lag("ts").over(_window(df)))
+    passed = seconds_between(F.col("ts"), F.lag("ts").over(_window(df)))
     return df.withColumn("gap_s", F.coalesce(passed, F.lit(0.0)))
 
 
@@ -140,8 +143,7 @@ def stop_list(df: DataFrame) -> DataFrame:
     """The stop points with their speed rounded to 5 digits and a line of text."""
     stops = own_rows(df).filter(F.col("stop") == 1)
     return stops.select(KEY, "id", "ts", F.round("speed", 5).alias("speed")).withColumn(
-        "line",
-        F.format_string("第%d个轨迹点,为车辆停留点,时刻为%s,速度为%sm/s", "id", F.col("ts").cast("string"), "speed"),
+        "line", F.format_string(STOP_LINE, "id", F.col("ts").cast("string"), "speed")
     )
 
 
@@ -174,10 +176,7 @@ def interval_list(rows: DataFrame) -> DataFrame:
     listed = rows.select(KEY, "id", "range_index", label.alias("label"), "ts", F.round("speed", 5).alias("speed"))
     return listed.filter(F.col("label").isNotNull()).withColumn(
         "line",
-        F.format_string(
-            "第%d个轨迹点,处于第%d个区间,该区间为%s区间,时刻为%s,速度为%sm/s",
-            "id", "range_index", "label", F.col("ts").cast("string"), "speed",
-        ),
+        F.format_string(INTERVAL_LINE, "id", "range_index", "label", F.col("ts").cast("string"), "speed"),
     )
 
 
