@@ -1,15 +1,19 @@
 """Ordered computations per key, for keys of any size.
 
 A window over a key runs in one task. That is the best plan while every key is
-small. A key that may hold a large part of all rows is cut into pieces instead:
+small. When a key may hold a large part of all rows, the rows are cut into pieces:
 
-* rows are range-partitioned on (key, order) and written once, which fixes the
+* they are range-partitioned on (key, order) and written once, which settles the
   piece of every row; pieces have about equal size whatever the keys are;
-* windows then group by piece. Rows next to a piece are copied into it as halo
-  rows, so ``lag`` and ``lead`` see their neighbours;
+* windows then group by piece. The neighbours of a piece are copied into it as halo
+  rows, so ``lag`` and ``lead`` see them;
 * running totals add what the earlier pieces of the key came to, taken from one
   summary row per piece.
 
+A piece number covers a range, so at most two of its keys go on in other pieces: the
+first and the last. Only those need halo rows and summaries, which bounds what is
+broadcast by twice the number of pieces.
+
 Operators use ``grouping`` and ``order_window`` and so work on both layouts.
 """
 
@@ -23,9 +27,10 @@ from pyspark.sql import functions as F
 
 from trackmill.session import checkpointed
 
-PIECE, HALO = "_piece", "_halo"
-_SPOT, _FIRST, _ROWS, _BASE, _TOTAL = "_spot", "_first_spot", "_piece_rows", "_base", "_key_rows"
-MAX_ROWS_PER_TASK = 5_000_000
+# Piece of a row; whether its key goes on in other pieces; whether it is a copy.
+PIECE, CUT, HALO = "_piece", "_cut", "_halo"
+_SPOT, _FIRST, _ROWS, _BASE, _SHIFT = "_spot", "_first_spot", "_piece_rows", "_base", "_shift"
+MAX_ROWS_PER_TASK = 10_000_000
 
 
 def is_cut(df: DataFrame) -> bool:
@@ -47,7 +52,7 @@ def number_rows(
     key: str,
     order: Sequence[str],
     before: int = 0,
-    after: int = 0,
+    after: int = 1,
     max_rows: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``id`` (from 0, per key) and ``is_last``.
@@ -57,21 +62,24 @@ def number_rows(
     ``after`` halo rows; ``own_rows`` and ``plain`` take these out again. With
     ``max_rows=None`` keys are taken to be small and are not counted first.
     """
+    shift = F.lit(0)
     if max_rows is not None:
-        sizes = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
-        if sizes[0] is not None and sizes[0] > max_rows:
-            return _number_pieces(df, key, order, before, after, ceil(sizes[1] / max_rows))
-    in_order = Window.partitionBy(key).orderBy(*order)
+        largest, total = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
+        if largest is not None and largest > max_rows:
+            df = _in_pieces(df, key, order, before, max(after, 1), ceil(total / max_rows))
+            shift = F.col(_SHIFT)
+    in_order = order_window(df, key, order)
     # The last row has no next one; counting the key would be a second window.
     return df.withColumns(
         {
-            "id": F.row_number().over(in_order).cast("bigint") - 1,
+            "id": F.row_number().over(in_order).cast("bigint") - 1 + shift,
             "is_last": F.lead(F.lit(1)).over(in_order).isNull(),
         }
-    )
+    ).drop(_SHIFT)
 
 
-def _number_pieces(df, key, order, before, after, n_pieces):
+def _in_pieces(df, key, order, before, after, n_pieces):
+    """Rows with their piece, halo rows, and ``_shift`` from place in piece to place in key."""
     # The piece names its key too, as a struct: a null key is then an ordinary value
     # in joins, and one column is enough to group by.
     spread = (
@@ -87,37 +95,38 @@ def _number_pieces(df, key, order, before, after, n_pieces):
         spread.groupBy(PIECE)
         .agg(F.min(_SPOT).alias(_FIRST), F.count("*").alias(_ROWS))
         .withColumn(_BASE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
-        .withColumn(_TOTAL, F.sum(_ROWS).over(of_key))
-    )
-    place = F.col(_SPOT) - F.col(_FIRST)
-    numbered = spread.join(pieces, PIECE).withColumn("id", F.col(_BASE) + place)
-    numbered = numbered.withColumn("is_last", F.col("id") == F.col(_TOTAL) - 1)
-    result = numbered.withColumn(HALO, F.lit(False))
-    bounds = pieces.select(
-        F.col(PIECE).alias("_into"),
-        F.struct(F.col(f"{PIECE}.key"), F.col(_BASE).alias("id")).alias("_starts"),
-        F.struct(F.col(f"{PIECE}.key"), (F.col(_BASE) + F.col(_ROWS) - 1).alias("id")).alias("_ends"),
+        .withColumn(CUT, F.count("*").over(of_key) > 1)
+        .filter(CUT)
+        .withColumn(_SHIFT, F.col(_BASE) - F.least(F.col(_BASE), F.lit(before)))
     )
-    if before:
-        last_rows = numbered.filter(place >= F.col(_ROWS) - before)
-        result = result.unionByName(_copied(last_rows, bounds, "_starts", range(1, before + 1)))
-    if after:
-        first_rows = numbered.filter(place < after)
-        result = result.unionByName(_copied(first_rows, bounds, "_ends", range(-after, 0)))
-    return result.drop(_SPOT, _FIRST, _ROWS, _BASE, _TOTAL)
-
-
-def _copied(rows, bounds, bound, distances):
-    """Edge rows, once for every piece whose bound lies at one of the distances."""
-    near = F.explode(F.array(*[F.lit(d) for d in distances]))
-    reached = F.struct(F.col(f"{PIECE}.key"), (F.col("id") + F.col("_distance")).alias("id"))
-    copies = rows.withColumn("_distance", near).withColumn(bound, reached)
-    return (
-        copies.join(bounds.select("_into", bound), bound)
-        .withColumn(PIECE, F.col("_into"))
-        .withColumn(HALO, F.lit(True))
-        .drop("_into", "_distance", bound)
+    joined = spread.join(F.broadcast(pieces.select(PIECE, CUT, _SHIFT)), PIECE, "left")
+    rows = joined.withColumns(
+        {
+            CUT: F.coalesce(CUT, F.lit(False)),
+            _SHIFT: F.coalesce(_SHIFT, F.lit(0)),
+            HALO: F.lit(False),
+        }
+    ).drop(_SPOT)
+    return rows.unionByName(_halo_rows(spread, pieces, before, after).select(rows.columns))
+
+
+def _halo_rows(spread, pieces, before, after):
+    """Rows at the ends of pieces, once for every piece they are close enough to."""
+
+    def place(side, offset):
+        return F.struct(F.lit(side).alias("side"), F.col(f"{PIECE}.key"), offset.alias("id"))
+
+    starts = pieces.select(place("start", F.col(_BASE)).alias("_at"), F.col(PIECE).alias("_into"), _SHIFT)
+    ends = pieces.select(
+        place("end", F.col(_BASE) + F.col(_ROWS) - 1).alias("_at"), F.col(PIECE).alias("_into"), _SHIFT
     )
+    spot = F.col(_SPOT) - F.col(_FIRST)
+    near = spread.join(F.broadcast(pieces.select(PIECE, _FIRST, _ROWS, _BASE)), PIECE)
+    near = near.filter((spot < after) | (spot >= F.col(_ROWS) - before)).withColumn("_id", F.col(_BASE) + spot)
+    reached = [place("start", F.col("_id") + d) for d in range(1, before + 1)]
+    reached += [place("end", F.col("_id") - d) for d in range(1, after + 1)]
+    copies = near.withColumn("_at", F.explode(F.array(*reached))).join(starts.unionByName(ends), "_at")
+    return copies.withColumns({PIECE: F.col("_into"), CUT: F.lit(True), HALO: F.lit(True)})
 
 
 def own_rows(df: DataFrame) -> DataFrame:
@@ -127,7 +136,7 @@ def own_rows(df: DataFrame) -> DataFrame:
 
 def plain(df: DataFrame) -> DataFrame:
     """The frame without halo rows and piece columns."""
-    return own_rows(df).drop(PIECE)
+    return own_rows(df).drop(PIECE, CUT)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -140,50 +149,50 @@ def beyond_piece(
     earlier: dict[str, tuple[Column, object]] | None = None,
     later: dict[str, tuple[Column, object]] | None = None,
 ) -> DataFrame:
-    """Add what the earlier or later pieces of the key come to; null in a plain frame.
+    """Add what the earlier or later pieces of the key come to; null where there are none.
 
     Every entry names a column and gives an aggregate over one piece, a whole number,
     with the function that combines the pieces. ``F.last`` picks the nearest piece.
+    Halo rows are left out.
     """
+    df = own_rows(df)
     earlier, later = earlier or {}, later or {}
     if not is_cut(df):
         return df.withColumns({name: F.lit(None).cast("bigint") for name in [*earlier, *later]})
     both = earlier | later
-    pieces = df.groupBy(PIECE).agg(*[total.alias(name) for name, (total, _) in both.items()])
+    pieces = df.filter(CUT).groupBy(PIECE).agg(*[total.alias(name) for name, (total, _) in both.items()])
     of_key = Window.partitionBy(f"{PIECE}.key")
     forward = of_key.orderBy(F.col(f"{PIECE}.no").asc()).rowsBetween(Window.unboundedPreceding, -1)
     backward = of_key.orderBy(F.col(f"{PIECE}.no").desc()).rowsBetween(Window.unboundedPreceding, -1)
     combined = [combine(name).over(forward).alias(name) for name, (_, combine) in earlier.items()]
     combined += [combine(name).over(backward).alias(name) for name, (_, combine) in later.items()]
-    return df.join(pieces.select(PIECE, *combined), PIECE)
+    return df.join(F.broadcast(pieces.select(PIECE, *combined)), PIECE, "left")
 
 
 def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> DataFrame:
     """Running sum per key up to and with all rows of equal ``by`` (a RANGE frame).
 
-    The rows carry ``id``. In pieces, rows of equal ``by`` may lie in several; a
+    The rows carry ``id``; halo rows are left out. In pieces, rows of equal ``by`` may lie in several; a
     piece then also adds the rows at the head of the next ones that tie with its end.
     """
     up_to_ties = order_window(df, key, [by]).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("_value", value)
+    df = own_rows(df).withColumn("_value", value)
     if not is_cut(df):
         return df.withColumn(name, F.sum("_value").over(up_to_ties)).drop("_value")
     df = df.withColumn("_here", F.sum("_value").over(up_to_ties))
-    of_key = Window.partitionBy(f"{PIECE}.key")
-    in_order = of_key.orderBy(f"{PIECE}.no")
+    in_order = Window.partitionBy(f"{PIECE}.key").orderBy(f"{PIECE}.no")
     same_end = Window.partitionBy(f"{PIECE}.key", "_end").orderBy(F.col(f"{PIECE}.no").desc())
+    next_ties = F.lead("_begin").over(in_order).eqNullSafe(F.col("_end"))
     pieces = (
-        df.groupBy(PIECE)
+        df.filter(CUT)
+        .groupBy(PIECE)
         .agg(
             F.sum("_value").alias("_total"),
             F.min_by("_here", "id").alias("_head"),
             F.min(by).alias("_begin"),
             F.max(by).alias("_end"),
         )
-        .withColumn(
-            "_next_head",
-            F.when(F.lead("_begin").over(in_order).eqNullSafe(F.col("_end")), F.lead("_head").over(in_order)),
-        )
+        .withColumn("_next_head", F.when(next_ties, F.lead("_head").over(in_order)))
         .select(
             PIECE,
             "_end",
@@ -191,6 +200,7 @@ def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> D
             F.sum("_next_head").over(same_end.rowsBetween(Window.unboundedPreceding, 0)).alias("_ties"),
         )
     )
-    ties = F.when(F.col(by).eqNullSafe(F.col("_end")), F.coalesce("_ties", F.lit(0))).otherwise(0)
+    ties = F.when(F.col(by) == F.col("_end"), F.coalesce("_ties", F.lit(0))).otherwise(0)
     total = F.col("_here") + F.coalesce("_past", F.lit(0)) + ties
-    return df.join(pieces, PIECE).withColumn(name, total).drop("_value", "_here", "_end", "_past", "_ties")
+    joined = df.join(F.broadcast(pieces), PIECE, "left").withColumn(name, total)
+    return joined.drop("_value", "_here", "_end", "_past", "_ties")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,14 +84,14 @@ def stack(*frames: DataFrame) -> DataFrame:
     return stacked
 
 
-def hash_share(key: Column) -> Column:
-    """A number from 0 to 1, evenly spread and fixed for every key."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") / 2**32
-
-
 def hash_split(df: DataFrame, key: str, share: float) -> tuple[DataFrame, DataFrame]:
-    """Rows below and above ``share`` of the key hashes: a random split that stays the same."""
-    below = hash_share(F.coalesce(F.col(key).cast("string"), F.lit(""))) < share
+    """A random split by key that stays the same whatever the partitions.
+
+    The first part holds the keys whose MD5, read as a number, is below ``share`` of the range.
+    """
+    bound = ceil(share * 16**8)
+    head = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8)
+    below = F.lit(share >= 1) | (head < f"{bound:08x}")
     return df.filter(below), df.filter(~below)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,8 +13,6 @@ from trackmill.functions.texts import split_on
 from trackmill.functions.times import timestamp_from
 from trackmill.schemas import CENSUS, EMPLOYEE_CSV, EMPLOYEE_JSON, IRIS, SALES, SALES_TEXT
 
-_FILE, _BLOCK, _ORDER = "_file", "_block", "_order"
-
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Lines of text files as one column ``value``."""
@@ -80,48 +79,59 @@ def read_plt(spark: SparkSession, path) -> DataFrame:
     return points.dropna(subset=["ts", "lat", "lon"])
 
 
-def _placed_lines(spark: SparkSession, path) -> DataFrame:
-    return spark.read.text(path).select(
+def _placed_lines(spark: SparkSession, path, head: int = 0) -> DataFrame:
+    """Lines with file, start of their block, and 0-based place in the block.
+
+    A task reads a block from start to end, so counting along needs no shuffle.
+    Fails for a file whose first block ends within its first ``head`` lines.
+    """
+    start = F.col("_metadata.file_block_start")
+    end = start + F.col("_metadata.file_block_length")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        start.alias("block"),
+        ((start == 0) & (end < F.col("_metadata.file_size"))).alias("goes_on"),
         "value",
-        F.col("_metadata.file_path").alias(_FILE),
-        F.col("_metadata.file_block_start").alias(_BLOCK),
-        F.monotonically_increasing_id().alias(_ORDER),
     )
 
+    def count_along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, counted = None, 0
+        for batch in batches:
+            for block, part in batch.groupby(["file", "block", "goes_on"], sort=False):
+                if block != current:
+                    check(current, counted)
+                    current, counted = block, 0
+                yield part.assign(place=range(counted, counted + len(part)))[["file", "block", "place", "value"]]
+                counted += len(part)
+        check(current, counted)
+
+    def check(block, counted):
+        if block is not None and block[2] and counted < head:
+            raise ValueError(f"the first {head} lines of {block[0]} go beyond its first block")
 
-def _place_in_block():
-    return F.row_number().over(Window.partitionBy(_FILE, _BLOCK).orderBy(_ORDER))
+    return lines.mapInPandas(count_along, "file string, block long, place long, value string")
 
 
 def skip_lines(spark: SparkSession, path, n: int) -> DataFrame:
-    """Lines of every file but its first ``n``.
+    """Lines of every file but its first ``n``, which must lie in the file's first block.
 
-    Only the first block of a file is numbered, so a file of any size is read in
-    parallel and its later blocks are not shuffled. Should the first block hold
-    fewer than ``n`` lines, all lines are numbered instead.
+    Longer heads are cut off with ``number_lines``, which also counts across blocks.
     """
-    lines = _placed_lines(spark, path)
-    first = lines.filter(F.col(_BLOCK) == 0)
-    later = lines.filter(F.col(_BLOCK) > 0)
-    lengths = first.groupBy(_FILE).agg(F.count("*").alias("n"))
-    if n > 1 and not lengths.filter(F.col("n") < n).join(later.select(_FILE).distinct(), _FILE).isEmpty():
-        return number_lines(spark, path).filter(F.col("line_no") > n).select("value")
-    kept = first.withColumn("_place", _place_in_block()).filter(F.col("_place") > n)
-    return kept.select("value").unionByName(later.select("value"))
+    lines = _placed_lines(spark, path, head=n)
+    return lines.filter((F.col("block") > 0) | (F.col("place") >= n)).select("value")
 
 
 def number_lines(spark: SparkSession, path) -> DataFrame:
     """Lines with their file and 1-based ``line_no``.
 
-    Lines are counted inside each block of a file and the lengths of the earlier
-    blocks are added, so no task sees more than one block.
+    Lines are counted inside each block of a file, and the lengths of the earlier
+    blocks are added: one summary row per block.
     """
-    lines = _placed_lines(spark, path).withColumn("_place", _place_in_block())
-    blocks = lines.groupBy(_FILE, _BLOCK).agg(F.count("*").alias("_length"))
-    earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        _FILE, _BLOCK, F.coalesce(F.sum("_length").over(earlier), F.lit(0)).alias("_before")
-    )
-    return lines.join(starts, [_FILE, _BLOCK]).select(
-        F.col(_FILE).alias("file"), (F.col("_place") + F.col("_before")).alias("line_no"), "value"
-    )
+    lines = _placed_lines(spark, path)
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("length"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("length").over(earlier), F.lit(0))
+    starts = blocks.select("file", "block", before.alias("before"))
+    # Files are read twice; should the second reading cut them differently, fail.
+    number = F.col("place") + 1 + F.coalesce("before", F.raise_error(F.lit("blocks of a file have changed")))
+    return lines.join(starts, ["file", "block"], "left").select("file", number.alias("line_no"), "value")
