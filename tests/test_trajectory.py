@@ -187,6 +187,13 @@ def test_day_serial_speed(spark, sample):
     assert (most, mean) == pytest.approx((60.582953, 2.245125), abs=1e-6)
 
 
+def test_summaries_read_large_keys_only(spark, tmp_path):
+    spark.createDataFrame(walk({"hot": 60, "a": 9}), SCHEMA).write.parquet(str(tmp_path / "points"))
+    df = tr.analyse(spark.read.parquet(str(tmp_path / "points")), max_rows=20)
+    plan = tr.runs(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_one_shuffle(spark, tmp_path):
     points = spark.createDataFrame(walk({"a": 30}), SCHEMA)
     points.write.parquet(str(tmp_path / "points"))

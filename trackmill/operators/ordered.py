@@ -1,7 +1,7 @@
 """Ordered computations per key, for keys of any size.
 
-A window over a key runs in one task. That is the best plan while every key is
-small. When a key may hold a large part of all rows, the rows are cut into pieces:
+A window over a key runs in one task. That is the best plan while the key is small.
+The rows of a key too large for that are cut into pieces instead:
 
 * they are range-partitioned on (key, order) and written once, which settles the
   piece of every row; pieces have about equal size whatever the keys are;
@@ -10,9 +10,9 @@ small. When a key may hold a large part of all rows, the rows are cut into piece
 * running totals add what the earlier pieces of the key came to, taken from one
   summary row per piece.
 
-A piece number covers a range, so at most two of its keys go on in other pieces: the
-first and the last. Only those need halo rows and summaries, which bounds what is
-broadcast by twice the number of pieces.
+All other rows keep one piece per key and are shuffled once, as in a plain window.
+What is broadcast is bounded by rows / ``max_rows``: there are fewer large keys than
+that, and as many ranges, each of which can add one piece to the number of keys.
 
 Operators use ``grouping`` and ``order_window`` and so work on both layouts.
 """
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from trackmill.session import checkpointed
 
-# Piece of a row; whether its key goes on in other pieces; whether it is a copy.
-PIECE, CUT, HALO = "_piece", "_cut", "_halo"
-_SPOT, _FIRST, _ROWS, _BASE, _SHIFT = "_spot", "_first_spot", "_piece_rows", "_base", "_shift"
+# Piece of a row, its settled place among the rows of large keys, and whether it is a copy.
+PIECE, SPOT, HALO = "_piece", "_spot", "_halo"
+_FIRST, _ROWS, _BASE, _SHIFT = "_first_spot", "_piece_rows", "_base", "_shift"
 MAX_ROWS_PER_TASK = 10_000_000
 
 
@@ -43,7 +43,9 @@ def grouping(df: DataFrame, key: str) -> str:
 
 
 def order_window(df: DataFrame, key: str, order: Sequence[str], descending: bool = False) -> WindowSpec:
-    columns = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    # The settled place makes the order of large keys total, whatever ``order`` leaves open.
+    names = [*order, SPOT] if is_cut(df) else order
+    columns = [F.col(c).desc() if descending else F.col(c).asc() for c in names]
     return Window.partitionBy(grouping(df, key)).orderBy(*columns)
 
 
@@ -64,9 +66,10 @@ def number_rows(
     """
     shift = F.lit(0)
     if max_rows is not None:
-        largest, total = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
-        if largest is not None and largest > max_rows:
-            df = _in_pieces(df, key, order, before, max(after, 1), ceil(total / max_rows))
+        large = df.groupBy(key).count().filter(F.col("count") > max_rows)
+        large_rows = large.agg(F.sum("count")).first()[0]
+        if large_rows:
+            df = _in_pieces(df, large, key, order, before, max(after, 1), ceil(large_rows / max_rows))
             shift = F.col(_SHIFT)
     in_order = order_window(df, key, order)
     # The last row has no next one; counting the key would be a second window.
@@ -78,36 +81,37 @@ def number_rows(
     ).drop(_SHIFT)
 
 
-def _in_pieces(df, key, order, before, after, n_pieces):
+def _in_pieces(df, large, key, order, before, after, n_pieces):
     """Rows with their piece, halo rows, and ``_shift`` from place in piece to place in key."""
-    # The piece names its key too, as a struct: a null key is then an ordinary value
-    # in joins, and one column is enough to group by.
+    # Keys are compared inside a struct, where null is an ordinary value.
+    large = F.broadcast(checkpointed(large.select(F.struct(key).alias("_large"))))
+    is_large = F.struct(key) == F.col("_large")
     spread = (
-        df.repartitionByRange(n_pieces, key, *order)
+        df.join(large, is_large, "left_semi")
+        .repartitionByRange(n_pieces, key, *order)
         .sortWithinPartitions(key, *order)
-        .withColumn(PIECE, F.struct(F.spark_partition_id().alias("no"), F.col(key).alias("key")))
-        .withColumn(_SPOT, F.monotonically_increasing_id())
+        .withColumn(PIECE, _piece(key, F.spark_partition_id()))
+        .withColumn(SPOT, F.monotonically_increasing_id())
     )
     spread = checkpointed(spread)
-    of_key = Window.partitionBy(f"{PIECE}.key")
-    earlier = of_key.orderBy(f"{PIECE}.no").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = (
+    earlier = Window.partitionBy(f"{PIECE}.key").orderBy(f"{PIECE}.no").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = checkpointed(
         spread.groupBy(PIECE)
-        .agg(F.min(_SPOT).alias(_FIRST), F.count("*").alias(_ROWS))
+        .agg(F.min(SPOT).alias(_FIRST), F.count("*").alias(_ROWS))
         .withColumn(_BASE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
-        .withColumn(CUT, F.count("*").over(of_key) > 1)
-        .filter(CUT)
         .withColumn(_SHIFT, F.col(_BASE) - F.least(F.col(_BASE), F.lit(before)))
     )
-    joined = spread.join(F.broadcast(pieces.select(PIECE, CUT, _SHIFT)), PIECE, "left")
-    rows = joined.withColumns(
-        {
-            CUT: F.coalesce(CUT, F.lit(False)),
-            _SHIFT: F.coalesce(_SHIFT, F.lit(0)),
-            HALO: F.lit(False),
-        }
-    ).drop(_SPOT)
-    return rows.unionByName(_halo_rows(spread, pieces, before, after).select(rows.columns))
+    of_large = spread.join(F.broadcast(pieces.select(PIECE, _SHIFT)), PIECE).withColumn(HALO, F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    others = df.join(large, is_large, "left_anti").withColumns(
+        {PIECE: _piece(key, F.lit(-1)), SPOT: zero, HALO: F.lit(False), _SHIFT: zero}
+    )
+    halo = _halo_rows(spread, pieces, before, after)
+    return others.unionByName(of_large).unionByName(halo.select(others.columns))
+
+
+def _piece(key, number):
+    return F.struct(number.alias("no"), F.col(key).alias("key"))
 
 
 def _halo_rows(spread, pieces, before, after):
@@ -120,13 +124,13 @@ def _halo_rows(spread, pieces, before, after):
     ends = pieces.select(
         place("end", F.col(_BASE) + F.col(_ROWS) - 1).alias("_at"), F.col(PIECE).alias("_into"), _SHIFT
     )
-    spot = F.col(_SPOT) - F.col(_FIRST)
+    spot = F.col(SPOT) - F.col(_FIRST)
     near = spread.join(F.broadcast(pieces.select(PIECE, _FIRST, _ROWS, _BASE)), PIECE)
     near = near.filter((spot < after) | (spot >= F.col(_ROWS) - before)).withColumn("_id", F.col(_BASE) + spot)
     reached = [place("start", F.col("_id") + d) for d in range(1, before + 1)]
     reached += [place("end", F.col("_id") - d) for d in range(1, after + 1)]
     copies = near.withColumn("_at", F.explode(F.array(*reached))).join(starts.unionByName(ends), "_at")
-    return copies.withColumns({PIECE: F.col("_into"), CUT: F.lit(True), HALO: F.lit(True)})
+    return copies.withColumns({PIECE: F.col("_into"), HALO: F.lit(True)})
 
 
 def own_rows(df: DataFrame) -> DataFrame:
@@ -136,12 +140,17 @@ def own_rows(df: DataFrame) -> DataFrame:
 
 def plain(df: DataFrame) -> DataFrame:
     """The frame without halo rows and piece columns."""
-    return own_rows(df).drop(PIECE, CUT)
+    return own_rows(df).drop(PIECE, SPOT)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """A frame in pieces is written before summaries of it are joined back to it."""
-    return checkpointed(df) if is_cut(df) else df
+def _by_piece(df: DataFrame, **totals: Column) -> DataFrame:
+    """Summaries of the pieces of large keys.
+
+    The filter is on the column that windows group by, so Spark moves it below them
+    and the rows of other keys are not even read.
+    """
+    large = df.filter(F.col(f"{PIECE}.no") >= 0)
+    return large.groupBy(PIECE).agg(*[total.alias(name) for name, total in totals.items()])
 
 
 def beyond_piece(
@@ -160,7 +169,7 @@ def beyond_piece(
     if not is_cut(df):
         return df.withColumns({name: F.lit(None).cast("bigint") for name in [*earlier, *later]})
     both = earlier | later
-    pieces = df.filter(CUT).groupBy(PIECE).agg(*[total.alias(name) for name, (total, _) in both.items()])
+    pieces = _by_piece(df, **{name: total for name, (total, _) in both.items()})
     of_key = Window.partitionBy(f"{PIECE}.key")
     forward = of_key.orderBy(F.col(f"{PIECE}.no").asc()).rowsBetween(Window.unboundedPreceding, -1)
     backward = of_key.orderBy(F.col(f"{PIECE}.no").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -175,7 +184,7 @@ def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> D
     The rows carry ``id``; halo rows are left out. In pieces, rows of equal ``by`` may lie in several; a
     piece then also adds the rows at the head of the next ones that tie with its end.
     """
-    up_to_ties = order_window(df, key, [by]).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    up_to_ties = Window.partitionBy(grouping(df, key)).orderBy(by).rangeBetween(Window.unboundedPreceding, 0)
     df = own_rows(df).withColumn("_value", value)
     if not is_cut(df):
         return df.withColumn(name, F.sum("_value").over(up_to_ties)).drop("_value")
@@ -184,13 +193,12 @@ def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> D
     same_end = Window.partitionBy(f"{PIECE}.key", "_end").orderBy(F.col(f"{PIECE}.no").desc())
     next_ties = F.lead("_begin").over(in_order).eqNullSafe(F.col("_end"))
     pieces = (
-        df.filter(CUT)
-        .groupBy(PIECE)
-        .agg(
-            F.sum("_value").alias("_total"),
-            F.min_by("_here", "id").alias("_head"),
-            F.min(by).alias("_begin"),
-            F.max(by).alias("_end"),
+        _by_piece(
+            df,
+            _total=F.sum("_value"),
+            _head=F.min_by("_here", "id"),
+            _begin=F.min(by),
+            _end=F.max(by),
         )
         .withColumn("_next_head", F.when(next_ties, F.lead("_head").over(in_order)))
         .select(

@@ -20,7 +20,6 @@ from trackmill.operators.ordered import (
     own_rows,
     plain,
     running_sum,
-    settled,
 )
 
 KEY, ORDER = "traj_id", ("ts", "seq")
@@ -154,7 +153,7 @@ def intervals(df: DataFrame) -> DataFrame:
     neighbour of the same direction keep it. Index 0 is left out, and with it the
     first interval of a trajectory.
     """
-    rows = settled(own_rows(df).filter("in_range"))
+    rows = own_rows(df).filter("in_range")
     rows = running_sum(rows, "_changes", F.col("is_change"), KEY, "ts")
     rows = beyond_piece(
         rows,
@@ -208,7 +207,7 @@ def runs(
     closes = F.col("run_value").isNotNull() & ~F.col("run_value").eqNullSafe(F.lead("run_value").over(w))
     df = df.withColumns({"_open": F.when(opens, F.col("id")), "_close": F.when(closes, F.col("id"))})
     rows = beyond_piece(
-        settled(own_rows(df)),
+        own_rows(df),
         earlier={"_open_before": (F.max("_open"), F.max)},
         later={"_close_after": (F.min("_close"), F.min)},
     )
