@@ -67,7 +67,9 @@ def speed(
 ) -> DataFrame:
     """Add ``dist_m`` and ``speed`` in m/s: 0 at both ends, null where no time has passed.
 
-    ``digits`` rounds the speed before anything is derived from it.
+    ``digits`` rounds the speed before anything is derived from it. ``swap_axes`` takes
+    latitude for longitude and the reverse, for results equal to those of a caller
+    that passes them in that order.
     """
     value = F.try_divide("dist_m", "gap_s")
     if digits is not None:

@@ -72,12 +72,12 @@ def faulty_line_numbers(spark, folder):
 
 
 @query(f"""
-WITH {_runs_sql(_SIGN, 5)} SELECT traj_id, CASE WHEN run_value = 1 THEN 'up' ELSE 'down' END AS direction,
+WITH {_runs_sql(_SIGN, 6)} SELECT traj_id, CASE WHEN run_value = 1 THEN 'up' ELSE 'down' END AS direction,
        run_no AS interval_id, id, speed FROM mem""")
 def interval_files(spark, folder):
     """One folder per interval, written and read back."""
     points = points_of(table(spark, folder, "events"))
-    members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=5)
+    members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=6)
     label = F.when(F.col("run_value") == tr.UP, "up").otherwise("down")
     columns = ["id", "speed", "traj_id", label.alias("direction"), F.col("run_no").alias("interval_id")]
     members = members.select(*columns)

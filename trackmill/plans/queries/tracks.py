@@ -99,6 +99,17 @@ def traj_speed(spark, folder):
     return plain(df).select("traj_id", "seq", "id", F.round("dist_m", 6).alias("dist_m"), "speed")
 
 
+@query(f"""
+WITH {_POINTS}
+SELECT traj_id, seq, CASE WHEN id = 0 OR is_last THEN 0 WHEN gap_s <> 0 THEN
+       round(2 * asin(sqrt(pow(sin(abs(d - c) / 2), 2) + cos(c) * cos(d) * pow(sin(abs(b - a) / 2), 2)))
+             * 6371393 / gap_s, 6) END AS speed
+FROM rad""")
+def traj_speed_swapped(spark, folder):
+    df = tr.speed(tr.time_gap(tr.number_points(_points(spark, folder))), digits=DIGITS, swap_axes=True)
+    return plain(df).select("traj_id", "seq", "speed")
+
+
 @query(f"WITH {_FLAGS} SELECT traj_id, seq, id, speed, stop FROM stp")
 def traj_stops(spark, folder):
     df = tr.speed(tr.time_gap(tr.number_points(_points(spark, folder))), digits=DIGITS)

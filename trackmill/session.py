@@ -12,7 +12,7 @@ _local_roots: dict[str, str] = {}
 
 
 def build_session(app: str = "trackmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC time, adaptive execution and no user interface.
+    """A session with UTC time, adaptive execution, stream state on disk and no user interface.
 
     Keyword arguments are further settings with ``__`` in place of dots, such as
     ``spark__sql__shuffle__partitions="8"``.
@@ -23,6 +23,10 @@ def build_session(app: str = "trackmill", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)

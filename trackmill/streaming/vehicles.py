@@ -8,12 +8,12 @@ into pieces like a long trajectory, and a repeated batch replaces its own output
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackmill.operators.ordered import MAX_ROWS_PER_TASK, plain
-from trackmill.operators.trajectory import KEY, distance, number_points, time_gap
+from trackmill.operators.ordered import MAX_ROWS_PER_TASK, beyond_piece, order_window, plain
+from trackmill.operators.trajectory import KEY, ORDER, distance, number_points, time_gap
 
 POINT = (KEY, "ts", "seq", "lat", "lon")
 
@@ -29,27 +29,22 @@ def speeds_after(
 ) -> DataFrame:
     """``dist_m``, ``gap_s`` and ``speed`` of points, given the last earlier point of each vehicle.
 
-    A vehicle's first point ever has speed 0. A point that comes ``late``, not after
-    its vehicle's last earlier one, is kept without values.
+    A vehicle's first point ever has speed 0. A point that comes ``late``, before its
+    vehicle's last earlier one, is kept without values.
     """
-    points = batch.select(*POINT)
-    if last is None:
-        fresh, late = points.withColumn("_old", F.lit(False)), None
-    else:
-        seen = last.select(KEY, F.struct("ts", "seq").alias("_seen"))
-        placed = points.join(seen, KEY, "left")
-        is_late = F.coalesce(F.struct("ts", "seq") <= F.col("_seen"), F.lit(False))
-        late = placed.filter(is_late).drop("_seen")
-        fresh = placed.filter(~is_late).drop("_seen").withColumn("_old", F.lit(False))
-        fresh = fresh.unionByName(last.select(*POINT, F.lit(True).alias("_old")))
-    df = distance(time_gap(number_points(fresh, max_rows)), "atan2")
+    points = batch.select(*POINT, F.lit(0).alias("_old"))
+    if last is not None:
+        points = points.unionByName(last.select(*POINT, F.lit(1).alias("_old")))
+    df = distance(time_gap(number_points(points, max_rows)), "atan2")
+    # In order of time, late points are the ones with the old point still to come.
+    df = beyond_piece(df, later={"_old_later": (F.sum("_old"), F.sum)})
+    ahead = order_window(df, KEY, ORDER, descending=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    to_come = F.sum("_old").over(ahead) + F.coalesce("_old_later", F.lit(0))
+    df = df.withColumn("late", to_come > 0)
     speed = F.when(F.col("id") > 0, F.try_divide("dist_m", "gap_s")).otherwise(0.0)
-    df = plain(df).filter(~F.col("_old")).withColumn("speed", speed).withColumn("late", F.lit(False))
-    df = df.drop("_old", "id", "is_last")
-    if late is None:
-        return df
-    empty = {name: F.lit(None).cast("double") for name in ("gap_s", "dist_m", "speed")}
-    return df.unionByName(late.withColumns(empty | {"late": F.lit(True)}))
+    df = plain(df).filter("_old = 0").withColumn("speed", speed)
+    values = {name: F.when(~F.col("late"), F.col(name)) for name in ("gap_s", "dist_m", "speed")}
+    return df.withColumns(values).select(*POINT, "gap_s", "dist_m", "speed", "late")
 
 
 def start_vehicle_speeds(
