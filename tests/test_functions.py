@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trackmill.functions.categories import CENSUS_CATEGORIES, codes_of, encode
 from trackmill.functions.geo import haversine_m
-from trackmill.functions.texts import grouped_number, has_fields, is_number, without_trailing_dot, words
+from trackmill.functions.texts import grouped_number, has_fields, is_number, without_trailing_dot
 from trackmill.functions.times import day_serial, day_serial_gap, seconds_between, timestamp_from
 
 
@@ -67,7 +67,6 @@ def test_lines(spark):
     assert [bool(v) for v in column(spark, lines, "string", lambda c: has_fields(c, 4))] == [
         True, False, False, False, False, True, False,
     ]
-    assert column(spark, ["a  b ", "", None], "string", words) == [["a", "b"], [], None]
     assert column(spark, [">50K.", ">50K", "."], "string", without_trailing_dot) == [">50K", ">50K", ""]
 
 

@@ -9,7 +9,7 @@ from trackmill.operators.ordered import plain
 from trackmill.operators import trajectory as tr
 from trackmill.streaming.messages import pair_speeds, person_messages, show_console, start_append
 from trackmill.streaming.vehicles import speeds_after, start_vehicle_speeds
-from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, start_word_counts
+from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, split_words, start_word_counts
 
 
 def in_files(spark, folder, frames):
@@ -94,6 +94,11 @@ def test_late_points_are_kept_apart(spark):
     assert (found[7].gap_s, found[7].speed) == (0.0, 0.0)
 
 
+def test_split_words(spark):
+    df = spark.createDataFrame([("a  b ",), ("",), (None,)], "text string")
+    assert rows(split_words(df, "text")) == [("a",), ("b",)]
+
+
 def test_word_counts_over_batches(spark, tmp_path):
     texts = ["a b a", "b  c", "", "a"]
     frames = [spark.createDataFrame([(t,)], "text string") for t in texts]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trackmill.operators import trajectory as tr
 from trackmill.operators.ordered import is_cut, number_rows, plain, running_sum
 from trackmill.plans.traffic import pair_messages
+from trackmill.plans.trajectories import analyse_files
 from trackmill.sources.files import read_plt
 from trackmill.streaming.messages import pair_speeds
 
@@ -170,6 +171,18 @@ def test_golden_files(spark, sample, max_rows):
     assert set(rows(found)) == GOLDEN
 
 
+def test_whole_job(spark, sample, tmp_path):
+    files = [path for path in sample("plt") if len(open(path).readlines()) == 546 + 6]
+    analyse_files(spark, files, str(tmp_path / "out"), max_rows=200)
+
+    def read(name):
+        return spark.read.option("header", True).csv(str(tmp_path / "out" / name))
+
+    assert read("points").count() == 546 and read("stops").count() == 40
+    assert read("intervals").count() <= 366 and read("runs").count() == 62 + 64
+    assert read("run_members").select("direction", "interval_id").distinct().count() == 62 + 64
+
+
 def test_golden_pairs(spark, sample):
     messages = pair_messages(read_plt(spark, sample("plt")).filter("day_serial > 39700"))
     speeds = pair_speeds(messages)

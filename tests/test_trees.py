@@ -58,6 +58,15 @@ def test_faulty_rows(spark):
     assert encoded.filter(" or ".join(f"{c} is null" for c in CENSUS_ATTRIBUTES)).count() == len(faults)
 
 
+def test_faulty_lines(spark, tmp_path):
+    lines = [person(random.Random(i)) for i in range(30)]
+    lines[3][0], lines[17][1] = "x", "Pirate"
+    (tmp_path / "census").write_text("".join(", ".join(line) + "\n" for line in lines) + "short\n")
+    found = census.faulty_lines(spark, str(tmp_path / "census")).orderBy("line_no").collect()
+    assert [(r.line_no, r.violations) for r in found[:2]] == [(4, ["age"]), (18, ["workclass"])]
+    assert found[2].line_no == 31 and len(found[2].violations) == 14
+
+
 def test_iris_tree(spark, tmp_path):
     rng = random.Random(4)
     kinds = {"setosa": 1.4, "versicolor": 4.3, "virginica": 5.6}

@@ -29,8 +29,3 @@ def is_number(text: Column) -> Column:
 
 def without_trailing_dot(text: Column) -> Column:
     return F.regexp_replace(text, r"\.$", "")
-
-
-def words(text: Column, sep: str = " ") -> Column:
-    """The non-empty pieces between separators."""
-    return F.filter(split_on(text, sep), lambda word: word != "")

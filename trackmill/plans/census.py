@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.functions.categories import CENSUS_CATEGORIES, codes_of, encode
-from trackmill.functions.texts import without_trailing_dot
+from trackmill.functions.texts import split_on, without_trailing_dot
 from trackmill.operators.quality import census_rules, invalid_rows
 from trackmill.operators.trees import assemble, tree_pipeline
-from trackmill.schemas import CENSUS_ATTRIBUTES, CENSUS_NUMBERS, IRIS_FEATURES
+from trackmill.schemas import CENSUS, CENSUS_ATTRIBUTES, CENSUS_NUMBERS, IRIS_FEATURES
+from trackmill.sources.files import number_lines
 
 
 def faulty_rows(census: DataFrame) -> DataFrame:
@@ -18,6 +19,14 @@ def faulty_rows(census: DataFrame) -> DataFrame:
     return invalid_rows(census, census_rules())
 
 
+def faulty_lines(spark: SparkSession, path) -> DataFrame:
+    """File and 1-based line number of the census lines that break a rule."""
+    fields = split_on(F.col("value"), ", ")
+    columns = [F.try_element_at(fields, F.lit(i)).alias(name) for i, name in enumerate(CENSUS.names, 1)]
+    rows = number_lines(spark, path).select("file", "line_no", *columns)
+    return faulty_rows(rows).select("file", "line_no", "violations")
+
+
 def encoded(census: DataFrame) -> DataFrame:
     """Every attribute as a number and the label without a trailing dot.
 

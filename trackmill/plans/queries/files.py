@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from trackmill.functions.texts import split_on
 from trackmill.operators import trajectory as tr
 from trackmill.plans.queries.base import query, table
 from trackmill.plans.queries.tracks import _SIGN, DIGITS, _runs_sql, points_of
+from trackmill.plans.trajectories import interval_rows
 from trackmill.session import new_shared_dir
 from trackmill.sinks.writers import write_by_interval, write_csv, write_tsv
 from trackmill.sources.files import number_lines, read_delimited, read_lines, skip_lines
@@ -78,10 +78,7 @@ def interval_files(spark, folder):
     """One folder per interval, written and read back."""
     points = points_of(table(spark, folder, "events"))
     members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=6)
-    label = F.when(F.col("run_value") == tr.UP, "up").otherwise("down")
-    columns = ["id", "speed", "traj_id", label.alias("direction"), F.col("run_no").alias("interval_id")]
-    members = members.select(*columns)
+    members = interval_rows(members).select("id", "speed", "traj_id", "direction", "interval_id")
     path = new_shared_dir(spark, "intervals")
     write_by_interval(members, path, ["traj_id", "direction", "interval_id"])
-    schema = StructType(list(members.schema))
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(members.schema).option("header", True).csv(path)

@@ -27,6 +27,9 @@ def build_session(app: str = "trackmill", master: str | None = None, **conf: str
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        .config("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

@@ -46,3 +46,12 @@ def show_console(stream: DataFrame, every: str | None = None) -> StreamingQuery:
     """Print a stream, appended rows only."""
     writer = stream.writeStream.format("console").outputMode("append")
     return (writer.trigger(processingTime=every) if every else writer).start()
+
+
+def publish_stream(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, every: str, mode: str = "append"
+) -> StreamingQuery:
+    """Send message rows to a topic as they come. The session needs Spark's Kafka connector."""
+    writer = messages.writeStream.format("kafka").outputMode(mode).trigger(processingTime=every)
+    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return writer.option("checkpointLocation", checkpoint).start()

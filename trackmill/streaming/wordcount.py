@@ -6,14 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trackmill.functions.texts import words
+from trackmill.functions.texts import split_on
+from trackmill.streaming.messages import publish_stream
 
 REPORT_EVERY = "8 seconds"
 
 
+def split_words(texts: DataFrame, column: str) -> DataFrame:
+    """The words between blanks, one per row."""
+    return texts.select(F.explode(split_on(F.col(column), " ")).alias("word")).filter(F.col("word") != "")
+
+
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
     """Occurrences of every word so far."""
-    return texts.select(F.explode(words(F.col(column))).alias("word")).groupBy("word").count()
+    return split_words(texts, column).groupBy("word").count()
+
+
+def publish_word_counts(
+    texts: DataFrame, column: str, servers: str, topic: str, checkpoint: str, every: str = REPORT_EVERY
+) -> StreamingQuery:
+    """Send every changed count to a result topic, by default every 8 seconds."""
+    counts = result_messages(word_counts(texts, column))
+    return publish_stream(counts, servers, topic, checkpoint, every, mode="update")
 
 
 def start_word_counts(
