@@ -157,25 +157,25 @@ def beyond_piece(
     df: DataFrame,
     earlier: dict[str, tuple[Column, object]] | None = None,
     later: dict[str, tuple[Column, object]] | None = None,
-) -> DataFrame:
-    """Add what the earlier or later pieces of the key come to; null where there are none.
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame, and what the earlier or later pieces of the key come to; null where there are none.
 
-    Every entry names a column and gives an aggregate over one piece, a whole number,
-    with the function that combines the pieces. ``F.last`` picks the nearest piece.
-    Halo rows are left out.
+    Every entry gives an aggregate over one piece, a whole number, with the function
+    that combines the pieces. ``F.last`` picks the nearest piece. Halo rows are left out.
     """
     df = own_rows(df)
     earlier, later = earlier or {}, later or {}
-    if not is_cut(df):
-        return df.withColumns({name: F.lit(None).cast("bigint") for name in [*earlier, *later]})
     both = earlier | later
+    if not is_cut(df):
+        return df, {name: F.lit(None).cast("bigint") for name in both}
     pieces = _by_piece(df, **{name: total for name, (total, _) in both.items()})
     of_key = Window.partitionBy(f"{PIECE}.key")
     forward = of_key.orderBy(F.col(f"{PIECE}.no").asc()).rowsBetween(Window.unboundedPreceding, -1)
     backward = of_key.orderBy(F.col(f"{PIECE}.no").desc()).rowsBetween(Window.unboundedPreceding, -1)
     combined = [combine(name).over(forward).alias(name) for name, (_, combine) in earlier.items()]
     combined += [combine(name).over(backward).alias(name) for name, (_, combine) in later.items()]
-    return df.join(F.broadcast(pieces.select(PIECE, *combined)), PIECE, "left")
+    joined = df.join(F.broadcast(pieces.select(PIECE, *combined)), PIECE, "left")
+    return joined, {name: F.col(name) for name in both}
 
 
 def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> DataFrame:

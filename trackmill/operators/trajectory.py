@@ -57,9 +57,9 @@ def distance(df: DataFrame, mode: str = "asin", swap_axes: bool = False) -> Data
     lat, lon = (F.col("lon"), F.col("lat")) if swap_axes else (F.col("lat"), F.col("lon"))
     w = _window(df)
     # Columns of their own: the formula names them several times.
-    df = df.withColumns({"_lat": F.lag(lat).over(w), "_lon": F.lag(lon).over(w)})
+    before = df.withColumns({"_lat": F.lag(lat).over(w), "_lon": F.lag(lon).over(w)})
     metres = haversine_m(F.col("_lat"), F.col("_lon"), lat, lon, mode)
-    return df.withColumn("dist_m", metres).drop("_lat", "_lon")
+    return before.select(*df.columns, metres.alias("dist_m"))
 
 
 def speed(
@@ -110,21 +110,16 @@ def acceleration(df: DataFrame) -> DataFrame:
     gained = F.try_divide(F.col("speed") - F.lag("speed").over(w), F.col("gap_s"))
     df = df.withColumn("acceleration", F.when(F.col("id") > 0, gained).otherwise(0.0))
     df = df.withColumn("direct", F.when(F.col("acceleration") > 0, UP).otherwise(DOWN))
-    changes = F.col("direct") != F.lag("direct").over(w)
+    changes = F.coalesce(F.col("direct") != F.lag("direct").over(w), F.lit(False))
     next_changes = F.col("direct") != F.lead("direct").over(w)
-    df = df.withColumns({"_changes": F.coalesce(changes, F.lit(False)), "_next_changes": next_changes})
-    alone = F.col("_changes") & F.col("_next_changes")
-    df = df.withColumns(
-        {
-            "is_change": F.col("_changes").cast("int"),
-            "in_range": F.when(~F.col("is_last"), ~alone).otherwise(False),
-        }
-    ).drop("_changes", "_next_changes")
-    return df.withColumns(
-        {
-            "speed_up": (F.col("acceleration") > 0) & F.col("in_range"),
-            "speed_down": (F.col("acceleration") < 0) & F.col("in_range"),
-        }
+    flagged = df.withColumns({"_changes": changes, "_next_changes": next_changes})
+    in_range = F.when(~F.col("is_last"), ~(F.col("_changes") & F.col("_next_changes"))).otherwise(False)
+    return flagged.select(
+        *df.columns,
+        F.col("_changes").cast("int").alias("is_change"),
+        in_range.alias("in_range"),
+        ((F.col("acceleration") > 0) & in_range).alias("speed_up"),
+        ((F.col("acceleration") < 0) & in_range).alias("speed_down"),
     )
 
 
@@ -157,18 +152,17 @@ def intervals(df: DataFrame) -> DataFrame:
     """
     rows = own_rows(df).filter("in_range")
     rows = running_sum(rows, "_changes", F.col("is_change"), KEY, "ts")
-    rows = beyond_piece(
+    rows, beyond = beyond_piece(
         rows,
         earlier={"_direct_before": (F.max_by("direct", "id"), F.last)},
         later={"_direct_after": (F.min_by("direct", "id"), F.last)},
     )
     w = _window(rows)
-    before = F.coalesce(F.lag("direct").over(w), F.col("_direct_before"))
-    after = F.coalesce(F.lead("direct").over(w), F.col("_direct_after"))
+    before = F.coalesce(F.lag("direct").over(w), beyond["_direct_before"])
+    after = F.coalesce(F.lead("direct").over(w), beyond["_direct_after"])
     same = (F.col("direct") == after) | (F.col("direct") == before)
-    rows = rows.withColumn("range_index", F.when(same, F.col("_changes")).otherwise(0))
-    rows = rows.filter(F.col("range_index") != 0)
-    return plain(rows).drop("_changes", "_direct_before", "_direct_after")
+    index = F.when(same, F.col("_changes")).otherwise(0).alias("range_index")
+    return rows.select(*plain(df).columns, index).filter(F.col("range_index") != 0)
 
 
 def interval_list(rows: DataFrame) -> DataFrame:
@@ -204,12 +198,14 @@ def runs(
     """
     value = sign_of_acceleration() if value is None else value
     w = _window(df)
+    columns = plain(df).columns
     df = df.withColumn("run_value", value)
-    opens = F.col("run_value").isNotNull() & ~F.col("run_value").eqNullSafe(F.lag("run_value").over(w))
-    closes = F.col("run_value").isNotNull() & ~F.col("run_value").eqNullSafe(F.lead("run_value").over(w))
+    in_run = F.col("run_value").isNotNull()
+    opens = in_run & ~F.col("run_value").eqNullSafe(F.lag("run_value").over(w))
+    closes = in_run & ~F.col("run_value").eqNullSafe(F.lead("run_value").over(w))
     df = df.withColumns({"_open": F.when(opens, F.col("id")), "_close": F.when(closes, F.col("id"))})
-    rows = beyond_piece(
-        own_rows(df),
+    rows, beyond = beyond_piece(
+        df,
         earlier={"_open_before": (F.max("_open"), F.max)},
         later={"_close_after": (F.min("_close"), F.min)},
     )
@@ -217,23 +213,30 @@ def runs(
     # of its group would be computed anew for every row.
     ahead = _window(rows, descending=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     behind = _window(rows).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_to", F.least(F.min("_close").over(ahead), F.col("_close_after")))
-    rows = rows.withColumn("run_start", F.greatest(F.max("_open").over(behind), F.col("_open_before")))
-    rows = rows.withColumn("run_len", F.col("_to") - F.col("run_start") + 1)
-    begins = F.col("_open").isNotNull() & (F.col("run_len") >= min_len)
-    starts = {f"_starts_{i}": (begins & (F.col("run_value") == v)).cast("bigint") for i, v in enumerate(values)}
-    starts = {name: F.coalesce(flag, F.lit(0)) for name, flag in starts.items()}
-    rows = rows.withColumns(starts)
-    rows = beyond_piece(rows, earlier={f"_past{name}": (F.sum(name), F.sum) for name in starts})
+    rows = rows.withColumns(
+        {
+            "run_start": F.greatest(F.max("_open").over(behind), beyond["_open_before"]),
+            "_run_end": F.least(F.min("_close").over(ahead), beyond["_close_after"]),
+        }
+    )
+    run_len = F.col("_run_end") - F.col("run_start") + 1
+    begins = F.col("_open").isNotNull() & (run_len >= min_len)
+    starts = {f"_starts_{i}": (v, F.when(begins & (F.col("run_value") == v), 1).otherwise(0)) for i, v in enumerate(values)}
+    rows = rows.withColumns({name: flag for name, (_, flag) in starts.items()})
+    rows, beyond = beyond_piece(rows, earlier={f"_past{name}": (F.sum(name), F.sum) for name in starts})
     number = F.lit(None).cast("bigint")
-    for i, v in enumerate(values):
-        count = F.sum(f"_starts_{i}").over(behind) + F.coalesce(f"_past_starts_{i}", F.lit(0))
+    for name, (v, _) in starts.items():
+        count = F.sum(name).over(behind) + F.coalesce(beyond[f"_past{name}"], F.lit(0))
         number = F.when(F.col("run_value") == v, count).otherwise(number)
-    rows = rows.withColumns({"run_no": number, "member_no": F.col("id") - F.col("run_start") + 1})
-    kept = rows.filter(F.col("run_value").isNotNull() & (F.col("run_len") >= min_len))
-    return plain(kept).drop(
-        "_open", "_close", "_open_before", "_close_after", "_to", *starts, *[f"_past{n}" for n in starts]
+    rows = rows.select(
+        *columns,
+        "run_value",
+        "run_start",
+        run_len.alias("run_len"),
+        number.alias("run_no"),
+        (F.col("id") - F.col("run_start") + 1).alias("member_no"),
     )
+    return rows.filter(F.col("run_value").isNotNull() & (F.col("run_len") >= min_len))
 
 
 def run_summary(members: DataFrame) -> DataFrame:

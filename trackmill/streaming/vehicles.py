@@ -37,9 +37,9 @@ def speeds_after(
         points = points.unionByName(last.select(*POINT, F.lit(1).alias("_old")))
     df = distance(time_gap(number_points(points, max_rows)), "atan2")
     # In order of time, late points are the ones with the old point still to come.
-    df = beyond_piece(df, later={"_old_later": (F.sum("_old"), F.sum)})
+    df, beyond = beyond_piece(df, later={"_old_later": (F.sum("_old"), F.sum)})
     ahead = order_window(df, KEY, ORDER, descending=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_come = F.sum("_old").over(ahead) + F.coalesce("_old_later", F.lit(0))
+    to_come = F.sum("_old").over(ahead) + F.coalesce(beyond["_old_later"], F.lit(0))
     df = df.withColumn("late", to_come > 0)
     speed = F.when(F.col("id") > 0, F.try_divide("dist_m", "gap_s")).otherwise(0.0)
     df = plain(df).filter("_old = 0").withColumn("speed", speed)
