@@ -8,7 +8,7 @@ import test_trajectory as tt
 from trackmill.operators.ordered import plain
 from trackmill.operators import trajectory as tr
 from trackmill.streaming.messages import pair_speeds, person_messages, show_console, start_append
-from trackmill.streaming.vehicles import speeds_after, start_vehicle_speeds
+from trackmill.streaming.vehicles import latest_points, speeds_after, start_vehicle_speeds
 from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, split_words, start_word_counts
 
 
@@ -94,6 +94,15 @@ def test_late_points_are_kept_apart(spark):
     assert (found[7].gap_s, found[7].speed) == (0.0, 0.0)
 
 
+def test_idle_vehicles_are_forgotten(spark):
+    t = tt.START
+    points = [("a", t, 1, 0.0, 0.0), ("a", t + timedelta(seconds=5), 2, 1.0, 1.0), ("b", t + timedelta(seconds=65), 3, 0.0, 0.0)]
+    df = spark.createDataFrame(points, tt.SCHEMA)
+    assert {(r.traj_id, r.seq) for r in latest_points(df).collect()} == {("a", 2), ("b", 3)}
+    assert {r.traj_id for r in latest_points(df, 60).collect()} == {"a", "b"}
+    assert {r.traj_id for r in latest_points(df, 59).collect()} == {"b"}
+
+
 def test_split_words(spark):
     df = spark.createDataFrame([("a  b ",), ("",), (None,)], "text string")
     assert rows(split_words(df, "text")) == [("a",), ("b",)]

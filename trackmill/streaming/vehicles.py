@@ -18,10 +18,18 @@ from trackmill.operators.trajectory import KEY, ORDER, distance, number_points,
 POINT = (KEY, "ts", "seq", "lat", "lon")
 
 
-def latest_points(points: DataFrame) -> DataFrame:
-    """The newest point of every vehicle, combined before the shuffle."""
+def latest_points(points: DataFrame, forget_after_s: int | None = None) -> DataFrame:
+    """The newest point of every vehicle, combined before the shuffle.
+
+    Vehicles idle for more than ``forget_after_s`` seconds before the newest point of
+    all are left out; their next point is a first one again.
+    """
     newest = F.max(F.struct(*POINT[1:])).alias("p")
-    return points.groupBy(KEY).agg(newest).select(KEY, "p.*")
+    latest = points.groupBy(KEY).agg(newest).select(KEY, "p.*")
+    if forget_after_s is None:
+        return latest
+    end = points.agg(F.max("ts")).scalar()
+    return latest.filter(F.col("ts") >= end - F.make_dt_interval(secs=F.lit(forget_after_s)))
 
 
 def speeds_after(
@@ -54,6 +62,7 @@ def start_vehicle_speeds(
     checkpoint: str,
     every: str | None = None,
     max_rows: int | None = MAX_ROWS_PER_TASK,
+    forget_after_s: int | None = None,
 ) -> StreamingQuery:
     """Write the speeds of every batch to ``path``, one folder per batch.
 
@@ -69,7 +78,7 @@ def start_vehicle_speeds(
             known = last.unionByName(batch)
         speeds = speeds_after(batch, last, max_rows)
         speeds.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        latest_points(known).write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
+        latest_points(known, forget_after_s).write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
         batch.unpersist()
 
     writer = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
