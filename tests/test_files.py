@@ -36,13 +36,21 @@ def small_blocks(spark):
 def test_plt(spark, tmp_path):
     (tmp_path / "one.plt").write_text(HEADER + "39.9,116.3,0,170,39566.5,2008-04-28,12:00:00\nx,1,0,1,1,2008-04-28,12:00:00\n")
     (tmp_path / "two.plt").write_text(HEADER + "1,2,0,-777,2.0,2008-04-28,12:00:01\n1,2,0,0,3,2008-13-28,12:00:01\n")
-    found = read_plt(spark, str(tmp_path)).orderBy("traj_id").collect()
+    found = read_plt(spark, str(tmp_path), folders=0).orderBy("traj_id").collect()
     assert [(r.traj_id, r.lat, r.lon, r.altitude, r.day_serial) for r in found] == [
         ("one", 39.9, 116.3, 170.0, 39566.5), ("two", 1.0, 2.0, -777.0, 2.0),
     ]
     assert found[0].ts.isoformat() == "2008-04-28T12:00:00"
 
 
+def test_equal_file_names_stay_apart(spark, tmp_path):
+    for user in ("000", "170"):
+        (tmp_path / user / "Trajectory").mkdir(parents=True)
+        (tmp_path / user / "Trajectory" / "a.b.plt").write_text(HEADER + "1,2,0,0,3,2008-10-13,12:00:01\n")
+    points = read_plt(spark, str(tmp_path / "*" / "Trajectory"))
+    assert sorted(r.traj_id for r in points.collect()) == ["000/Trajectory/a.b", "170/Trajectory/a.b"]
+
+
 def test_plt_in_small_blocks(spark, sample, small_blocks):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     assert read_plt(spark, sample("plt")).filter("day_serial < 39700").count() == 4377

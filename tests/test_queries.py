@@ -8,6 +8,8 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as entry_points
+from trackmill.operators import trajectory as tr
+from trackmill.plans.queries.tracks import points_of
 
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
@@ -42,6 +44,13 @@ def test_query(spark, database, name):
         assert len(found) > 0
 
 
+def test_points_of_events_in_pieces(spark, database):
+    points = points_of(spark.read.parquet(f"{TABLES}/events.parquet"))
+    names = ["traj_id", "seq", "run_value", "run_no", "run_len", "member_no", "speed"]
+    plain_runs, cut_runs = (tr.runs(tr.analyse(points, digits=6, max_rows=n)).select(names) for n in (None, 5))
+    assert as_text(plain_runs.toPandas()) == as_text(cut_runs.toPandas())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
     assert set(SQL) <= set(QUERIES)

@@ -55,15 +55,17 @@ def frame_of(spark: SparkSession, rows: Iterable, schema: StructType | str) -> D
     return spark.createDataFrame(list(rows), schema)
 
 
-def read_plt(spark: SparkSession, path) -> DataFrame:
+def read_plt(spark: SparkSession, path, folders: int = 2) -> DataFrame:
     """Points of PLT files, one trajectory per file.
 
-    Header lines are told by their shape, so files may be split and many files
+    ``traj_id`` is the file name after as many of its folders as tell files of equal
+    name apart. Header lines are told by their shape, so files may be split and many
     may be read at once. ``seq`` breaks ties between equal timestamps.
     """
     fields = split_on(F.col("value"), ",")
+    end_of_path = rf"((?:[^/]+/){{0,{folders}}}[^/]*?)(?:\.[^./]*)?$"
     lines = spark.read.text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1).alias("traj_id"),
+        F.regexp_extract(F.col("_metadata.file_path"), end_of_path, 1).alias("traj_id"),
         F.monotonically_increasing_id().alias("seq"),
         fields.alias("f"),
     )
