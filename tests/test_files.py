@@ -126,3 +126,14 @@ def test_options():
 def test_shared_folder_is_the_sessions(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_dir(spark, "x") != new_shared_dir(spark, "x")
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda name, default: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(cluster)
+    local = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]", applicationId="test-app"))
+    assert shared_root(local) == shared_root(local)
