@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmill.llm import near_dedup
+from trackmill.llm import chat, decontaminate, html_blocks, mixing, near_dedup, outliers, pii, quality_qda, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,7 +37,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE
-         list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM words
+         list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
 ), items AS (
   SELECT doc_id, unnest(s) AS item FROM sets
 ), shared AS (
@@ -54,3 +54,124 @@ FROM sets JOIN least ON node = doc_id""")
 def op1_near_duplicates(spark, folder):
     found = near_dedup.near_duplicates(table(spark, folder, "documents"), near_dedup.Settings(words=2))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query(r"""
+WITH payloads AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), bits AS (
+  SELECT page_id, payload_bytes, h, array_to_string(list_transform(range(1, 41), lambda i:
+    ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', h[i])]), '') AS b
+  FROM payloads
+), firsts AS (
+  SELECT h, min(page_id) AS first FROM payloads GROUP BY h
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+    + 16 * CAST(substr(b, i * 5 + 1, 1) AS INT) + 8 * CAST(substr(b, i * 5 + 2, 1) AS INT) + 4 * CAST(substr(b, i * 5 + 3, 1) AS INT)
+    + 2 * CAST(substr(b, i * 5 + 4, 1) AS INT) + CAST(substr(b, i * 5 + 5, 1) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits JOIN firsts USING (h)""")
+def op2_warc_archives(spark, folder):
+    return warc.archived(table(spark, folder, "pages"))
+
+
+@query()
+def op3_main_text(spark, folder):
+    return html_blocks.main_text(table(spark, folder, "pages"))
+
+
+@query()
+def op4_source_mix(spark, folder):
+    return mixing.mix(table(spark, folder, "documents")).drop("copies")
+
+
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query(rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM benchmark
+), lengths AS (
+  SELECT DISTINCT least(10, len(w)) AS n FROM items WHERE len(w) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM items WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, lengths)
+), hits AS (
+  SELECT doc_id, n, p, item_id FROM doc_windows JOIN item_windows USING (n, win)
+), words AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS spot FROM hits) GROUP BY doc_id
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS joined
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""")
+def op5_contamination(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_CONTROL = "</s>[INST] ok [/INST]"
+
+
+@query(rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_CONTROL}'), (-7, 1, 'assistant', '{_CONTROL}')
+), sized AS (
+  SELECT *, length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b')) AS body,
+         length(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b')) AS head,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS no FROM turns
+), counted AS (
+  SELECT *, CAST(ceil(body / 4) + 4 AS BIGINT) AS tokens, no = 1 AND role = 'system' AS is_system, 19 + head + body AS chars FROM sized
+), summed AS (
+  SELECT *, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY no) AS so_far,
+         sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id) AS total,
+         coalesce(sum(CASE WHEN is_system THEN tokens END) OVER (PARTITION BY conv_id), 0) AS system_tokens,
+         coalesce(sum(CASE WHEN is_system THEN chars END) OVER (PARTITION BY conv_id), 0) AS system_chars FROM counted
+), placed AS (
+  SELECT *, (so_far - 1) // greatest(1, (1024 - 128 - system_tokens) // 2) AS place FROM summed WHERE NOT is_system
+), bounded AS (
+  SELECT *, max(so_far) OVER (PARTITION BY conv_id, place) AS stop, row_number() OVER (PARTITION BY conv_id, place ORDER BY no) AS first FROM placed
+), written AS (
+  SELECT conv_id, sum(chars + CASE WHEN stop - (so_far - tokens) <= 128 AND stop < total THEN chars ELSE 0 END
+                      + CASE WHEN first = 1 THEN system_chars ELSE 0 END) AS chars FROM bounded GROUP BY conv_id
+  UNION ALL SELECT conv_id, sum(system_chars) FROM summed GROUP BY conv_id HAVING count(*) = 1 AND bool_and(is_system)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(any_value(chars) AS BIGINT) AS formatted_chars
+FROM turns JOIN written USING (conv_id) GROUP BY conv_id""")
+def op6_chat_windows(spark, folder):
+    control = spark.sql(
+        f"SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{_CONTROL}' AS text "
+        "FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.windows(turns.unionByName(control)))
+
+
+@query()
+def op7_secret_scan(spark, folder):
+    return secrets.scan(table(spark, folder, "documents"))
+
+
+@query()
+def op8_quality_scores(spark, folder):
+    return quality_qda.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op9_surrogates(spark, folder):
+    return pii.with_surrogates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_quality_rules(spark, folder):
+    return outliers.verdicts(table(spark, folder, "documents"))

@@ -76,3 +76,34 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 yield work(batch.slice(lo, 2000))
 
     return df.mapInArrow(run, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], make: Callable[[], Callable[[pa.Table, np.ndarray], pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """Runs a function over tables of whole groups of equal keys.
+
+    The rows are dealt out and sorted by the keys, so that a task streams through its groups
+    and holds a few of them at a time. The function gets the rows and the groups' bounds in
+    them; the caller sees to it that no group is large. Keys must not be null.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work, held = make(), None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            edges = _edges(held, keys)
+            if len(edges) > 2:
+                yield work(held.slice(0, edges[-2]).combine_chunks(), edges[:-1])
+                held = held.slice(edges[-2])
+        if held is not None and held.num_rows:
+            yield work(held.combine_chunks(), _edges(held, keys))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _edges(table: pa.Table, keys: list[str]) -> np.ndarray:
+    changed = np.zeros(table.num_rows, bool)
+    for key in keys:
+        values = table.column(key).to_numpy()
+        changed[1:] |= values[1:] != values[:-1]
+    return np.concatenate(([0], np.flatnonzero(changed), [table.num_rows]))
