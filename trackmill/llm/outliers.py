@@ -32,14 +32,14 @@ PRODUCTS = [(i, j) for i in range(DIM) for j in range(i + 1)]
 @dataclass(frozen=True)
 class Settings:
     """`coverage`: share of central rows; `least_rows`: of a group with estimates of its own;
-    `passes`: concentration steps; `cutoff`: largest squared distance kept; `floors`: standard
+    `passes`: concentration steps; `cutoff`: largest squared distance kept (1 in 20,000 normal rows is farther); `floors`: standard
     deviations added to each statistic's own, below which differences don't count; `bin`: width
     of the bins of quantiles."""
 
     coverage: float = 0.75
     least_rows: int = 100
     passes: int = 3
-    cutoff: float = 60.0
+    cutoff: float = 25.0
     floors: tuple[float, ...] = (0.05, 0.15, 0.15, 0.15)
     bin: float = 0.01
     least_words: int = 20

@@ -30,9 +30,9 @@ class Settings:
     """Share of the pooled covariance in each class's, share of the sphere in the result, the
     variance added to every statistic, folds of which the first is held out, and the cut."""
 
-    pooled: float = 0.1
+    pooled: float = 0.02
     sphere: float = 0.02
-    floor: float = 1e-3
+    floor: float = 1e-2
     folds: int = 5
     cut: float = 0.3
 
