@@ -5,8 +5,8 @@ Two signatures are near if at most `distance` positions differ. The signature is
 `chunks`; by the pigeonhole principle near signatures have a chunk with at most
 ``distance // chunks`` differing positions. The allowed errors are enumerated: a chunk
 yields a key for every way of leaving out so many positions, so all near pairs share a key,
-without exception. What shares a key is compared by signature, and near pairs are confirmed
-on their full shingle sets.
+without exception. The members of a key are compared by signature, what is near falls into
+one cluster, and the links inside a cluster are confirmed on full shingle sets.
 
 With the default 64 positions, a pair of similarity 0.8 has more than 27 differing ones with
 probability 6e-6 (binomial, 0.2 each), so that is the share of such links that may be lost.
@@ -26,12 +26,13 @@ from pyspark.sql import types as T
 
 from trackmill.llm.components import components, follow
 from trackmill.llm.spans import BASE, SPACED, Words, chunks, distinct, mix
-from trackmill.llm.work import Scratch, binary, map_batches, utf8
+from trackmill.llm.work import Scratch, binary, map_batches, map_groups, utf8
 
 
 @dataclass(frozen=True)
 class Settings:
-    """`words` per shingle, `percent` of the union that linked sets share, and the signature."""
+    """`words` per shingle, `percent` of the union that linked sets share, the signature, and
+    the members or bytes of text above which a group is compared block by block."""
 
     words: int = 5
     percent: int = 80
@@ -40,6 +41,8 @@ class Settings:
     distance: int = 27
     chunks: int = 14
     seed: int = 20240607
+    block: int = 1000
+    block_bytes: int = 16 << 20
 
     def factors(self) -> np.ndarray:
         drawn = np.random.default_rng(self.seed).integers(0, 2**63, self.positions, dtype=np.uint64)
@@ -134,53 +137,126 @@ def chunk_keys(classes: DataFrame, settings: Settings) -> DataFrame:
     return map_batches(classes.select("cls", "signature"), make, schema)
 
 
-def near_signatures(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose signatures differ in at most `distance` positions."""
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    signs = classes.select("cls", "signature")
-    for end in ("a", "b"):
-        pairs = pairs.join(signs.select(F.col("cls").alias(end), F.col("signature").alias(f"sign_{end}")), end)
+_LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+
+def _in_blocks(rows: DataFrame, n_blocks: Column) -> DataFrame:
+    """Each row once for every pair (i, j) of blocks that its own block is part of.
+
+    A group of one block has the pair (0, 0) only. So all pairs of rows meet, and no task
+    holds more than two blocks.
+    """
+    rows = rows.withColumn("n_blocks", F.greatest(F.lit(1), n_blocks).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "n_blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
+    rows = rows.select("*", other)
+    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("n_blocks", "other")
+
+
+class _Forest:
+    """Union-find over the rows of one group."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def join(self, a: int, b: int) -> None:
+        low, high = sorted((self.root[a], self.root[b]))
+        self.root[self.root == high] = low
+
+
+def near_forest(members: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) of near signatures that connect, within each key, all that near ones connect.
+
+    `members` are rows (key, n, cls, signature), n being the members of the key. A key of n
+    members gives less than n links for each pair of blocks, however many pairs are near.
+    """
 
     def make():
         unit = f"<u{settings.bits // 8}"
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(f"sign_{end}").to_pylist()), unit).reshape(-1, settings.positions)
-                for end in ("a", "b")
-            )
-            near = pa.array((left != right).sum(axis=1) <= settings.distance)
-            return batch.select(["a", "b"]).filter(near)
+        def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+            signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), unit).reshape(-1, settings.positions)
+            names, block = table.column("cls").to_numpy(), table.column("block").to_numpy()
+            sizes = np.diff(edges)
+            pairs = edges[:-1][sizes == 2]
+            near = pairs[(signs[pairs] != signs[pairs + 1]).sum(axis=1) <= settings.distance]
+            left, right = [names[near]], [names[near + 1]]
+            for start, size in zip(edges[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                rows = slice(start, start + size)
+                for a, b in _spanning(signs[rows], block[rows], settings.distance):
+                    left.append(names[start + a : start + a + 1])
+                    right.append(names[start + b : start + b + 1])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
 
         return work
 
-    return map_batches(pairs.select("a", "b", "sign_a", "sign_b"), make, schema)
+    return map_groups(_in_blocks(members, F.ceil(F.col("n") / settings.block)), ["key", "i", "j"], make, _LINK)
+
+
+def _spanning(signs: np.ndarray, block: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """A forest over the rows whose signatures are near, between the two blocks if there are two."""
+    forest, found, two = _Forest(len(signs)), [], block.min() != block.max()
+    for a in range(len(signs) - 1):
+        later = np.flatnonzero(forest.root[a + 1 :] != forest.root[a]) + a + 1
+        if two:
+            later = later[block[later] != block[a]]
+        if len(later):
+            near = later[(signs[later] != signs[a]).sum(axis=1) <= distance]
+            for b in near.tolist():
+                if forest.root[a] != forest.root[b]:
+                    forest.join(a, b)
+                    found.append((a, b))
+    return found
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) that share enough of their full shingle sets."""
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    for end in ("b", "a"):
-        pairs = pairs.join(texts.select(F.col("cls").alias(end), F.col("text").alias(f"text_{end}")), end)
+def link_forest(clustered: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) of sets that share enough, connecting within each cluster all that such links connect.
+
+    `clustered` are rows (cluster, n, n_bytes, cls, text). Every pair of a cluster is compared
+    on full sets, unless links found before connect it already.
+    """
 
     def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            linked = []
-            for part in chunks(x for both in zip(utf8(batch.column("text_a")), utf8(batch.column("text_b")), strict=True) for x in both):
-                _carry.extend(part)
-                even = len(_carry) // 2 * 2
-                values, bounds = shingle_sets(_carry[:even], settings.words)
-                del _carry[:even]
-                for i in range(0, even, 2):
-                    left, right = values[bounds[i] : bounds[i + 1]], values[bounds[i + 1] : bounds[i + 2]]
-                    shared = len(np.intersect1d(left, right, assume_unique=True))
-                    linked.append(100 * shared >= settings.percent * (len(left) + len(right) - shared))
-            return batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-        _carry: list[bytes] = []
+        def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+            texts, names = utf8(table.column("text")), table.column("cls").to_numpy()
+            block, links = table.column("block").to_numpy(), []
+            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if stop - start > 1:
+                    for a, b in _linked(texts[start:stop], block[start:stop], settings):
+                        links.append((names[start + a], names[start + b]))
+            left, right = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
         return work
 
-    return map_batches(pairs.select("a", "b", "text_a", "text_b"), make, schema)
+    blocks = F.greatest(F.ceil(F.col("n") / settings.block), F.ceil(F.col("n_bytes") / settings.block_bytes))
+    return map_groups(_in_blocks(clustered, blocks), ["cluster", "i", "j"], make, _LINK)
+
+
+def _linked(texts: list[bytes], block: np.ndarray, settings: Settings) -> list[tuple[int, int]]:
+    parts = [shingle_sets(part, settings.words) for part in chunks(texts)]
+    values = np.concatenate([v for v, _ in parts])
+    sizes = np.concatenate([np.diff(b) for _, b in parts])
+    kinds, place = np.unique(values, return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    marked = np.zeros(len(kinds), np.int64)
+    forest, found, two = _Forest(len(texts)), [], block.min() != block.max()
+    for a in range(len(texts) - 1):
+        open_ = (forest.root[a + 1 :] != forest.root[a]) & (100 * np.minimum(sizes[a], sizes[a + 1 :]) >= settings.percent * np.maximum(sizes[a], sizes[a + 1 :]))
+        if two:
+            open_ &= block[a + 1 :] != block[a]
+        if not open_.any():
+            continue
+        own = place[starts[a] : starts[a + 1]]
+        marked[own] = 1
+        shared = np.add.reduceat(marked[place[starts[a + 1] :]], starts[a + 1 : -1] - starts[a + 1])
+        marked[own] = 0
+        enough = open_ & (100 * shared >= settings.percent * (sizes[a] + sizes[a + 1 :] - shared))
+        for b in (np.flatnonzero(enough) + a + 1).tolist():
+            if forest.root[a] != forest.root[b]:
+                forest.join(a, b)
+                found.append((a, b))
+    return found
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -196,16 +272,12 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     larger than all others; a component of null ids only has a null component_id, and keeps
     its rows. Other columns are not read. No documents give no rows.
 
-    Documents of equal sets form one class, and all that follows is done on classes. A
-    bucket (the classes of a key) is never paired out: its smallest classes are compared
-    with all its members, links are gathered into components, and buckets of one component
-    are done. The others lose the classes already compared and go on with eight times as many.
-    So every pair of a bucket is compared or already connected, and a large group of copies
-    costs about one comparison a member.
+    Documents of equal sets form one class, and all that follows is done on classes. No step
+    emits the pairs of a group: keys and clusters give a forest each, and groups too large
+    for a task are compared as pairs of blocks.
     """
     settings = settings or Settings()
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = Scratch(docs.sparkSession, "near")
     found = scratch.settle(features(docs, settings), "features")
     classes = (
         found.filter("digest IS NOT NULL")
@@ -241,49 +313,27 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
 def _groups(docs: DataFrame, classes: DataFrame, scratch: Scratch, settings: Settings) -> list[DataFrame]:
     """Tables (node, up) that lead from each class to its component."""
     keys = chunk_keys(classes, settings)
-    shared = keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
-    members = keys.join(shared.select("key"), "key").withColumn("comp", F.col("cls"))
-    members = scratch.settle(members, "members")
-    texts = scratch.settle(_texts(docs, classes, members), "texts")
-    steps, tested, centers_per_key = [], [], 1
-    while not members.isEmpty():
-        slot = F.pmod(F.xxhash64("cls"), F.lit(centers_per_key))
-        centers = members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("cls", "comp")).alias("center"))
-        centers = centers.select("key", F.col("center.cls").alias("center"), F.col("center.comp").alias("center_comp"))
-        met = members.join(centers, "key").filter("comp != center_comp")
-        swap = F.col("cls") < F.col("center")
-        pairs = met.select(
-            F.least("cls", "center").alias("a"),
-            F.greatest("cls", "center").alias("b"),
-            F.when(swap, F.col("comp")).otherwise(F.col("center_comp")).alias("comp_a"),
-            F.when(swap, F.col("center_comp")).otherwise(F.col("comp")).alias("comp_b"),
-        ).distinct()
-        for earlier in tested:
-            pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = scratch.settle(pairs, "pairs")
-        tested.append(pairs)
-        linked = confirmed(near_signatures(pairs.select("a", "b"), classes, settings), texts, settings)
-        linked = pairs.join(linked, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-        new_steps = components(scratch, linked)
-        rest = members.join(centers.select("key", F.col("center").alias("cls")), ["key", "cls"], "left_anti")
-        for step in new_steps:
-            rest = follow(rest, step, "comp")
-        several = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        rest = scratch.settle(rest.join(several.select("key"), "key").select("key", "cls", "comp"), "members")
-        scratch.drop(members)
-        members = rest
-        steps += new_steps
-        centers_per_key *= 8
-    return steps
-
-
-def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """One text (cls, text) for every class that shares a key with another."""
-    wanted = members.select("cls").distinct().join(classes.select("cls", "doc_id", "text_key"), "cls")
-    wanted = wanted.select("cls", F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = scratch.settle(keys.join(shared, "key"), "members")
+    near = near_forest(members.join(classes.select("cls", "signature"), "cls"), settings)
+    near = scratch.settle(near.distinct(), "near")
+
+    nodes = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().withColumn("cluster", F.col("cls"))
+    for step in components(scratch, near):
+        nodes = follow(nodes, step, "cluster")
+    wanted = nodes.join(classes.select("cls", "doc_id", "text_key"), "cls")
+    texts = scratch.settle(_texts(docs, wanted), "texts")
+    sizes = texts.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("n_bytes"))
+    links = scratch.settle(link_forest(texts.join(sizes, "cluster"), settings), "links")
+    return components(scratch, links)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text (cluster, cls, text) for every class wanted."""
+    wanted = wanted.select("cluster", "cls", F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"))
     held = docs.select("doc_id", _text_key().alias("text_key"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key"))
-    return held.join(wanted, same).select("cls", "text").dropDuplicates(["cls"])
+    return held.join(wanted, same).select("cluster", "cls", "text").dropDuplicates(["cls"])
 
 
 def first_of_groups(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
