@@ -189,14 +189,19 @@ def mixed(sizes: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """The rows (doc_id, source, size, row_no) with source_size, target and copies."""
     of_source = targets(sizes, scratch, settings)
     of_source = of_source.select(F.col("source").alias("_source"), "source_size", "n_docs", "target")
-    # Rows of one id that are more than a block are dealt out by row number.
-    many = sizes.groupBy("doc_id").count().filter(F.col("count") > settings.block).select(F.col("doc_id").alias("_many"), F.lit(True).alias("dealt"))
-    units = sizes.join(many, F.col("doc_id").eqNullSafe(F.col("_many")), "left").drop("_many")
+    # Rows of one id that are more than a block are numbered and dealt out by number.
+    many = sizes.groupBy("doc_id").count().filter(F.col("count") > settings.block).select(F.col("doc_id").alias("_many"))
+    units = sizes.withColumn("ordinal", F.lit(None).cast("bigint"))
+    if not many.isEmpty():
+        is_many = F.col("doc_id").eqNullSafe(F.col("_many"))
+        numbered = plain(number_rows(sizes.join(many, is_many, "left_semi"), "doc_id", ["size", "source", "row_no"], max_rows=1_000_000))
+        numbered = numbered.withColumnRenamed("id", "ordinal").select(units.columns)
+        units = units.join(many, is_many, "left_anti").unionByName(numbered)
     units = units.join(of_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio + 1e-12)
-    deal = F.xxhash64(F.lit(settings.seed), "doc_id", "size", F.when(F.col("dealt"), F.col("row_no")))
-    units = units.withColumns({"whole": whole, "chance": F.greatest(F.lit(0.0), ratio - whole), "deal": deal}).drop("dealt")
+    deal = F.xxhash64(F.lit(settings.seed), "doc_id", "size", "ordinal")
+    units = units.withColumns({"whole": whole, "chance": F.greatest(F.lit(0.0), ratio - whole), "deal": deal}).drop("ordinal")
     units = units.withColumn("chance", F.when(F.col("chance") < 1e-9, 0.0).otherwise(F.col("chance")))
     flat = units.schema.names
 

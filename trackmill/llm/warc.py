@@ -307,8 +307,10 @@ def archived(pages: DataFrame, settings: Settings | None = None) -> DataFrame:
     again = revisits(listing, settings).groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("place", "refers_to"))).alias("r"))
     names = listing.select("archive").distinct().join(again, "archive", "left")
     work = names.select("archive", F.col("r.place").alias("places"), F.col("r.refers_to").alias("targets"))
-    index = scratch.settle(normalise(work.repartition("archive"), raw, members, settings), "index")
+    # The rows are few and small, the archives behind them are not: each gets a task.
+    n_tasks = max(1, names.count())
+    index = scratch.settle(normalise(work.repartition(n_tasks, "archive"), raw, members, settings), "index")
     scratch.drop(raw)
-    read = scratch.settle(read_records(index.repartition("archive"), members, pages.schema["page_id"]), "read")
+    read = scratch.settle(read_records(index.repartition(n_tasks, "archive"), members, pages.schema["page_id"]), "read")
     scratch.drop_all_but(read)
     return read
