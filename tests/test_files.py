@@ -5,7 +5,7 @@ from conftest import rows
 
 from trackmill.session import new_shared_dir, shared_root
 from trackmill.schemas import EMPLOYEE_TABLE, SALES
-from trackmill.sinks.writers import as_messages, write_by_interval, write_csv, write_tsv
+from trackmill.sinks.writers import as_messages, write_by_interval, write_csv, write_intervals, write_tsv
 from trackmill.sources.files import (
     frame_of,
     number_lines,
@@ -14,6 +14,8 @@ from trackmill.sources.files import (
     read_lines,
     read_plt,
     read_sales,
+    read_written_csv,
+    read_written_tsv,
     skip_lines,
 )
 from trackmill.sources.jdbc import aggregate_sql, subquery
@@ -36,19 +38,19 @@ def small_blocks(spark):
 def test_plt(spark, tmp_path):
     (tmp_path / "one.plt").write_text(HEADER + "39.9,116.3,0,170,39566.5,2008-04-28,12:00:00\nx,1,0,1,1,2008-04-28,12:00:00\n")
     (tmp_path / "two.plt").write_text(HEADER + "1,2,0,-777,2.0,2008-04-28,12:00:01\n1,2,0,0,3,2008-13-28,12:00:01\n")
-    found = read_plt(spark, str(tmp_path), folders=0).orderBy("traj_id").collect()
-    assert [(r.traj_id, r.lat, r.lon, r.altitude, r.day_serial) for r in found] == [
+    found = read_plt(spark, str(tmp_path)).orderBy("name").collect()
+    assert [(r.name, r.lat, r.lon, r.altitude, r.day_serial) for r in found] == [
         ("one", 39.9, 116.3, 170.0, 39566.5), ("two", 1.0, 2.0, -777.0, 2.0),
     ]
     assert found[0].ts.isoformat() == "2008-04-28T12:00:00"
 
 
 def test_equal_file_names_stay_apart(spark, tmp_path):
-    for user in ("000", "170"):
-        (tmp_path / user / "Trajectory").mkdir(parents=True)
-        (tmp_path / user / "Trajectory" / "a.b.plt").write_text(HEADER + "1,2,0,0,3,2008-10-13,12:00:01\n")
-    points = read_plt(spark, str(tmp_path / "*" / "Trajectory"))
-    assert sorted(r.traj_id for r in points.collect()) == ["000/Trajectory/a.b", "170/Trajectory/a.b"]
+    for folder in ("2007/000/Trajectory", "2008/000/Trajectory", "2008/170/Trajectory"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "a.b.plt").write_text(HEADER + "1,2,0,0,3,2008-10-13,12:00:01\n")
+    points = read_plt(spark, str(tmp_path / "*" / "*" / "Trajectory")).collect()
+    assert len({r.traj_id for r in points}) == 3 and {r.name for r in points} == {"a.b"}
 
 
 def test_plt_in_small_blocks(spark, sample, small_blocks):
@@ -66,11 +68,11 @@ def test_skip_lines(spark, tmp_path, small_blocks, n):
     assert sorted(r.value for r in skip_lines(spark, str(tmp_path), n).collect()) == sorted(want)
 
 
-def test_skip_lines_beyond_first_block(spark, tmp_path, small_blocks):
+@pytest.mark.parametrize("block", ["64", "1000", "100000"])
+def test_skip_lines_beyond_first_block(spark, tmp_path, small_blocks, block):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     (tmp_path / "a").write_text("".join(f"line {i}\n" for i in range(100)))
-    with pytest.raises(Exception, match="beyond its first block"):
-        skip_lines(spark, str(tmp_path), 40).collect()
-    assert number_lines(spark, str(tmp_path)).filter("line_no > 40").count() == 60
+    assert sorted(r.value for r in skip_lines(spark, str(tmp_path), 40).collect()) == sorted(f"line {i}" for i in range(40, 100))
 
 
 def test_number_lines(spark, tmp_path, small_blocks):
@@ -93,14 +95,35 @@ def test_delimited(spark, tmp_path):
     assert [r.value for r in read_lines(spark, str(tmp_path / "lines")).collect()] == ["a", "", "b"]
 
 
+ODD = ["l1\nl2", "\r", "\ttab\t", '"q" "', "\\", "\\N", "\\n", " lead ", "", None, "a,b", "\0", "\\\\t", '"', "é 酒", "\\-", "#x"]
+
+
+@pytest.mark.parametrize("write, read", [(write_csv, read_written_csv), (write_tsv, read_written_tsv)])
+def test_values_come_back(spark, tmp_path, write, read):
+    df = spark.createDataFrame([(i, v, w, i / 3) for i, v in enumerate(ODD) for w in ODD], "k int, v string, w string, x double")
+    write(df, str(tmp_path / "out"))
+    assert rows(read(spark, str(tmp_path / "out"), df.schema)) == rows(df)
+    one = df.select("v").distinct()
+    write(one, str(tmp_path / "one"))
+    assert rows(read(spark, str(tmp_path / "one"), one.schema)) == rows(one)
+
+
 def test_csv_appends_with_header(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     for _ in range(2):
         write_csv(df, str(tmp_path / "out"))
-    back = spark.read.option("header", True).schema(df.schema).csv(str(tmp_path / "out"))
+    back = read_written_csv(spark, str(tmp_path / "out"), df.schema)
     assert back.count() == 4 and back.filter("v is null").count() == 2
 
 
+def test_intervals_as_one_table(spark, tmp_path):
+    df = spark.createDataFrame([(f"t{i}", "up" if i % 2 else "down", i, "x\ny") for i in range(50)], "traj_id string, direction string, interval_id int, v string")
+    write_intervals(df, str(tmp_path / "out"), "traj_id", buckets=4)
+    assert {p.parent.name for p in (tmp_path / "out").rglob("*.csv")} == {f"bucket={b}" for b in range(4)}
+    names = df.select("traj_id", "interval_id", "v", "direction")
+    assert rows(read_written_csv(spark, str(tmp_path / "out"), names.schema)) == rows(names)
+
+
 def test_a_folder_per_interval(spark, tmp_path):
     df = spark.createDataFrame([("t", "up", 1, 5.0), ("t", "up", 2, 6.0), ("t", "down", 1, 7.0)], "traj_id string, direction string, interval_id int, v double")
     write_by_interval(df, str(tmp_path / "out"), ["traj_id", "direction", "interval_id"])

@@ -29,3 +29,30 @@ def is_number(text: Column) -> Column:
 
 def without_trailing_dot(text: Column) -> Column:
     return F.regexp_replace(text, r"\.$", "")
+
+
+#: What would end a line or a tab-separated field, and its code; the backslash comes first.
+_CODES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+#: Stands for null. No coded text is equal to it, since codes double every backslash.
+NULL_MARK = "\\N"
+
+
+def coded(text: Column) -> Column:
+    """The text on one line without tabs; ``decoded`` gives it back."""
+    for plain, code in _CODES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
+
+
+def decoded(text: Column) -> Column:
+    """The text behind ``coded``. A coded text holds no NUL, so one marks the real backslashes."""
+    text = F.replace(text, F.lit("\\\\"), F.lit("\0"))
+    parts = F.split(text, "\0", -1)
+    back = _CODES[1:]
+
+    def one(part: Column) -> Column:
+        for plain, code in back:
+            part = F.replace(part, F.lit(code), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(parts, one), "\\")

@@ -5,27 +5,54 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackmill.functions.texts import split_on
+from trackmill.functions.times import day_serial
 from trackmill.operators import trajectory as tr
+from trackmill.operators.ordered import plain
 from trackmill.plans.queries.base import query, table
-from trackmill.plans.queries.tracks import _SIGN, DIGITS, _runs_sql, points_of
+from trackmill.plans.queries.tracks import _HAVERSINE, _POINTS, _SIGN, DIGITS, _runs_sql, points_of
 from trackmill.plans.trajectories import interval_rows
 from trackmill.session import new_shared_dir
-from trackmill.sinks.writers import write_by_interval, write_csv, write_tsv
-from trackmill.sources.files import number_lines, read_delimited, read_lines, skip_lines
+from trackmill.sinks.writers import write_csv, write_intervals, write_tsv
+from trackmill.sources.files import (
+    number_lines,
+    read_delimited,
+    read_lines,
+    read_plt,
+    read_written_csv,
+    read_written_tsv,
+    skip_lines,
+)
+
+PLT_HEADER = ("Track file", "WGS 84", "Altitude in feet", "Reserved", "0,2,255,track,0,0,2,8421376", "0")
 
 
 @query("SELECT * FROM part")
 def tsv_roundtrip(spark, folder):
     parts, path = table(spark, folder, "part"), new_shared_dir(spark, "part-tsv")
     write_tsv(parts, path)
-    return read_delimited(spark, path, parts.schema, sep="\t")
+    return read_written_tsv(spark, path, parts.schema)
 
 
 @query("SELECT * FROM customer")
 def csv_roundtrip(spark, folder):
     customers, path = table(spark, folder, "customer"), new_shared_dir(spark, "customer-csv")
     write_csv(customers, path)
-    return spark.read.schema(customers.schema).option("header", True).csv(path)
+    return read_written_csv(spark, path, customers.schema)
+
+
+@query("SELECT * FROM documents")
+def documents_csv(spark, folder):
+    """Texts with line feeds, blanks, quotes and commas, as they were."""
+    documents, path = table(spark, folder, "documents"), new_shared_dir(spark, "documents-csv")
+    write_csv(documents, path)
+    return read_written_csv(spark, path, documents.schema)
+
+
+@query("SELECT * FROM documents")
+def documents_tsv(spark, folder):
+    documents, path = table(spark, folder, "documents"), new_shared_dir(spark, "documents-tsv")
+    write_tsv(documents, path)
+    return read_written_tsv(spark, path, documents.schema)
 
 
 @query("SELECT conv_id, turn, role, text FROM conversations")
@@ -62,23 +89,61 @@ def lines_after_header(spark, folder):
     )
 
 
-@query("SELECT CAST(sum(o_custkey % 2) AS BIGINT) AS faulty FROM orders")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 2 = 1")
 def faulty_line_numbers(spark, folder):
-    """Faulty lines by file and line number, counted; lines with an odd customer are faulty here."""
+    """Faulty lines found again by file and line number; lines with an odd customer are faulty here.
+
+    Each file is numbered as it is written, by a running count in the line itself; only a line
+    whose number is that count comes back.
+    """
     path = new_shared_dir(spark, "orders-lines")
-    table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("value")).write.text(path)
-    faulty = number_lines(spark, path).filter(F.col("value").cast("bigint") % 2 == 1)
-    return faulty.select("file", "line_no").distinct().agg(F.count("*").alias("faulty"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = orders.repartition(4, "o_orderkey").withColumn("no", F.monotonically_increasing_id() % (1 << 33) + 1)
+    orders.select(F.concat_ws(",", "no", "o_orderkey", "o_custkey").alias("value")).write.text(path)
+    fields = split_on(F.col("value"), ",")
+    faulty = number_lines(spark, path).filter(fields[2].cast("bigint") % 2 == 1)
+    found = faulty.filter(fields[0].cast("bigint") == F.col("line_no"))
+    return found.select(fields[1].cast("bigint").alias("o_orderkey"), fields[2].cast("bigint").alias("o_custkey"))
 
 
 @query(f"""
-WITH {_runs_sql(_SIGN, 6)} SELECT traj_id, CASE WHEN run_value = 1 THEN 'up' ELSE 'down' END AS direction,
+WITH {_runs_sql(_SIGN, 2)} SELECT traj_id, CASE WHEN run_value = 1 THEN 'up' ELSE 'down' END AS direction,
        run_no AS interval_id, id, speed FROM mem""")
 def interval_files(spark, folder):
-    """One folder per interval, written and read back."""
+    """All intervals of at least two points, written as one table of files and read back."""
     points = points_of(table(spark, folder, "events"))
-    members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=6)
-    members = interval_rows(members).select("id", "speed", "traj_id", "direction", "interval_id")
+    members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=2)
+    members = interval_rows(members).select("id", "speed", "traj_id", "interval_id", "direction")
     path = new_shared_dir(spark, "intervals")
-    write_by_interval(members, path, ["traj_id", "direction", "interval_id"])
-    return spark.read.schema(members.schema).option("header", True).csv(path)
+    write_intervals(members, path, "traj_id")
+    return read_written_csv(spark, path, members.schema)
+
+
+_CUT = f"cut AS (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events), {_POINTS.replace('FROM events', 'FROM cut')}"
+
+
+@query(f"""
+WITH {_CUT} SELECT 'user' || traj_id || '/points' AS name, id, gap_s, round({_HAVERSINE}, 3) AS dist_m,
+       CASE WHEN gap_s <> 0 THEN round({_HAVERSINE} / gap_s, 3) END AS speed FROM dst""")
+def plt_roundtrip(spark, folder):
+    """Points as PLT text, in whole seconds: a folder per user, files of one name, six header lines."""
+    points = points_of(table(spark, folder, "events")).withColumn("ts", F.date_trunc("second", "ts"))
+    points = points.withColumn("day_serial", day_serial(F.col("ts")))
+    path = new_shared_dir(spark, "points-plt")
+    line = F.concat_ws(
+        ",", F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit("0"), F.lit("-777"),
+        F.col("day_serial").cast("string"), F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss"),
+    )
+    file = F.concat(F.lit("user"), F.col("traj_id").cast("string"))
+    lines = points.select(file.alias("user"), F.lit("points").alias("name"), "ts", "seq", line.alias("value"))
+    headers = lines.select("user", "name").distinct().select(
+        "user", "name", F.lit(None).cast("timestamp").alias("ts"), F.posexplode(F.array(*map(F.lit, PLT_HEADER))).alias("seq", "value")
+    )
+    lines = headers.unionByName(lines).repartition("user", "name").sortWithinPartitions("user", "name", F.col("ts").asc_nulls_first(), "seq")
+    lines.select("user", "name", "value").write.partitionBy("user", "name").text(path)
+    df = tr.number_points(read_plt(spark, path))
+    df = plain(tr.distance(tr.time_gap(df), "atan2"))
+    user = F.regexp_extract("traj_id", r"user=([^/]*)/name=([^/]*)/", 1)
+    name = F.regexp_extract("traj_id", r"user=([^/]*)/name=([^/]*)/", 2)
+    speed = F.try_divide("dist_m", "gap_s")
+    return df.select(F.concat_ws("/", user, name).alias("name"), "id", "gap_s", F.round("dist_m", 3).alias("dist_m"), F.round(speed, 3).alias("speed"))

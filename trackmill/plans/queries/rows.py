@@ -279,7 +279,7 @@ def dq_violations(spark, folder):
         "lang": quality.in_domain(F.col("lang"), ["en", "fr", "de"]),
         "length": F.col("n_chars") >= 200,
         "quality": F.col("quality").isNotNull(),
-        "source": is_number(F.substring("source", 4, 100)),
+        "source": is_number(F.expr("substr(source, 4)")),
     }
     faulty = quality.invalid_rows(labelled, rules)
     return faulty.select("doc_id", F.concat_ws(",", "violations").alias("violations"))

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from trackmill.operators import trajectory as tr
 from trackmill.operators.ordered import MAX_ROWS_PER_TASK, plain
-from trackmill.sinks.writers import write_by_interval, write_csv
+from trackmill.sinks.writers import write_csv, write_intervals
 from trackmill.sources.files import read_plt
 
 
 def interval_rows(members: DataFrame) -> DataFrame:
-    """Run members with ``direction`` and ``interval_id`` for a folder per interval."""
+    """Run members with ``direction`` and ``interval_id`` for the interval files."""
     direction = F.when(F.col("run_value") == tr.UP, "up").otherwise("down")
     return members.withColumns({"direction": direction, "interval_id": F.col("run_no")})
 
@@ -35,5 +35,5 @@ def analyse_files(
     write_csv(tr.stop_list(df), f"{target}/stops")
     write_csv(tr.interval_list(tr.intervals(df)), f"{target}/intervals")
     write_csv(tr.run_summary(members), f"{target}/runs")
-    write_by_interval(interval_rows(members), f"{target}/run_members", [tr.KEY, "direction", "interval_id"])
+    write_intervals(interval_rows(members), f"{target}/run_members", tr.KEY)
     df.unpersist()

@@ -2,35 +2,77 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackmill.functions.texts import NULL_MARK, coded
+
+#: Blanks are kept, quotes doubled, and empty texts quoted, which tells them from nothing.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "nullValue": NULL_MARK,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+BUCKET = "bucket"
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column as coded text, null as its mark; ``sources.files.typed`` gives the values back."""
+    return df.select(*_coded_columns(df))
+
+
+def _coded_columns(df: DataFrame, but: Sequence[str] = ()) -> list[Column]:
+    return [F.coalesce(coded(F.col(c).cast("string")), F.lit(NULL_MARK)).alias(c) for c in df.columns if c not in but]
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    """Comma-separated values with header, quoted where needed. Every line is a row.
+
+    Line feeds, tabs and backslashes are coded, so files can be split at any line and
+    ``read_written_csv`` gives back the same values, blanks, empty texts and nulls too.
+    """
+    as_text(df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Tab-separated values without header or quoting."""
-    df.write.mode(mode).option("sep", "\t").option("quote", "").csv(path)
+    """Tab-separated values without header or quoting, coded like ``write_csv``."""
+    line = F.concat_ws("\t", *as_text(df).columns)
+    as_text(df).select(line.alias("value")).write.mode(mode).text(path)
+
+
+def write_intervals(df: DataFrame, path: str, key: str, direction: str = "direction", buckets: int = 64, mode: str = "error") -> None:
+    """All intervals as one table of CSV files, partitioned by direction and a hash bucket of the key.
+
+    The number of folders does not grow with the number of intervals.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    rows = df.withColumn(BUCKET, bucket).select(*_coded_columns(df, [direction]), direction, BUCKET)
+    writer = rows.hint("rebalance", direction, BUCKET).write.mode(mode).partitionBy(direction, BUCKET)
+    writer.options(**CSV_OPTIONS).csv(path)
 
 
 def write_by_interval(df: DataFrame, path: str, keys: list[str], mode: str = "error") -> None:
-    """One folder of CSV files per interval.
+    """One folder of CSV files per interval: for chosen intervals, not for whole collections.
 
     Rows of an interval are brought together first, so that few files are
     written; rebalancing splits an interval that is too large for one task.
     """
-    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).option("header", True).csv(path)
+    rows = df.select(*_coded_columns(df, keys), *keys)
+    rows.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).options(**CSV_OPTIONS).csv(path)
 
 
 def append_table(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_rows: int = 10_000, writers: int = 16
 ) -> None:
-    """Append rows to a database table over at most ``writers`` connections."""
-    df.write.option("batchsize", batch_rows).option("numPartitions", writers).jdbc(
+    """Append rows to a database table over ``writers`` connections.
+
+    The rows are dealt out to the connections, so the plan behind them keeps its own tasks.
+    """
+    df.repartition(writers).write.option("batchsize", batch_rows).option("numPartitions", writers).jdbc(
         url, table, mode="append", properties=dict(properties)
     )
 

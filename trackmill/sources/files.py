@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from trackmill.functions.texts import split_on
+from trackmill.functions.texts import NULL_MARK, decoded, split_on
 from trackmill.functions.times import timestamp_from
 from trackmill.schemas import CENSUS, EMPLOYEE_CSV, EMPLOYEE_JSON, IRIS, SALES, SALES_TEXT
+from trackmill.sinks.writers import CSV_OPTIONS
+
+#: Read as null by the CSV reader. No written field is equal to it: null has its own mark.
+NOTHING = "\\-"
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
@@ -55,22 +58,50 @@ def frame_of(spark: SparkSession, rows: Iterable, schema: StructType | str) -> D
     return spark.createDataFrame(list(rows), schema)
 
 
-def read_plt(spark: SparkSession, path, folders: int = 2) -> DataFrame:
+def typed(text: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of coded text as the values of a schema."""
+    value = [F.when(F.col(f.name) != NULL_MARK, decoded(F.col(f.name))).cast(f.dataType).alias(f.name) for f in schema]
+    return text.select(*value)
+
+
+def _all_text(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, StringType()) for f in schema])
+
+
+def read_written_csv(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """What ``write_csv``, ``write_intervals`` or ``write_by_interval`` wrote, value by value.
+
+    Partition columns of the path come as text like all others.
+    """
+    reader = spark.read.schema(_all_text(schema)).options(**CSV_OPTIONS).option("nullValue", NOTHING)
+    return typed(reader.csv(path), schema)
+
+
+def read_written_tsv(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """What ``write_tsv`` wrote, value by value."""
+    fields = split_on(F.col("value"), "\t")
+    lines = spark.read.text(path)
+    return typed(lines.select(*[fields[i].alias(f.name) for i, f in enumerate(schema)]), schema)
+
+
+def read_plt(spark: SparkSession, path) -> DataFrame:
     """Points of PLT files, one trajectory per file.
 
-    ``traj_id`` is the file name after as many of its folders as tell files of equal
-    name apart. Header lines are told by their shape, so files may be split and many
-    may be read at once. ``seq`` breaks ties between equal timestamps.
+    ``traj_id`` is the whole path of the file, so files of equal name and folder stay
+    apart; ``name`` is the file name without its extension, for reports. Header lines are
+    told by their shape, so files may be split and many may be read at once. ``seq`` breaks
+    ties between equal timestamps.
     """
     fields = split_on(F.col("value"), ",")
-    end_of_path = rf"((?:[^/]+/){{0,{folders}}}[^/]*?)(?:\.[^./]*)?$"
     lines = spark.read.text(path).select(
-        F.regexp_extract(F.col("_metadata.file_path"), end_of_path, 1).alias("traj_id"),
+        F.col("_metadata.file_path").alias("traj_id"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1).alias("name"),
         F.monotonically_increasing_id().alias("seq"),
         fields.alias("f"),
     )
     points = lines.filter(F.size("f") == 7).select(
         "traj_id",
+        "name",
         "seq",
         timestamp_from(F.col("f")[5], F.trim(F.col("f")[6])).alias("ts"),
         F.col("f")[0].try_cast("double").alias("lat"),
@@ -81,59 +112,29 @@ def read_plt(spark: SparkSession, path, folders: int = 2) -> DataFrame:
     return points.dropna(subset=["ts", "lat", "lon"])
 
 
-def _placed_lines(spark: SparkSession, path, head: int = 0) -> DataFrame:
-    """Lines with file, start of their block, and 0-based place in the block.
+def number_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines with their file and 1-based ``line_no``, whatever blocks the files are read in.
 
-    A task reads a block from start to end, so counting along needs no shuffle.
-    Fails for a file whose first block ends within its first ``head`` lines.
+    A task reads a block from start to end and numbers its rows in order, so a row's number
+    less the block's smallest is its place in the block. To that the lengths of the earlier
+    blocks are added. The files are read twice, the first time only to count.
     """
-    start = F.col("_metadata.file_block_start")
-    end = start + F.col("_metadata.file_block_length")
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        start.alias("block"),
-        ((start == 0) & (end < F.col("_metadata.file_size"))).alias("goes_on"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"),
         "value",
     )
-
-    def count_along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, counted = None, 0
-        for batch in batches:
-            for block, part in batch.groupby(["file", "block", "goes_on"], sort=False):
-                if block != current:
-                    check(current, counted)
-                    current, counted = block, 0
-                yield part.assign(place=range(counted, counted + len(part)))[["file", "block", "place", "value"]]
-                counted += len(part)
-        check(current, counted)
-
-    def check(block, counted):
-        if block is not None and block[2] and counted < head:
-            raise ValueError(f"the first {head} lines of {block[0]} go beyond its first block")
-
-    return lines.mapInPandas(count_along, "file string, block long, place long, value string")
+    blocks = lines.groupBy("file", "block").agg(F.min("no").alias("first"), F.count("*").alias("length"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("length").over(earlier), F.lit(0))
+    starts = blocks.select("file", "block", (before - F.col("first") + 1).alias("shift"))
+    # One row per block: as many as the scan has splits, which the driver holds anyway.
+    number = F.col("no") + F.coalesce("shift", F.raise_error(F.lit("blocks of a file have changed")))
+    numbered = lines.join(F.broadcast(starts), ["file", "block"], "left")
+    return numbered.select("file", number.alias("line_no"), "value")
 
 
 def skip_lines(spark: SparkSession, path, n: int) -> DataFrame:
-    """Lines of every file but its first ``n``, which must lie in the file's first block.
-
-    Longer heads are cut off with ``number_lines``, which also counts across blocks.
-    """
-    lines = _placed_lines(spark, path, head=n)
-    return lines.filter((F.col("block") > 0) | (F.col("place") >= n)).select("value")
-
-
-def number_lines(spark: SparkSession, path) -> DataFrame:
-    """Lines with their file and 1-based ``line_no``.
-
-    Lines are counted inside each block of a file, and the lengths of the earlier
-    blocks are added: one summary row per block.
-    """
-    lines = _placed_lines(spark, path)
-    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("length"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("length").over(earlier), F.lit(0))
-    starts = blocks.select("file", "block", before.alias("before"))
-    # Files are read twice; should the second reading cut them differently, fail.
-    number = F.col("place") + 1 + F.coalesce("before", F.raise_error(F.lit("blocks of a file have changed")))
-    return lines.join(starts, ["file", "block"], "left").select("file", number.alias("line_no"), "value")
+    """Lines of every file but its first ``n``, wherever its blocks end."""
+    return number_lines(spark, path).filter(F.col("line_no") > n).select("value")
