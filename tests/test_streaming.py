@@ -8,7 +8,7 @@ import test_trajectory as tt
 from trackmill.operators.ordered import plain
 from trackmill.operators import trajectory as tr
 from trackmill.streaming.messages import pair_speeds, person_messages, show_console, start_append
-from trackmill.streaming.vehicles import latest_points, speeds_after, start_vehicle_speeds
+from trackmill.streaming.vehicles import latest_points, speeds_after, start_vehicle_speeds, state_folders
 from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, split_words, start_word_counts
 
 
@@ -27,11 +27,11 @@ def in_files(spark, folder, frames):
 
 def test_person_messages(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a").write_text('{"name":"guan","age":"18","sex":"male"}\n{"name":"x"}\nnot json\n')
+    (tmp_path / "in" / "a").write_text('{"name":"Ada","age":"41","sex":"female"}\n{"name":"x"}\nnot json\n')
     stream = person_messages(spark.readStream.text(str(tmp_path / "in")))
     query = start_append(stream, str(tmp_path / "cp"), sink="memory", queryName="people")
     query.awaitTermination()
-    assert set(rows(spark.table("people"))) == {("guan", "18", "male"), ("x", None, None), (None, None, None)}
+    assert set(rows(spark.table("people"))) == {("Ada", "41", "female"), ("x", None, None), (None, None, None)}
 
 
 def test_binary_messages(spark):
@@ -64,13 +64,13 @@ def batches(points, n):
     return [points[i : i + size] for i in range(0, len(points), size)]
 
 
-@pytest.mark.parametrize("n, max_rows", [(1, None), (4, 20), (3, None)])
-def test_stream_equals_batch(spark, tmp_path, n, max_rows):
+@pytest.mark.parametrize("n, max_rows, compact", [(1, None, 20), (4, 20, 20), (3, None, 1), (7, None, 2)])
+def test_stream_equals_batch(spark, tmp_path, n, max_rows, compact):
     points = tt.walk({"hot": 90, "a": 20, "b": 1}, ties=0.2)
     frames = [spark.createDataFrame(part, tt.SCHEMA) for part in batches(points, n)]
     stream = in_files(spark, tmp_path / "in", frames)
     paths = [str(tmp_path / name) for name in ("out", "state", "cp")]
-    query = start_vehicle_speeds(stream, *paths, max_rows=max_rows)
+    query = start_vehicle_speeds(stream, *paths, max_rows=max_rows, compact_every=compact)
     query.awaitTermination()
     found = spark.read.parquet(paths[0])
     assert found.select("batch_id").distinct().count() == n
@@ -94,13 +94,28 @@ def test_late_points_are_kept_apart(spark):
     assert (found[7].gap_s, found[7].speed) == (0.0, 0.0)
 
 
-def test_idle_vehicles_are_forgotten(spark):
+def test_latest_points(spark):
     t = tt.START
-    points = [("a", t, 1, 0.0, 0.0), ("a", t + timedelta(seconds=5), 2, 1.0, 1.0), ("b", t + timedelta(seconds=65), 3, 0.0, 0.0)]
-    df = spark.createDataFrame(points, tt.SCHEMA)
+    points = [("a", t, 1, 0.0, 0.0), ("a", t + timedelta(seconds=5), 2, 1.0, 1.0), ("b", t + timedelta(days=9), 3, 0.0, 0.0)]
+    df = spark.createDataFrame(points, tt.SCHEMA).withColumn("arrived", F.lit(t))
     assert {(r.traj_id, r.seq) for r in latest_points(df).collect()} == {("a", 2), ("b", 3)}
-    assert {r.traj_id for r in latest_points(df, 60).collect()} == {"a", "b"}
-    assert {r.traj_id for r in latest_points(df, 59).collect()} == {"b"}
+
+
+@pytest.mark.parametrize("forget_after_s, speed", [(3600, 0.0), (0, 0.0), (None, 0.0)])
+def test_idle_vehicles_are_forgotten_by_arrival(spark, tmp_path, forget_after_s, speed):
+    t = tt.START
+    # one vehicle's clock is a century ahead; the others are not forgotten for it
+    parts = [[("a", t, 1, 0.0, 0.0), ("x", t + timedelta(days=36500), 2, 0.0, 0.0)], [("b", t, 3, 0.0, 0.0)], [("a", t + timedelta(seconds=10), 4, 0.0, 0.0)]]
+    stream = in_files(spark, tmp_path / "in", [spark.createDataFrame(p, tt.SCHEMA) for p in parts])
+    paths = [str(tmp_path / name) for name in ("out", "state", "cp")]
+    start_vehicle_speeds(stream, *paths, forget_after_s=forget_after_s, compact_every=2).awaitTermination()
+    last = {r.seq: r for r in spark.read.parquet(paths[0]).collect()}[4]
+    assert last.gap_s == (0.0 if forget_after_s == 0 else 10.0) and last.speed == speed
+
+
+@pytest.mark.parametrize("batch, every, folders", [(0, 3, []), (1, 3, [0]), (3, 3, [2]), (5, 3, [2, 3, 4]), (6, 3, [5]), (2, 1, [1])])
+def test_state_folders(batch, every, folders):
+    assert state_folders(batch, every) == folders
 
 
 def test_split_words(spark):
@@ -108,12 +123,13 @@ def test_split_words(spark):
     assert rows(split_words(df, "text")) == [("a",), ("b",)]
 
 
-def test_word_counts_over_batches(spark, tmp_path):
+@pytest.mark.parametrize("compact", [50, 2, 1])
+def test_word_counts_over_batches(spark, tmp_path, compact):
     texts = ["a b a", "b  c", "", "a"]
     frames = [spark.createDataFrame([(t,)], "text string") for t in texts]
     stream = in_files(spark, tmp_path / "in", frames)
     out = str(tmp_path / "out")
-    start_word_counts(stream, "text", out, str(tmp_path / "cp")).awaitTermination()
+    start_word_counts(stream, "text", out, str(tmp_path / "cp"), compact_every=compact).awaitTermination()
     counts = current_counts(spark, out)
     assert set(rows(counts)) == {("a", 3), ("b", 2), ("c", 1)}
     assert set(rows(result_messages(counts))) == {("a", "3"), ("b", "2"), ("c", "1")}

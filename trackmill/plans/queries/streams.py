@@ -45,23 +45,49 @@ def stream_pair_speed(spark, folder):
     return spark.read.parquet(f"{path}/out").select(*[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
+#: Parts of a table that come one after the other, each as a batch of its own.
+SLICES = 3
+
+
+def _slices(df, by):
+    """The rows in parts of about equal range of a number, in its order."""
+    low, high = df.agg(F.min(by), F.max(by)).first()
+    width = (high - low) / SLICES + 1e-9
+    part = F.least(F.lit(SLICES - 1), F.floor((by - F.lit(low)) / F.lit(width)))
+    return [df.filter(F.coalesce(part, F.lit(0)) == i) for i in range(SLICES)]
+
+
 @query(f"""
 WITH {_POINTS} SELECT traj_id, seq, gap_s, round({_HAVERSINE}, 6) AS dist_m,
-       CASE WHEN id = 0 THEN 0 WHEN gap_s <> 0 THEN round({_HAVERSINE} / gap_s, 6) END AS speed, false AS late
+       CASE WHEN id = 0 THEN 0 WHEN gap_s <> 0 THEN round({_HAVERSINE} / gap_s, 6) END AS speed, false AS late, 3 AS batches
 FROM dst""")
 def stream_vehicle_speed(spark, folder):
+    """Events that arrive in three parts, with a restart after each; the state crosses batches."""
     path = new_shared_dir(spark, "stream-vehicles")
-    points = points_of(_stream(spark, folder, "events"))
-    start_vehicle_speeds(points, f"{path}/out", f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    events = table(spark, folder, "events")
+    for part in _slices(events, F.unix_micros(F.col("ts").cast("timestamp"))):
+        part.write.mode("append").parquet(f"{path}/events")
+        points = points_of(read_table_stream(spark, f"{path}/events", events.schema))
+        query_ = start_vehicle_speeds(points, f"{path}/out", f"{path}/state", f"{path}/checkpoint", compact_every=2)
+        query_.awaitTermination()
     digits = [F.round(c, 6).alias(c) for c in ("dist_m", "speed")]
-    return spark.read.parquet(f"{path}/out").select(tr.KEY, "seq", "gap_s", *digits, "late")
+    found = spark.read.parquet(f"{path}/out")
+    batches = F.lit(found.select("batch_id").distinct().count())
+    return found.select(tr.KEY, "seq", "gap_s", *digits, "late", batches.alias("batches"))
 
 
 @query("""
-SELECT word, count(*) AS "count" FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
+SELECT word, count(*) AS "count", 3 AS batches FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""")
 def stream_word_count(spark, folder):
+    """Documents that arrive in three parts; counts go on over restarts and are compacted."""
     path = new_shared_dir(spark, "stream-words")
-    texts = _stream(spark, folder, "documents")
-    start_word_counts(texts, "text", f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return current_counts(spark, f"{path}/out")
+    documents = table(spark, folder, "documents")
+    batches = 0
+    for part in _slices(documents, F.col("doc_id")):
+        part.write.mode("append").parquet(f"{path}/documents")
+        texts = read_table_stream(spark, f"{path}/documents", documents.schema)
+        running = start_word_counts(texts, "text", f"{path}/out", f"{path}/checkpoint", compact_every=2)
+        running.awaitTermination()
+        batches += len(running.recentProgress)
+    return current_counts(spark, f"{path}/out").withColumn("batches", F.lit(batches))

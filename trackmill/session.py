@@ -66,3 +66,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark uses for it; one that is not there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

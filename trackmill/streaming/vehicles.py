@@ -1,7 +1,7 @@
 """Live speed per vehicle: distance and time since the vehicle's last point.
 
 Every micro-batch is an ordinary frame. The last point of every vehicle is kept in
-a table and joins the next batch as the row before its first point. So the speeds
+a table, and those of a batch's vehicles join the batch as rows before their first points. So the speeds
 are the batch operators' own, a vehicle that sends a large part of a batch is cut
 into pieces like a long trajectory, and a repeated batch replaces its own output.
 """
@@ -14,22 +14,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trackmill.operators.ordered import MAX_ROWS_PER_TASK, beyond_piece, order_window, plain
 from trackmill.operators.trajectory import KEY, ORDER, distance, number_points, time_gap
+from trackmill.session import remove_dir
 
 POINT = (KEY, "ts", "seq", "lat", "lon")
+ARRIVED = "arrived"
+#: Batches after which the state is written as a whole; between them only changes are.
+COMPACT_EVERY = 20
 
 
-def latest_points(points: DataFrame, forget_after_s: int | None = None) -> DataFrame:
-    """The newest point of every vehicle, combined before the shuffle.
-
-    Vehicles idle for more than ``forget_after_s`` seconds before the newest point of
-    all are left out; their next point is a first one again.
-    """
+def latest_points(points: DataFrame) -> DataFrame:
+    """The newest point of every vehicle with its latest arrival, combined before the shuffle."""
     newest = F.max(F.struct(*POINT[1:])).alias("p")
-    latest = points.groupBy(KEY).agg(newest).select(KEY, "p.*")
-    if forget_after_s is None:
-        return latest
-    end = points.agg(F.max("ts")).scalar()
-    return latest.filter(F.col("ts") >= end - F.make_dt_interval(secs=F.lit(forget_after_s)))
+    return points.groupBy(KEY).agg(newest, F.max(ARRIVED).alias(ARRIVED)).select(KEY, "p.*", ARRIVED)
 
 
 def speeds_after(
@@ -55,6 +51,12 @@ def speeds_after(
     return df.withColumns(values).select(*POINT, "gap_s", "dist_m", "speed", "late")
 
 
+def state_folders(batch_id: int, compact_every: int) -> list[int]:
+    """The batches whose state folders hold together what is known before this batch."""
+    whole = batch_id // compact_every * compact_every - 1
+    return list(range(max(0, whole), batch_id))
+
+
 def start_vehicle_speeds(
     points: DataFrame,
     path: str,
@@ -63,22 +65,42 @@ def start_vehicle_speeds(
     every: str | None = None,
     max_rows: int | None = MAX_ROWS_PER_TASK,
     forget_after_s: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Write the speeds of every batch to ``path``, one folder per batch.
 
-    ``state`` holds the last points of two batches in turn: a batch that is run again
-    finds what it found before. Without ``every`` the query takes all there is and ends.
+    ``state`` gets a folder per batch with the last points of that batch's vehicles; every
+    ``compact_every``-th one holds all vehicles, and what is older is removed. So a batch
+    writes and works on its own vehicles only, and a batch that is run again finds what it
+    found before. Vehicles whose last point arrived more than ``forget_after_s`` seconds ago
+    are left out when the state is compacted, whatever the clocks of their points say; their next
+    point is a first one again. Without ``every`` the query takes all there is and ends.
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*POINT).persist()
-        known, last = batch, None
-        if batch_id > 0:
-            last = batch.sparkSession.read.schema(batch.schema).parquet(f"{state}/{(batch_id - 1) % 2}")
-            known = last.unionByName(batch)
+        spark = batch.sparkSession
+        batch = batch.select(*POINT).withColumn(ARRIVED, F.current_timestamp()).persist()
+        folders = [f"{state}/{b}" for b in state_folders(batch_id, compact_every)]
+        known = spark.read.schema(batch.schema).parquet(*folders) if folders else None
+        last = None
+        if known is not None:
+            own = known.join(batch.select(KEY).distinct(), KEY, "left_semi")
+            last = latest_points(own)
         speeds = speeds_after(batch, last, max_rows)
         speeds.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        latest_points(known, forget_after_s).write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
+        compact = (batch_id + 1) % compact_every == 0
+        if compact:
+            kept = latest_points(batch if known is None else known.unionByName(batch))
+            if forget_after_s is not None:
+                idle = F.current_timestamp() - F.make_dt_interval(secs=F.lit(forget_after_s))
+                kept = kept.filter(F.col(ARRIVED) >= idle)
+        else:
+            kept = latest_points(batch if last is None else last.unionByName(batch))
+        kept.write.mode("overwrite").parquet(f"{state}/{batch_id}")
+        if batch_id % compact_every == 1:
+            # The whole state before this batch is safe, and no batch before it runs again.
+            for old in range(max(0, batch_id - 1 - 2 * compact_every), batch_id - 2):
+                remove_dir(spark, f"{state}/{old}")
         batch.unpersist()
 
     writer = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
