@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -28,13 +29,17 @@ def tree_pipeline(
     ``unseen`` says what a category outside the training rows does: ``error``,
     ``keep`` or ``skip``.
     """
+    # Three fits read the rows; those that do not fit into memory stay on disk.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     labels = StringIndexer(inputCol=label, outputCol="indexed_label", handleInvalid=unseen).fit(train)
     categories = VectorIndexer(
         inputCol="features", outputCol="indexed_features", maxCategories=MAX_CATEGORIES, handleInvalid=unseen
     )
     tree = DecisionTreeClassifier(labelCol="indexed_label", featuresCol="indexed_features", **tree_options)
     names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
-    return Pipeline(stages=[labels, categories, tree, names]).fit(train)
+    model = Pipeline(stages=[labels, categories, tree, names]).fit(train)
+    train.unpersist()
+    return model
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ def faulty_lines(spark: SparkSession, path) -> DataFrame:
     return faulty_rows(rows).select("file", "line_no", "violations")
 
 
-def encoded(census: DataFrame) -> DataFrame:
+def encoded(census: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every attribute as a number and the label without a trailing dot.
 
     A category outside the tables, or a number that is none, becomes null; such rows
@@ -39,11 +41,12 @@ def encoded(census: DataFrame) -> DataFrame:
         else encode(F.col(name), codes_of(CENSUS_CATEGORIES[name])).cast("double").alias(name)
         for name in CENSUS_ATTRIBUTES
     ]
-    return census.select(*columns, without_trailing_dot(F.col("label")).alias("label"))
+    return census.select(*keep, *columns, without_trailing_dot(F.col("label")).alias("label"))
 
 
-def features(census: DataFrame) -> DataFrame:
-    return assemble(encoded(census), CENSUS_ATTRIBUTES)
+def features(census: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 14 attributes as one vector, with the label and the columns to keep."""
+    return assemble(encoded(census, keep), CENSUS_ATTRIBUTES)
 
 
 def fit(census: DataFrame, **options) -> PipelineModel:
