@@ -53,9 +53,10 @@ def test_equal_file_names_stay_apart(spark, tmp_path):
     assert len({r.traj_id for r in points}) == 3 and {r.name for r in points} == {"a.b"}
 
 
-def test_plt_in_small_blocks(spark, sample, small_blocks):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    assert read_plt(spark, sample("plt")).filter("day_serial < 39700").count() == 4377
+def test_plt_in_small_blocks(spark, tmp_path, small_blocks):
+    lines = "".join(f"{i / 100},{i / 50},0,0,{i},2008-10-13,12:{i // 60:02}:{i % 60:02}\n" for i in range(500))
+    (tmp_path / "a.plt").write_text(HEADER + lines)
+    assert read_plt(spark, str(tmp_path)).agg(F.count("*"), F.sum("day_serial")).first()[:] == (500, sum(range(500)))
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5])
