@@ -188,6 +188,7 @@ def estimates(stats: DataFrame, scratch: Scratch, settings: Settings) -> DataFra
         # distances in logarithmic bins: one count per bin, whatever the scale
         far = rows.join(fitted, "g").select("g", *VECTOR, F.log(distance() + 1e-6).alias("far"))
         edge = _quantile(far, ["g"], F.col("far"), settings.coverage, settings.bin).select("g", "q")
+        edge = scratch.settle(edge, "edges")  # a row per group; its size is known, so no row is dealt out by group
         central = far.join(edge, "g").filter("far < q")
         fitted = scratch.settle(_moments(central, consistency(settings.coverage), settings.floors), "step")
     edge = _chi2_quantile(0.975, DIM // 2)
