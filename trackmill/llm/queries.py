@@ -75,7 +75,19 @@ def op2_warc_archives(spark, folder):
     return warc.archived(table(spark, folder, "pages"))
 
 
-@query()
+@query(r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS a FROM pages
+), pieces AS (
+  SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(a, '</?(?:p|h1)>', chr(1), 'g'), '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), chr(1)) AS p
+  FROM articles
+), decoded AS (
+  SELECT page_id, url, list_transform(p, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(x, '&quot;', '"'), '&#x27;', ''''),
+         '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS p FROM pieces
+), texts AS (
+  SELECT page_id, url, array_to_string(list_filter(p, lambda x: x <> ''), chr(10)) AS text FROM decoded
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts""")
 def op3_main_text(spark, folder):
     return html_blocks.main_text(table(spark, folder, "pages"))
 
@@ -157,7 +169,48 @@ def op6_chat_windows(spark, folder):
     return chat.digests(chat.windows(turns.unionByName(control)))
 
 
-@query()
+def _scan_sql(rank: int, kind: str, pattern: str) -> str:
+    """Matches of one kind: texts between them, and they themselves."""
+    pattern = pattern.replace("'", "''")
+    value = 2 if kind == "assign" else 0
+    return (
+        f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits, "
+        f"regexp_extract_all(t, '{pattern}', {value}) AS vals FROM texts WHERE regexp_matches(t, '{pattern}')"
+    )
+
+
+#: SQL's patterns look neither ahead nor behind; whole runs are taken, and filtered afterwards.
+_PATTERNS = secrets.PATTERNS | {"opaque": "[A-Za-z0-9+/_=-]{20,}"}
+_NEAR = " OR ".join(
+    f"(w.kind = '{weak}' AND o.kind IN ({', '.join(repr(k) for k in kinds)}))" for weak, kinds in secrets.COMPLEMENTS.items()
+)
+
+
+@query(f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+scans AS ({' UNION ALL '.join(_scan_sql(i, k, p) for i, (k, p) in enumerate(_PATTERNS.items()))}),
+placed AS (
+  SELECT doc_id, rank, kind, hits[i] AS hit, vals[i] AS val,
+         CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM scans)
+), spans AS (
+  SELECT doc_id, rank, kind, start, start + length(hit) AS stop, rank < 3 AS strong FROM placed
+  WHERE (kind <> 'assign' OR length(val) >= 8)
+    AND (kind <> 'opaque' OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')))
+), bare AS (
+  SELECT * FROM spans w WHERE strong OR NOT EXISTS (
+    SELECT 1 FROM spans s WHERE s.strong AND s.doc_id = w.doc_id AND ((s.start <= w.start AND s.stop > w.start) OR (s.start >= w.start AND s.start < w.stop)))
+), reported AS (
+  SELECT * FROM bare w WHERE strong OR EXISTS (SELECT 1 FROM bare o WHERE o.doc_id = w.doc_id AND abs(o.start - w.start) <= 400 AND ({_NEAR}))
+), lists AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         count(*) FILTER (NOT strong) AS n_weak, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (strong) AS base
+  FROM reported GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_weak, 0) AS BIGINT) AS n_weak
+FROM texts LEFT JOIN lists USING (doc_id)""")
 def op7_secret_scan(spark, folder):
     return secrets.scan(table(spark, folder, "documents"))
 
