@@ -240,3 +240,14 @@ def test_one_shuffle(spark, tmp_path):
     df = tr.runs(tr.analyse(spark.read.parquet(str(tmp_path / "points")), max_rows=None))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_summaries_do_not_double_the_plan(spark, tmp_path):
+    spark.createDataFrame(walk({"hot": 60, "a": 9}), SCHEMA).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+
+    def windows(max_rows):
+        df = tr.runs(tr.analyse(points, max_rows=max_rows))
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+
+    assert windows(20) <= 2 * windows(None)

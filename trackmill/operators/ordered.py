@@ -174,8 +174,9 @@ def beyond_piece(
     backward = of_key.orderBy(F.col(f"{PIECE}.no").desc()).rowsBetween(Window.unboundedPreceding, -1)
     combined = [combine(name).over(forward).alias(name) for name, (_, combine) in earlier.items()]
     combined += [combine(name).over(backward).alias(name) for name, (_, combine) in later.items()]
-    joined = df.join(F.broadcast(pieces.select(PIECE, *combined)), PIECE, "left")
-    return joined, {name: F.col(name) for name in both}
+    # Settled, so that the frame is in the plan once; the join is on the windows' own partitions.
+    pieces = checkpointed(pieces.select(PIECE, *combined))
+    return df.join(pieces, PIECE, "left"), {name: F.col(name) for name in both}
 
 
 def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> DataFrame:
@@ -210,5 +211,5 @@ def running_sum(df: DataFrame, name: str, value: Column, key: str, by: str) -> D
     )
     ties = F.when(F.col(by) == F.col("_end"), F.coalesce("_ties", F.lit(0))).otherwise(0)
     total = F.col("_here") + F.coalesce("_past", F.lit(0)) + ties
-    joined = df.join(F.broadcast(pieces), PIECE, "left").withColumn(name, total)
+    joined = df.join(checkpointed(pieces), PIECE, "left").withColumn(name, total)
     return joined.drop("_value", "_here", "_end", "_past", "_ties")
