@@ -366,10 +366,12 @@ def made_pages(words: list[str], settings: Settings) -> Iterator[str]:
 
 def trained(pages: DataFrame, settings: Settings) -> Labeller:
     """A labeller trained on at most `sample_pages` pages, those whose id hashes lowest, and on made ones."""
-    picked = pages.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(settings.sample_pages)
+    # Ids first: only they, and then as many pages, come to the driver.
+    ids = pages.select("page_id").dropna().distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(settings.sample_pages)
+    picked = pages.select("page_id", "html").join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
     cache: dict = {}
     examples, words = [], ["word"]
-    for row in picked.collect():
+    for row in sorted(picked.collect()):
         found = blocks(row.html or "")[:400]
         words += [w for text, _, _ in found for w in text.split()[:40]]
         if any(MAIN.intersection(tokens) for _, tokens, _ in found):
