@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 import pytest
 from conftest import rows
 
-from trackmill.session import new_shared_dir, shared_root
+from trackmill.session import new_shared_dir, renewed_dir, shared_root
 from trackmill.schemas import EMPLOYEE_TABLE, SALES
 from trackmill.sinks.writers import as_messages, write_by_interval, write_csv, write_intervals, write_tsv
 from trackmill.sources.files import (
@@ -147,6 +147,15 @@ def test_options():
     )
 
 
+def test_a_renewed_folder_replaces_the_one_before(spark, tmp_path):
+    first = renewed_dir(spark, "twice")
+    spark.range(3).write.parquet(first)
+    second = renewed_dir(spark, "twice")
+    assert first != second
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(first)
+
+
 def test_shared_folder_is_the_sessions(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_dir(spark, "x") != new_shared_dir(spark, "x")

@@ -251,3 +251,13 @@ def test_summaries_do_not_double_the_plan(spark, tmp_path):
         return df._jdf.queryExecution().optimizedPlan().toString().count("Window [")
 
     assert windows(20) <= 2 * windows(None)
+
+
+def test_pieces_equal_plain_rows_with_null_times(spark):
+    points = walk({"hot": 60, "a": 12, "b": 1})
+    points = [(k, None if i % 7 == 0 else ts, seq, lat, lon) for i, (k, ts, seq, lat, lon) in enumerate(points)]
+    df = spark.createDataFrame(points, SCHEMA)
+    plain_rows, cut_rows = (rows(plain(tr.analyse(df, digits=6, max_rows=n))) for n in (None, 9))
+    assert plain_rows == cut_rows
+    plain_runs, cut_runs = (rows(tr.runs(tr.analyse(df, digits=6, max_rows=n)).select("traj_id", "id", "run_value", "run_no", "run_len")) for n in (None, 9))
+    assert plain_runs == cut_runs

@@ -11,7 +11,7 @@ from trackmill.operators.ordered import plain
 from trackmill.plans.queries.base import query, table
 from trackmill.plans.queries.tracks import _HAVERSINE, _POINTS, _SIGN, DIGITS, _runs_sql, points_of
 from trackmill.plans.trajectories import interval_rows
-from trackmill.session import new_shared_dir
+from trackmill.session import renewed_dir
 from trackmill.sinks.writers import write_csv, write_intervals, write_tsv
 from trackmill.sources.files import (
     number_lines,
@@ -28,14 +28,14 @@ PLT_HEADER = ("Track file", "WGS 84", "Altitude in feet", "Reserved", "0,2,255,t
 
 @query("SELECT * FROM part")
 def tsv_roundtrip(spark, folder):
-    parts, path = table(spark, folder, "part"), new_shared_dir(spark, "part-tsv")
+    parts, path = table(spark, folder, "part"), renewed_dir(spark, "part-tsv")
     write_tsv(parts, path)
     return read_written_tsv(spark, path, parts.schema)
 
 
 @query("SELECT * FROM customer")
 def csv_roundtrip(spark, folder):
-    customers, path = table(spark, folder, "customer"), new_shared_dir(spark, "customer-csv")
+    customers, path = table(spark, folder, "customer"), renewed_dir(spark, "customer-csv")
     write_csv(customers, path)
     return read_written_csv(spark, path, customers.schema)
 
@@ -43,28 +43,28 @@ def csv_roundtrip(spark, folder):
 @query("SELECT * FROM documents")
 def documents_csv(spark, folder):
     """Texts with line feeds, blanks, quotes and commas, as they were."""
-    documents, path = table(spark, folder, "documents"), new_shared_dir(spark, "documents-csv")
+    documents, path = table(spark, folder, "documents"), renewed_dir(spark, "documents-csv")
     write_csv(documents, path)
     return read_written_csv(spark, path, documents.schema)
 
 
 @query("SELECT * FROM documents")
 def documents_tsv(spark, folder):
-    documents, path = table(spark, folder, "documents"), new_shared_dir(spark, "documents-tsv")
+    documents, path = table(spark, folder, "documents"), renewed_dir(spark, "documents-tsv")
     write_tsv(documents, path)
     return read_written_tsv(spark, path, documents.schema)
 
 
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def json_roundtrip(spark, folder):
-    turns, path = table(spark, folder, "conversations"), new_shared_dir(spark, "conversations-json")
+    turns, path = table(spark, folder, "conversations"), renewed_dir(spark, "conversations-json")
     turns.write.json(path)
     return spark.read.schema(turns.schema).json(path)
 
 
 @query("SELECT url AS value FROM pages")
 def text_roundtrip(spark, folder):
-    path = new_shared_dir(spark, "pages-text")
+    path = renewed_dir(spark, "pages-text")
     table(spark, folder, "pages").select(F.col("url").alias("value")).write.text(path)
     return read_lines(spark, path)
 
@@ -73,7 +73,7 @@ def text_roundtrip(spark, folder):
 def wide_separator(spark, folder):
     """Fields between ", ", as in the census files."""
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    path = new_shared_dir(spark, "supplier-text")
+    path = renewed_dir(spark, "supplier-text")
     suppliers.select(F.concat_ws(", ", *suppliers.columns).alias("value")).write.text(path)
     return read_delimited(spark, path, suppliers.schema, sep=", ")
 
@@ -81,7 +81,7 @@ def wide_separator(spark, folder):
 @query("SELECT o_orderkey, o_custkey FROM orders")
 def lines_after_header(spark, folder):
     """Every file loses its header line."""
-    path = new_shared_dir(spark, "orders-csv")
+    path = renewed_dir(spark, "orders-csv")
     write_csv(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), path)
     fields = split_on(F.col("value"), ",")
     return skip_lines(spark, path, 1).select(
@@ -96,7 +96,7 @@ def faulty_line_numbers(spark, folder):
     Each file is numbered as it is written, by a running count in the line itself; only a line
     whose number is that count comes back.
     """
-    path = new_shared_dir(spark, "orders-lines")
+    path = renewed_dir(spark, "orders-lines")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     orders = orders.repartition(4, "o_orderkey").withColumn("no", F.monotonically_increasing_id() % (1 << 33) + 1)
     orders.select(F.concat_ws(",", "no", "o_orderkey", "o_custkey").alias("value")).write.text(path)
@@ -114,7 +114,7 @@ def interval_files(spark, folder):
     points = points_of(table(spark, folder, "events"))
     members = tr.runs(tr.analyse(points, digits=DIGITS), min_len=2)
     members = interval_rows(members).select("id", "speed", "traj_id", "interval_id", "direction")
-    path = new_shared_dir(spark, "intervals")
+    path = renewed_dir(spark, "intervals")
     write_intervals(members, path, "traj_id")
     return read_written_csv(spark, path, members.schema)
 
@@ -129,7 +129,7 @@ def plt_roundtrip(spark, folder):
     """Points as PLT text, in whole seconds: a folder per user, files of one name, six header lines."""
     points = points_of(table(spark, folder, "events")).withColumn("ts", F.date_trunc("second", "ts"))
     points = points.withColumn("day_serial", day_serial(F.col("ts")))
-    path = new_shared_dir(spark, "points-plt")
+    path = renewed_dir(spark, "points-plt")
     line = F.concat_ws(
         ",", F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit("0"), F.lit("-777"),
         F.col("day_serial").cast("string"), F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss"),

@@ -10,7 +10,7 @@ from trackmill.operators import trajectory as tr
 from trackmill.plans.queries.base import query, table
 from trackmill.plans.queries.tracks import _HAVERSINE, _POINTS, points_of
 from trackmill.plans.traffic import pair_messages
-from trackmill.session import new_shared_dir
+from trackmill.session import renewed_dir
 from trackmill.sources.kafka import read_table_stream
 from trackmill.streaming.messages import pair_speeds, parse_messages, start_append
 from trackmill.streaming.vehicles import start_vehicle_speeds
@@ -25,7 +25,7 @@ def _stream(spark, folder, name):
 def stream_json(spark, folder):
     schema = StructType([StructField("k", LongType())])
     parsed = parse_messages(_stream(spark, folder, "events").select(F.col("props").alias("value")), schema)
-    path = new_shared_dir(spark, "stream-json")
+    path = renewed_dir(spark, "stream-json")
     start_append(parsed, f"{path}/checkpoint", f"{path}/out").awaitTermination()
     return spark.read.schema(schema).parquet(f"{path}/out")
 
@@ -37,7 +37,7 @@ SELECT round(lat, 6) AS lat1, round(lon, 6) AS lon1, round(m, 6) AS dist, round(
 def stream_pair_speed(spark, folder):
     """Pairs of points sent as JSON and read as a stream of messages."""
     points = points_of(table(spark, folder, "events")).withColumn("day_serial", day_serial(F.col("ts")))
-    path = new_shared_dir(spark, "stream-pairs")
+    path = renewed_dir(spark, "stream-pairs")
     pair_messages(points).write.text(f"{path}/topic")
     messages = spark.readStream.text(f"{path}/topic")
     start_append(pair_speeds(messages), f"{path}/checkpoint", f"{path}/out").awaitTermination()
@@ -63,7 +63,7 @@ WITH {_POINTS} SELECT traj_id, seq, gap_s, round({_HAVERSINE}, 6) AS dist_m,
 FROM dst""")
 def stream_vehicle_speed(spark, folder):
     """Events that arrive in three parts, with a restart after each; the state crosses batches."""
-    path = new_shared_dir(spark, "stream-vehicles")
+    path = renewed_dir(spark, "stream-vehicles")
     events = table(spark, folder, "events")
     for part in _slices(events, F.unix_micros(F.col("ts").cast("timestamp"))):
         part.write.mode("append").parquet(f"{path}/events")
@@ -81,7 +81,7 @@ SELECT word, count(*) AS "count", 3 AS batches FROM (SELECT unnest(string_split(
 WHERE word <> '' GROUP BY word""")
 def stream_word_count(spark, folder):
     """Documents that arrive in three parts; counts go on over restarts and are compacted."""
-    path = new_shared_dir(spark, "stream-words")
+    path = renewed_dir(spark, "stream-words")
     documents = table(spark, folder, "documents")
     batches = 0
     for part in _slices(documents, F.col("doc_id")):

@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Roots chosen here for local sessions that name no shared folder, per application.
-_local_roots: dict[str, str] = {}
+# Roots chosen here for local sessions that name no shared folder, per application; they go with the program.
+_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
+# The folder in use for each purpose, per application.
+_renewed: dict[tuple[str, str], str] = {}
 
 
 def build_session(app: str = "trackmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,8 +49,8 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="trackmill-")
-    return _local_roots[context.applicationId]
+        _local_roots[context.applicationId] = tempfile.TemporaryDirectory(prefix="trackmill-", ignore_cleanup_errors=True)
+    return _local_roots[context.applicationId].name
 
 
 def new_shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -56,6 +58,15 @@ def new_shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def renewed_dir(spark: SparkSession, purpose: str) -> str:
+    """Like ``new_shared_dir``; the folder that the session had for this purpose before is removed."""
+    key = (spark.sparkContext.applicationId, purpose)
+    if key in _renewed:
+        remove_dir(spark, _renewed[key])
+    _renewed[key] = new_shared_dir(spark, purpose)
+    return _renewed[key]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the frame to reliable storage and go on from there.
 

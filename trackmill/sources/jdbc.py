@@ -26,7 +26,10 @@ def read_query(
     fetch_rows: int = 10_000,
     partition: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
-    """Rows of a query. ``partition`` is column, lower bound, upper bound and number of reads."""
+    """Rows of a query. ``partition`` is column, lower bound, upper bound and number of reads.
+
+    Without it one connection and one task read all rows: for small results only.
+    """
     reader = spark.read.format("jdbc").options(**properties)
     reader = reader.option("url", url).option("dbtable", subquery(sql)).option("fetchsize", fetch_rows)
     if partition:
@@ -40,6 +43,18 @@ def read_query(
     return reader.load()
 
 
+def read_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    partition: tuple[str, int, int, int],
+    columns: str = "*",
+) -> DataFrame:
+    """Rows of a table, which may be large and so is never read over one connection only."""
+    return read_query(spark, url, f"SELECT {columns} FROM {table}", properties, partition=partition)
+
+
 def read_aggregates(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str], **aggregates: str
 ) -> DataFrame:
