@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackmill.llm.work import Scratch
 from trackmill.operators.ordered import number_rows, plain, running_sum
 
 TURN, TEXT, END = "<turn>", "<text>", "</turn>"
@@ -74,41 +75,35 @@ def windows(turns: DataFrame, settings: Settings | None = None) -> DataFrame:
     is_system = (F.col("id") == 0) & (F.col("role") == "system")
     rows = rows.withColumns({"is_system": is_system, "tokens": tokens(settings)})
     rows = plain(running_sum(rows, "so_far", F.when(is_system, 0).otherwise(F.col("tokens")), "conv_id", "id"))
+    rows = rows.select(F.struct("conv_id").alias("conv"), "id", "role", "body", "is_system", "tokens", "so_far")
+    rows = Scratch(turns.sparkSession, "chat").settle(rows, "turns")
 
-    whole = rows.groupBy("conv_id").agg(
-        F.max("so_far").alias("total"),
-        F.max(F.when(F.col("is_system"), F.col("tokens"))).alias("system_tokens"),
-        F.max(F.when(F.col("is_system"), F.col("body"))).alias("system_body"),
+    # Places are worked out on numbers alone; the texts join them once.
+    numbers = rows.drop("role", "body")
+    whole = numbers.groupBy("conv").agg(
+        F.max("so_far").alias("total"), F.max(F.when(F.col("is_system"), F.col("tokens"))).alias("system_tokens")
     )
-    whole = whole.select(F.struct("conv_id").alias("conv"), "total", "system_tokens", "system_body")
     share = F.greatest(F.lit(1), ((settings.budget - settings.history - F.coalesce("system_tokens", F.lit(0))) / 2).cast("long"))
-    placed = rows.filter(~F.col("is_system")).withColumn("conv", F.struct("conv_id")).join(whole.drop("system_body"), "conv")
+    placed = numbers.filter(~F.col("is_system")).join(whole, "conv")
     placed = placed.withColumn("place", F.floor((F.col("so_far") - 1) / share))
     bounds = placed.groupBy("conv", "place").agg(
         F.min(F.col("so_far") - F.col("tokens")).alias("start"), F.max("so_far").alias("stop")
     )
     placed = placed.join(bounds, ["conv", "place"])
 
-    def turn(part: int, fresh: bool) -> Column:
-        return F.struct(F.lit(part).alias("part"), "id", "role", "body", F.lit(fresh).alias("fresh"))
+    def member(at: Column, part: int, fresh: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(part).alias("part"), fresh.alias("fresh"))
 
     near = (F.col("stop") - (F.col("so_far") - F.col("tokens")) <= settings.history) & (F.col("stop") < F.col("total"))
-    own = F.struct(F.col("start").alias("at"), turn(1, True).alias("turn"))
-    again = F.struct(F.col("stop").alias("at"), turn(0, False).alias("turn"))
-    members = placed.select("conv", F.explode(F.when(near, F.array(own, again)).otherwise(F.array(own))).alias("m"))
-    members = members.select("conv", "m.at", "m.turn")
-
-    system_turn = F.struct(
-        F.lit(-1).alias("part"),
-        F.lit(0).cast("bigint").alias("id"),
-        F.lit("system").alias("role"),
-        F.col("system_body").alias("body"),
-        (F.col("at") == 0).alias("fresh"),
-    )
-    starts = whole.filter("system_tokens IS NOT NULL").join(bounds.select("conv", F.col("start").alias("at")), "conv", "left")
-    starts = starts.withColumn("at", F.coalesce("at", F.lit(0).cast("long")))
-    members = members.unionByName(starts.select("conv", "at", system_turn.alias("turn")))
-    windowed = members.groupBy("conv", "at").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    own, again = member(F.col("start"), 1, F.lit(True)), member(F.col("stop"), 0, F.lit(False))
+    members = placed.select("conv", "id", F.explode(F.when(near, F.array(own, again)).otherwise(F.array(own))).alias("m"))
+    members = members.select("conv", "id", "m.*")
+    starts = whole.filter("system_tokens IS NOT NULL").join(bounds.select("conv", "start"), "conv", "left")
+    at = F.coalesce("start", F.lit(0).cast("long"))
+    systems = starts.select("conv", F.lit(0).cast("long").alias("id"), member(at, -1, at == 0).alias("m")).select("conv", "id", "m.*")
+    members = members.unionByName(systems).join(rows.select("conv", "id", "role", "body"), ["conv", "id"])
+    turn = F.struct("part", "id", "role", "body", "fresh")
+    windowed = members.groupBy("conv", "at").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     return windowed.select(
         F.col("conv.conv_id").alias("conv_id"),
         F.col("at").alias("window_start"),
