@@ -32,7 +32,7 @@ RAW = frozenset("script style textarea title iframe".split())
 # Words of element names, classes and ids that say what a block is.
 MAIN = frozenset("article main".split())
 ASIDE = frozenset(
-    "nav footer aside form button dialog .ad .ads .advert .advertisement .sponsored .promo .sidebar .aside .menu .nav .navbar .navigation .breadcrumb "
+    "nav footer aside form button dialog .header .ad .ads .advert .advertisement .sponsored .promo .sidebar .aside .menu .nav .navbar .navigation .breadcrumb "
     ".breadcrumbs .cookie .cookies .consent .notice .alert .banner .comments .comment .replies .respond .share .social .related .pagination .pager "
     ".newsletter .subscribe .widget .login .search .copyright .popup .modal .footer .form".split()
 )
@@ -40,19 +40,19 @@ ASIDE = frozenset(
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
-HINT_MAIN, HINT_ASIDE = ".xmainx", ".xasidex"
+HINT_MAIN = ".xmainx"
 
 
 @dataclass(frozen=True)
 class Settings:
     """Sizes of the vectors and of the network, and of what it is trained on."""
 
-    path_slots: int = 96
+    path_slots: int = 320
     word_slots: int = 24
     hidden: int = 16
     sample_pages: int = 160
-    made_pages: int = 480
-    epochs: int = 12
+    made_pages: int = 800
+    epochs: int = 9
     rate: float = 0.01
     threshold: float = 0.5
     seed: int = 11
@@ -148,7 +148,7 @@ def vectors(rows: list[tuple[str, tuple[str, ...], float]], settings: Settings,
     for i, (text, tokens, linked) in enumerate(rows):
         path = cache.get(tokens)
         if path is None:
-            plain = [t for t in tokens if t not in (HINT_MAIN, HINT_ASIDE)]
+            plain = [t for t in tokens if t != HINT_MAIN]
             tags = [t for t in plain if t[0] != "."]
             named = [*plain, "leaf " + (tags[-1] if tags else ""), "pair " + " ".join(tags[-2:])]
             path = np.zeros(settings.path_slots, np.float32)
@@ -290,7 +290,7 @@ class Labeller:
 
 def own_label(tokens: tuple[str, ...]) -> int | None:
     """What the path itself says: 1 main, 0 not, None nothing."""
-    if HINT_ASIDE in tokens or ASIDE.intersection(tokens):
+    if ASIDE.intersection(tokens):
         return 0
     if HINT_MAIN in tokens:
         return 1
@@ -299,69 +299,105 @@ def own_label(tokens: tuple[str, ...]) -> int | None:
     return 1 if MAIN.intersection(tokens) else None
 
 
-# Ways of marking up the parts of a page, %s standing for the content.
-_MAIN_LAYOUTS = (
-    '<article class="xmainx">%s</article>', '<main class="xmainx">%s</main>', '<main><article class="xmainx">%s</article></main>',
-    '<div class="content xmainx">%s</div>', '<div id="main" class="xmainx">%s</div>', '<div class="post-content xmainx">%s</div>',
-    '<div class="article-body xmainx">%s</div>', '<section class="entry xmainx">%s</section>', '<div class="wrapper"><div class="text xmainx">%s</div></div>',
-    '<div class="container"><article class="xmainx">%s</article></div>', '<div class="story xmainx">%s</div>',
-)
-_ASIDE_LAYOUTS = (
-    '<nav><ul>{li}</ul></nav>', '<ul class="menu">{li}</ul>', '<div class="nav">{a}</div>', '<header><p>{t}</p></header>', '<header>{a}</header>', '<div class="header">{t}</div>',
-    '<div class="ad">{t}</div>', '<div class="ads"><p>{t}</p></div>', '<div class="advert">{t}</div>', '<aside><p>{t}</p></aside>', '<aside class="sidebar"><ul>{li}</ul></aside>', '<div class="sidebar"><h3>{w}</h3><p>{t}</p></div>',
-    '<div class="cookie-notice">{t}</div>', '<div class="notice">{t}</div>', '<div id="cookie-banner"><p>{t}</p></div>', '<form><label>{w}</label><input name="q"><button>{w}</button></form>',
-    '<form class="subscribe"><p>{t}</p></form>', '<div class="related"><ul>{li}</ul></div>', '<div class="share">{a}</div>', '<div class="breadcrumb">{a}</div>',
-)
-_ENDS = (
-    '<footer>&copy; {w} &middot; {t}</footer>', '<footer><p>{t}</p><ul>{li}</ul></footer>', '<div class="footer">{t}</div>', '<section class="comments"><h2>{w}</h2><div class="comment"><p>{t}</p></div><div class="comment"><p>{t}</p></div></section>',
-    '<div id="comments"><ol><li><p>{t}</p></li><li><p>{t}</p></li></ol></div>', '<ul class="comment-list"><li>{t}</li></ul>', '<div class="newsletter"><p>{t}</p></div>',
-)
+# Words of class names that made pages draw from, and elements that asides are made of.
+_MAIN_WORDS = "content main post entry article story body text page single detail".split()
+_ASIDE_WORDS = (
+    "ad ads advert sponsored promo sidebar menu nav navbar navigation breadcrumb cookie consent notice alert banner comments comment replies share "
+    "social related pagination newsletter subscribe widget login search copyright popup footer header"
+).split()
+_PLAIN_WORDS = "box area wrap bar list inner item block group panel".split()
+_ASIDE_TAGS = ("nav", "header", "aside", "footer", "form")
 
 
 def made_pages(words: list[str], settings: Settings) -> Iterator[str]:
-    """Pages laid out from the words, with marks on the main text."""
+    """Pages laid out from the words, with marks on the main text and on asides inside it."""
     rng = np.random.default_rng(settings.seed)
 
+    def pick(choices):
+        return choices[int(rng.integers(len(choices)))]
+
     def some(least: int, most: int) -> str:
         return html.escape(" ".join(words[i] for i in rng.integers(0, len(words), rng.integers(least, most))))
 
-    def fill(layout: str) -> str:
-        for mark, make in (
-            ("{li}", lambda: "".join(f'<li><a href="/">{some(1, 3)}</a></li>' for _ in range(rng.integers(2, 9)))),
-            ("{a}", lambda: " ".join(f'<a href="/">{some(1, 3)}</a>' for _ in range(rng.integers(2, 6)))),
-            ("{t}", lambda: some(3, 30)),
-            ("{w}", lambda: some(1, 4)),
-        ):
-            while mark in layout:
-                layout = layout.replace(mark, make(), 1)
-        return layout
+    def named(word: str) -> str:
+        name = word if rng.random() < 0.4 else f"{word}-{pick(_PLAIN_WORDS)}"
+        return f'{"id" if rng.random() < 0.2 else "class"}="{name}"'
 
-    def paragraph() -> str:
-        kind = rng.integers(0, 9)
+    def listed(links: bool) -> str:
+        item = '<li><a href="/">{}</a></li>' if links else "<li>{}</li>"
+        return "<ul>" + "".join(item.format(some(1, 4) if links else some(2, 25)) for _ in range(rng.integers(1, 8))) + "</ul>"
+
+    def filling() -> str:
+        kind = rng.integers(0, 7)
         if kind == 0:
-            return f"<h2>{some(2, 9)}</h2>"
+            return listed(links=True)
         if kind == 1:
-            return "<ul>" + "".join(f"<li>{some(3, 20)}</li>" for _ in range(rng.integers(2, 5))) + "</ul>"
+            return " ".join(f'<a href="/">{some(1, 3)}</a>' for _ in range(rng.integers(1, 6)))
         if kind == 2:
-            return f"<p><b>{some(2, 12)}<br>"
+            return f"<h3>{some(1, 4)}</h3><p>{some(3, 40)}</p>"
         if kind == 3:
-            return f"<blockquote><p>{some(5, 40)}</p></blockquote>"
+            return f"<h1>{some(1, 6)}</h1><p>{some(2, 30)}</p>"
         if kind == 4:
-            return f"<table><tr><td>{some(1, 6)}</td><td>{some(1, 6)}</td></tr></table>"
-        return f"<p>{some(1, 80)}</p>"
+            return some(2, 40)
+        if kind == 5:
+            return listed(links=False)
+        return f"<p>{some(1, 50)}</p>" * int(rng.integers(1, 4))
+
+    def aside() -> str:
+        kind = rng.random()
+        if kind < 0.4:
+            tag = pick(_ASIDE_TAGS)
+            return f"<{tag}>{filling()}</{tag}>"
+        tag = pick(("div", "div", "section", "ul", *_ASIDE_TAGS))
+        content = f"<li>{some(1, 20)}</li>" * 2 if tag == "ul" else filling()
+        if kind > 0.9:
+            content = f'<label>{some(1, 3)}</label><input name="q"><button>{some(1, 3)}</button>'
+            tag = "form"
+        return f"<{tag} {named(pick(_ASIDE_WORDS))}>{content}</{tag}>"
+
+    def remarks() -> str:
+        one = pick(('<div class="comment"><p>{}</p></div>', '<article class="comment"><p>{}</p></article>', "<li><p>{}</p></li>", '<div class="comment">{}</div>'))
+        inside = "".join(one.format(some(2, 50)) for _ in range(rng.integers(1, 5)))
+        head = f"<h2>{some(1, 4)}</h2>" if rng.random() < 0.5 else ""
+        tag = pick(("div", "section", "ol"))
+        return f'<{tag} {named("comments")}>{head}{inside}</{tag}>'
+
+    def paragraph() -> str:
+        kind = rng.integers(0, 12)
+        simple = {
+            0: f"<h2>{some(1, 9)}</h2>",
+            1: listed(links=False),
+            2: f"<p><b>{some(2, 12)}<br>",
+            3: f"<blockquote>{some(1, 60)}</blockquote>",
+            4: f"<blockquote><p>{some(1, 60)}</p></blockquote>",
+            5: f"<table><tr><td>{some(1, 6)}</td><td>{some(1, 6)}</td></tr></table>",
+            6: f'<p><em>{some(1, 30)}</em> <a href="/">{some(1, 5)}</a> {some(1, 30)}',
+        }
+        return simple.get(int(kind), f"<p>{some(1, 80)}</p>")
+
+    def wrapped(content: str) -> str:
+        kind = rng.integers(0, 6)
+        if kind == 0:
+            return f'<article class="xmainx">{content}</article>'
+        if kind == 1:
+            return f'<main class="xmainx">{content}</main>'
+        name = "-".join(dict.fromkeys((pick(_MAIN_WORDS), pick(_MAIN_WORDS)))) if rng.random() < 0.6 else pick(_MAIN_WORDS)
+        if kind == 2:
+            return f'<main><article class="{name} xmainx">{content}</article></main>'
+        if kind == 3:
+            return f'<div class="{pick(_PLAIN_WORDS)}"><div class="{name} xmainx">{content}</div></div>'
+        return f'<{pick(("div", "section"))} id="{name}" class="xmainx">{content}</div>'
 
     for _ in range(settings.made_pages):
-        parts = [paragraph() for _ in range(rng.integers(0, 14))]
-        heading = f"<h1>{some(2, 10)}</h1>"
-        if len(parts) > 4 and rng.random() < 0.4:
-            inner = fill(_ASIDE_LAYOUTS[rng.integers(len(_ASIDE_LAYOUTS))])
-            parts.insert(int(rng.integers(1, len(parts))), f'<div class="xasidex">{inner}</div>' if rng.random() < 0.5 else inner)
-        if rng.random() < 0.25:
-            parts.append(fill(_ENDS[3 + rng.integers(3)]))
-        before = [fill(_ASIDE_LAYOUTS[i]) for i in rng.integers(0, len(_ASIDE_LAYOUTS), rng.integers(0, 4))]
-        after = [fill(_ENDS[i]) for i in rng.integers(0, len(_ENDS), rng.integers(0, 3))]
-        layout = _MAIN_LAYOUTS[rng.integers(len(_MAIN_LAYOUTS))]
-        yield f"<html><head><title>{some(2, 8)}</title></head><body>{''.join(before)}{layout % (heading + ''.join(parts))}{''.join(after)}</body></html>"
+        parts = [paragraph() for _ in range(rng.integers(0, 12))]
+        for _ in range(int(rng.integers(0, 3)) if parts else 0):
+            parts.insert(int(rng.integers(0, len(parts) + 1)), aside() if rng.random() < 0.7 else "")
+        if rng.random() < 0.2:
+            parts.append(remarks())
+        main = wrapped(f"<h1>{some(1, 10)}</h1>" + "".join(parts))
+        before = "".join(aside() for _ in range(rng.integers(0, 5)))
+        after = "".join(remarks() if rng.random() < 0.3 else aside() for _ in range(rng.integers(0, 4)))
+        yield f"<html><head><title>{some(2, 8)}</title></head><body>{before}{main}{after}</body></html>"
 
 
 def trained(pages: DataFrame, settings: Settings) -> Labeller:
