@@ -343,9 +343,8 @@ def first_of_groups(docs: DataFrame, settings: Settings | None = None) -> DataFr
     Of a group without any id one document stays for each of its texts. No other column is
     read, so extra columns may have any name.
     """
-    found = near_duplicates(docs, settings).filter("kept")
-    stay = found.select(F.col("doc_id").alias("_stay_id"), F.col("text_key").alias("_stay_key")).distinct()
-    keyed = docs.withColumn("_text_key", _text_key())
-    same = F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("_text_key") == F.col("_stay_key"))
-    once = keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return once.drop("_text_key")
+    stay = near_duplicates(docs, settings).filter("kept")
+    # One key for the join and for what follows, so that the texts are dealt out once.
+    stay = stay.select(F.struct("doc_id", "text_key").alias("key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", _text_key().alias("text_key")).alias("key"))
+    return rows.join(stay, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
