@@ -256,3 +256,19 @@ def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert [r.score for r in quality_qda.scored(df, labels).collect()] == [0.5, 0.5]
     assert quality_qda.scored(df.limit(0), labels).collect() == []
+
+
+def test_many_surnames_stay_distinct(spark):
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)).capitalize() for i in range(30_000)]
+    names += ["Müller", "Muller", "O'Neil", "Иванов", "Иванова", "Z" + "y" * 60, "Z" + "y" * 61]
+    texts = ["; ".join(f"Mr {n}" for n in names[i : i + 100]) for i in range(0, len(names), 100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    made = [m for r in pii.with_surrogates(df, pii.Settings(key=KEY)).orderBy("doc_id").collect() for m in re.findall(r"Mr (\S+?)(?:;|$)", r.text)]
+    assert len(set(made)) == len(made) == len(names) and not set(made) & set(names)
+
+
+def test_surrogate_that_is_a_surname_gets_a_variant(spark):
+    first = pii._surname(pii.name_key(spark.createDataFrame([("Mr Adams",)], "text string"), pii.Settings(key=KEY)), "Adams")
+    df = spark.createDataFrame([("Mr Adams",), (f"Mr {first}",), ("Mr ADAMS",)], "text string")
+    made = [r.text for r in pii.with_surrogates(df, pii.Settings(key=KEY)).collect()]
+    assert len(set(made)) == 3 and f"Mr {first}" not in made and made[2] == f"Mr {made[0][3:].upper()}"

@@ -2,8 +2,9 @@
 
 Numbers and addresses go through a keyed permutation of all strings of their form, so
 distinct entities always get distinct surrogates and an entity has the same one everywhere.
-Names get names of the same gender and script, drawn by key; these could meet, so the
-surrogates of all names of the corpus are compared, and the key is varied until none do.
+Surnames are numbered, whatever their letters, and a keyed permutation of the numbers is
+written in syllables, so no two ever meet. A surrogate that is a surname of the corpus gets
+a next variant, by itself. Given names get names of the same gender and script.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ import hashlib
 import hmac
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.work import map_batches
+from trackmill.llm.work import Scratch, map_batches
 
 # Titles by gender, in the languages covered.
 TITLES = {
@@ -49,6 +50,9 @@ ALPHABETS = (
     "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
     "αβγδεζηθικλμνξοπρστυφχψω",
 )
+# The signs by which names are numbered, and further letters that take two signs, by script.
+SIGNS = {"latin": ALPHABETS[1] + "'-", "cyrillic": ALPHABETS[5] + "'-"}
+FURTHER = {"latin": ALPHABETS[3], "cyrillic": "ёіїєґўјљњћђџ"}
 _CLASS = {letter: letters for letters in ALPHABETS for letter in letters}
 
 _UPPER = "A-ZÀ-ÖØ-ÞА-Я"
@@ -67,12 +71,21 @@ _DIGIT = re.compile(r"\d")
 
 @dataclass(frozen=True)
 class Settings:
-    """The secret key, and how often the key of names is varied at most."""
+    """The secret key, and how many variants of a surname's surrogate are tried where they are
+    surnames of the corpus themselves."""
 
     key: bytes = b"change-this-key-for-every-release"
     tries: int = 20
 
 
+@dataclass(frozen=True)
+class Names:
+    """The key for names, and the variants of the few surnames whose surrogate is not their first."""
+
+    key: bytes
+    variants: dict[str, int] = field(default_factory=dict)
+
+
 def _digest(key: bytes, *parts: object) -> int:
     text = "\x1f".join(map(str, parts)).encode()
     return int.from_bytes(hmac.digest(key, text, hashlib.sha256)[:16], "big")
@@ -186,23 +199,61 @@ def _given(key: bytes, gender: str, name: str) -> str:
     return names[_digest(key, "given", name) % len(names)]
 
 
-def _surname(key: bytes, name: str) -> str:
-    consonants, vowels = SOUNDS[_script(name)]
-    number, made = _digest(key, "surname", name), []
-    for i in range(8):
-        letters = vowels if i % 2 else consonants
-        number, place = divmod(number, len(letters))
-        made.append(letters[place])
-    made = "".join(made)
+def _plain(name: str) -> str:
+    """The name as it is compared: in small letters, with one kind of apostrophe."""
+    return name.lower().replace("’", "'")
+
+
+def _number(key: bytes, name: str, script: str) -> int:
+    """A number of its own for every name; one over 40 letters is numbered by its digest."""
+    letters, further = SIGNS[script], FURTHER[script]
+    base, signs = len(letters) + 2, []
+    if len(name) > 40:
+        name = f"{_digest(key, 'long', name):x}"
+    for c in name:
+        if c in letters:
+            signs.append(letters.index(c))
+        elif c in further:
+            signs += [base - 2, further.index(c)]
+        else:
+            signs += [base - 1, *(ord(c) // base**i % base for i in range(5))]
+    number = 0
+    for sign in signs:
+        number = number * base + sign + 1
+    return number
+
+
+def _made(key: bytes, kind: str, name: str) -> str:
+    """Syllables for the name: four, or as many as tell all names of its length apart; an injection."""
+    script = _script(name)
+    consonants, vowels = SOUNDS[script]
+    number, pair, pairs = _number(key, name, script), len(consonants) * len(vowels), 4
+    while number >= pair**pairs:
+        number, pairs = number - pair**pairs, pairs + 1
+    number, made = permuted(key, f"{kind}:{script}", number, pair**pairs), []
+    for _ in range(pairs):
+        number, place = divmod(number, pair)
+        made += [consonants[place // len(vowels)], vowels[place % len(vowels)]]
+    return "".join(made)
+
+
+def _variant(key: bytes, name: str, variant: int) -> str:
+    """Syllables end in a vowel, so a variant's consonants at the end tell it from every other surrogate."""
+    return _made(key, "surname", name) + SOUNDS[_script(name)][0][7] * variant
+
+
+def _surname(names: Names, name: str) -> str:
+    known = _plain(name)
+    made = _variant(names.key, known, names.variants.get(known, 0))
     return made.upper() if name.isupper() else made.capitalize()
 
 
-def _person(key: bytes, match: re.Match) -> str:
+def _person(names: Names, match: re.Match) -> str:
     title, gap, first, space, last = match.groups()
     gender = _GENDER[title]
     if last:
-        return f"{title}{gap}{_given(key, gender, first)}{space}{_surname(key, last)}"
-    return f"{title}{gap}{_surname(key, first)}"
+        return f"{title}{gap}{_given(names.key, gender, first)}{space}{_surname(names, last)}"
+    return f"{title}{gap}{_surname(names, first)}"
 
 
 _MAKERS: list[tuple[str, re.Pattern, Callable[[bytes, str], str]]] = [
@@ -246,51 +297,71 @@ def entities(text: str) -> list[tuple[int, int, str, re.Match]]:
     return sorted(found, key=lambda e: e[:2])
 
 
-def surrogate(key: bytes, name_key: bytes, kind: str, match: re.Match) -> str:
+def surrogate(key: bytes, names: Names, kind: str, match: re.Match) -> str:
     if kind == "person":
-        return _person(name_key, match)
+        return _person(names, match)
     if kind == "email":
         return _email(key, match.group())
     return next(make for k, _, make in _MAKERS if k == kind)(key, match.group())
 
 
-def replaced(text: str, key: bytes, name_key: bytes) -> tuple[str, int]:
+def replaced(text: str, key: bytes, names: Names) -> tuple[str, int]:
     """The text with surrogates, and the number of entities."""
     parts, at = [], 0
     found = entities(text)
     for start, end, kind, match in found:
-        parts += [text[at:start], surrogate(key, name_key, kind, match)]
+        parts += [text[at:start], surrogate(key, names, kind, match)]
         at = end
     return "".join([*parts, text[at:]]), len(found)
 
 
-def _names(docs: DataFrame, key: bytes) -> DataFrame:
-    """Distinct (name, made) of all surnames and of all domains; the parts drawn by hash."""
-    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("made", T.StringType())])
+def _surnames(docs: DataFrame) -> DataFrame:
+    """The distinct surnames, as they are compared."""
+    schema = T.StructType([T.StructField("name", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = set()
+            names = set()
             for text in batch.column("text").to_pylist():
                 for match in PERSON.finditer(text or ""):
-                    name = match.group(5) or match.group(3)
-                    rows.add((f"person {name}", f"person {_surname(key, name)}"))
-            yield pa.RecordBatch.from_pylist([{"name": a, "made": b} for a, b in rows], schema=pa.schema([("name", pa.string()), ("made", pa.string())]))
+                    names.add(_plain(match.group(5) or match.group(3)))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], names=["name"])
 
     return docs.select("text").mapInArrow(run, schema).distinct()
 
 
-def name_key(docs: DataFrame, settings: Settings) -> bytes:
-    """The key for names: the first variant under which no two surnames of the corpus meet, and
-    none gets a surname of the corpus."""
-    for attempt in range(settings.tries):
-        key = hmac.digest(settings.key, f"names {attempt}".encode(), hashlib.sha256)
-        pairs = _names(docs, key)
-        both = pairs.select(F.col("made").alias("text"), F.col("name")).unionByName(pairs.select(F.col("name").alias("text"), "name"))
-        met = both.groupBy("text").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).filter("lo != hi")
-        if met.isEmpty():
-            return key
-    raise ValueError("the surnames meet under every key tried: there are too many for surrogates of this length")
+def _with_variant(names: DataFrame, key: bytes, variant: int) -> DataFrame:
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("made", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([_variant(key, n, variant) for n in batch.column("name").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("name"), made], names=["name", "made"])
+
+    return names.select("name").mapInArrow(run, schema)
+
+
+def name_key(docs: DataFrame, settings: Settings) -> Names:
+    """The key for names, and the variants of surnames whose first surrogate is a surname of the corpus.
+
+    Texts are scanned once. Surrogates never meet each other; the join finds those that are
+    surnames, and only these names go on to the next variant. They come to the driver: of
+    a million surnames a few dozen at most, as nearly all possible surrogates are nobody's name.
+    """
+    key = hmac.digest(settings.key, b"names", hashlib.sha256)
+    scratch = Scratch(docs.sparkSession, "names")
+    names = scratch.settle(_surnames(docs), "surnames")
+    left, variants = names, {}
+    for variant in range(settings.tries):
+        made = _with_variant(left, key, variant)
+        met = made.join(names.select(F.col("name").alias("made")), "made", "left_semi").select("name")
+        left = scratch.settle(met, "met")
+        again = [r.name for r in left.collect()]
+        if not again:
+            scratch.drop_all_but()
+            return Names(key, variants)
+        variants |= dict.fromkeys(again, variant + 1)
+    raise ValueError("surnames of the corpus are surrogates of one another in every variant tried")
 
 
 def with_surrogates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
