@@ -272,3 +272,18 @@ def test_surrogate_that_is_a_surname_gets_a_variant(spark):
     df = spark.createDataFrame([("Mr Adams",), (f"Mr {first}",), ("Mr ADAMS",)], "text string")
     made = [r.text for r in pii.with_surrogates(df, pii.Settings(key=KEY)).collect()]
     assert len(set(made)) == 3 and f"Mr {first}" not in made and made[2] == f"Mr {made[0][3:].upper()}"
+
+
+@pytest.mark.parametrize(("share", "copies"), [(0.33, False), (0.33, True), (0.45, False)])
+def test_outliers_of_a_third_of_junk(spark, share, copies):
+    rng = random.Random(6)
+    words = lambda: ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(rng.randint(60, 200))]
+    copy = " ".join(w + "##" for w in words())
+    junk = lambda: copy if copies else " ".join(w + "#" * rng.randint(0, 3) for w in words())
+    n = 600
+    rows = [(i, junk() if i < share * n else " ".join(words()), "en", "s") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    made = {r.doc_id: r for r in outliers.verdicts(df).collect()}
+    assert not any(made[i].base_failed for i in range(n))
+    assert sum(made[i].kept for i in range(n) if i < share * n) == 0
+    assert sum(made[i].kept for i in range(n) if i >= share * n) > 0.99 * (1 - share) * n

@@ -2,8 +2,10 @@
 
 Every document has a vector of four transformed statistics. For each language and source
 (or the language, or all documents, where there are few) the minimum covariance determinant
-estimates its centre and spread from the most central rows, so junk does not widen the
-spread that it is judged by. A document far away in Mahalanobis distance is rejected.
+estimates its centre and spread from the most central half of the rows, so junk does not widen
+the spread that it is judged by. Concentration steps run from several starts until nothing
+changes; the fit of smallest determinant stays, and is taken again over all rows near it. A
+document far away in Mahalanobis distance is rejected.
 """
 
 from __future__ import annotations
@@ -26,19 +28,20 @@ DIM = 4
 VECTOR = [f"v{i}" for i in range(DIM)]
 MEAN = [f"m{i}" for i in range(DIM)]
 WHITE = [f"w{i}{j}" for i in range(DIM) for j in range(i + 1)]
+STARTS = 4
 PRODUCTS = [(i, j) for i in range(DIM) for j in range(i + 1)]
 
 
 @dataclass(frozen=True)
 class Settings:
     """`coverage`: share of central rows; `least_rows`: of a group with estimates of its own;
-    `passes`: concentration steps; `cutoff`: largest squared distance kept (1 in 20,000 normal rows is farther); `floors`: standard
+    `passes`: concentration steps at most, should a determinant still fall; `cutoff`: largest squared distance kept (1 in 20,000 normal rows is farther); `floors`: standard
     deviations added to each statistic's own, below which differences don't count; `bin`: width
     of the bins of quantiles."""
 
-    coverage: float = 0.75
+    coverage: float = 0.5
     least_rows: int = 100
-    passes: int = 3
+    passes: int = 50
     cutoff: float = 25.0
     floors: tuple[float, ...] = (0.05, 0.15, 0.15, 0.15)
     bin: float = 0.01
@@ -99,18 +102,87 @@ def _levels(stats: DataFrame) -> DataFrame:
     return stats.select(groups.alias("g"), *VECTOR)
 
 
-def _quantile(df: DataFrame, keys: list[str], value: Column, share: float, width: float) -> DataFrame:
-    """keys, n and the upper edge q of the bin in which the share of the rows is reached.
+def _edge(df: DataFrame, keys: list[str], width: float, left: Column) -> DataFrame:
+    """keys, the `bin` of `far` in which the rows `left` (a column over n or `goal`) are reached,
+    `rest`, those still left at its lower edge, and `k`, its rows.
 
     Rows are counted per bin first, so what is ordered is one row per key and bin.
     """
-    bins = df.select(*keys, F.floor(value / width).alias("bin")).groupBy(*keys, "bin").agg(F.count("*").alias("k"))
-    totals = bins.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("bin", "k"))).alias("all"), F.sum("k").alias("n"))
+    carried = [c for c in ("goal",) if c in df.columns]  # the rows left, where they differ by key
+    bins = df.select(*keys, *carried, F.floor(F.col("far") / width).alias("bin")).groupBy(*keys, *carried, "bin").agg(F.count("*").alias("k"))
+    totals = bins.groupBy(*keys, *carried).agg(F.array_sort(F.collect_list(F.struct("bin", "k"))).alias("all"), F.sum("k").alias("n"))
     reached = F.expr(
-        f"aggregate(all, named_struct('s', 0L, 'b', CAST(NULL AS BIGINT)), (a, x) -> named_struct('s', a.s + x.k, "
-        f"'b', CASE WHEN a.b IS NULL AND a.s + x.k >= {share} * n THEN x.bin ELSE a.b END)).b"
+        "aggregate(all, named_struct('s', 0L, 'b', CAST(NULL AS BIGINT), 'rest', 0L, 'k', 0L), (a, x) -> CASE WHEN a.b IS NOT NULL THEN a "
+        "WHEN a.s + x.k >= wanted THEN named_struct('s', a.s, 'b', x.bin, 'rest', wanted - a.s, 'k', x.k) "
+        "ELSE named_struct('s', a.s + x.k, 'b', a.b, 'rest', a.rest, 'k', a.k) END)"
     )
-    return totals.select(*keys, "n", ((reached + 1) * width).alias("q"))
+    found = totals.withColumn("wanted", left.cast("long")).withColumn("at", reached)
+    return found.select(*keys, F.col("at.b").alias("bin"), F.col("at.rest").alias("rest"), F.col("at.k").alias("k"))
+
+
+def _histogram_starts(bins: np.ndarray, counts: np.ndarray, width: float) -> list[tuple[float, float]]:
+    """Centre and standard deviation of one statistic by four starts: median and deviations from
+    it, the shortest half, the lower half and the upper half."""
+    x, upto = (bins + 0.5) * width, np.cumsum(counts)
+    half = (upto[-1] + 1) // 2
+
+    def median(values: np.ndarray, k: np.ndarray) -> float:
+        order = np.argsort(values, kind="stable")
+        return float(values[order][np.searchsorted(np.cumsum(k[order]), half)])
+
+    def of(first: int, last: int, factor: float) -> tuple[float, float]:
+        k, v = counts[first : last + 1], x[first : last + 1]
+        mean = np.average(v, weights=k)
+        return float(mean), float(factor * np.sqrt(np.average((v - mean) ** 2, weights=k)))
+
+    middle = median(x, counts)
+    before = np.concatenate(([0], upto[:-1]))
+    ends = np.searchsorted(upto, before + half)
+    firsts = np.flatnonzero(ends < len(x))
+    shortest = firsts[np.argmin(x[ends[firsts]] - x[firsts])]
+    at = int(np.searchsorted(upto, half))
+    above = int(np.searchsorted(upto, upto[-1] - half, side="right"))
+    # factors: of the deviations of normal rows' parts
+    return [
+        (middle, 1.4826 * median(np.abs(x - middle), counts)),
+        of(int(shortest), int(ends[shortest]), 2.65),
+        of(0, at, 1.66),
+        of(above, len(x) - 1, 1.66),
+    ]
+
+
+def _starts(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (g, start, mean, whitening, logdet) for groups of enough rows."""
+    melted = rows.select("g", F.posexplode(F.array(*VECTOR)).alias("d", "v"))
+    bins = melted.groupBy("g", "d", F.floor(F.col("v") / settings.bin).alias("bin")).agg(F.count("*").alias("k"))
+    groups = bins.groupBy("g").agg(
+        F.sum(F.when(F.col("d") == 0, F.col("k"))).alias("n"),
+        *[F.array_sort(F.collect_list(F.when(F.col("d") == d, F.struct("bin", "k")))).alias(f"h{d}") for d in range(DIM)],
+    )
+
+    def solve(frames):
+        for frame in frames:
+            made = []
+            for row in frame.to_dict("records"):
+                by_dim = []
+                for d in range(DIM):
+                    pairs = [tuple(b.values()) if isinstance(b, dict) else tuple(b) for b in row[f"h{d}"]]
+                    bins, counts = np.array(pairs, np.int64).T
+                    by_dim.append(_histogram_starts(bins, counts, settings.bin))
+                g = row["g"] if isinstance(row["g"], dict) else row["g"].asDict()
+                for start in range(STARTS):
+                    line = {"g": g, "start": start, "logdet": math.inf}
+                    line |= {f"m{i}": by_dim[i][start][0] for i in range(DIM)}
+                    line |= {f"w{i}{j}": 1 / math.hypot(by_dim[i][start][1], settings.floors[i]) if i == j else 0.0 for i, j in PRODUCTS}
+                    made.append(line)
+            yield pd.DataFrame(made, columns=["g", "start", *MEAN, *WHITE, "logdet"])
+
+    return groups.filter(F.col("n") >= settings.least_rows).mapInPandas(solve, _fit_schema(rows, ["g", "start"]))
+
+
+def _fit_schema(rows: DataFrame, keys: list[str]) -> T.StructType:
+    named = {"g": rows.schema["g"], "start": T.StructField("start", T.LongType())}
+    return T.StructType([named[k] for k in keys] + [T.StructField(c, T.DoubleType()) for c in (*MEAN, *WHITE, "logdet")])
 
 
 def _chi2(x: float, pairs: int) -> float:
@@ -132,7 +204,7 @@ def consistency(share: float) -> float:
 
 
 def whitening(moments: pd.DataFrame, factor: float, floors: tuple[float, ...]) -> pd.DataFrame:
-    """Means and inverse Cholesky factors from the sums of rows and of products."""
+    """Means, inverse Cholesky factors and logarithms of determinants from the sums of rows and of products."""
     n = moments["n"].to_numpy(float)
     mean = np.stack([moments[f"s{i}"].to_numpy(float) / n for i in range(DIM)], axis=1)
     cov = np.zeros((len(n), DIM, DIM))
@@ -140,8 +212,10 @@ def whitening(moments: pd.DataFrame, factor: float, floors: tuple[float, ...]) -
         cov[:, i, j] = cov[:, j, i] = moments[f"p{i}{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
     cov = cov * factor + np.diag(np.square(floors))
     white = np.linalg.inv(np.linalg.cholesky(cov))
-    out = {"g": moments["g"].tolist()} | {f"m{i}": mean[:, i] for i in range(DIM)}
-    return pd.DataFrame(out | {f"w{i}{j}": white[:, i, j] for i, j in PRODUCTS})
+    keys = {k: moments[k].tolist() for k in ("g", "start") if k in moments}
+    out = keys | {f"m{i}": mean[:, i] for i in range(DIM)}
+    out |= {f"w{i}{j}": white[:, i, j] for i, j in PRODUCTS}
+    return pd.DataFrame(out | {"logdet": np.linalg.slogdet(cov)[1]})
 
 
 def distance() -> Column:
@@ -155,45 +229,64 @@ def distance() -> Column:
     return total
 
 
-def _moments(rows: DataFrame, factor: float, floors: tuple[float, ...]) -> DataFrame:
-    sums = [F.sum(f"v{i}").alias(f"s{i}") for i in range(DIM)]
-    products = [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i, j in PRODUCTS]
-    schema = T.StructType([rows.schema["g"]] + [T.StructField(c, T.DoubleType()) for c in (*MEAN, *WHITE)])
+def _moments(rows: DataFrame, keys: list[str], factor: float, floors: tuple[float, ...]) -> DataFrame:
+    """Fits of the rows, each of its `weight`."""
+    weight = F.col("weight")
+    sums = [F.sum(weight * F.col(f"v{i}")).alias(f"s{i}") for i in range(DIM)]
+    products = [F.sum(weight * F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i, j in PRODUCTS]
 
     def solve(frames):
         for frame in frames:
             frame["g"] = [g if isinstance(g, dict) else g.asDict() for g in frame["g"]]
             yield whitening(frame, factor, floors)
 
-    return rows.groupBy("g").agg(F.count("*").alias("n"), *sums, *products).mapInPandas(solve, schema)
+    return rows.groupBy(*keys).agg(F.sum(weight).alias("n"), *sums, *products).mapInPandas(solve, _fit_schema(rows, keys))
+
+
+def _concentrated(rows: DataFrame, fitted: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
+    """The fits of the `coverage` of rows nearest to each fit, and the determinant's logarithm before.
+
+    The cut is found in logarithmic bins, whatever the scale, and inside the bin that it falls
+    in by bins a thousandth as wide. Rows that can't be told apart there, such as copies,
+    count in part, so that exactly the covered number of rows is taken.
+    """
+    keys, fine = ["g", "start"], settings.bin / 1000
+    far = rows.join(fitted.drop("logdet"), "g").select(*keys, *VECTOR, F.log(distance() + 1e-6).alias("far"))
+    edge = _edge(far, keys, settings.bin, F.ceil(F.lit(settings.coverage) * F.col("n") - 1e-9))
+    edge = scratch.settle(edge.select(*keys, F.col("bin").alias("coarse"), F.col("rest").alias("goal")), "edges")
+    near = far.join(edge, keys)  # a row per group and start; its size is known, so no row is dealt out by group
+    coarse = F.floor(F.col("far") / settings.bin)
+    within = _edge(near.filter(coarse == F.col("coarse")), keys, fine, F.col("goal"))
+    within = scratch.settle(within.withColumnRenamed("bin", "fine"), "cuts")
+    cut = F.floor(F.col("far") / fine)
+    inside = F.when(coarse < F.col("coarse"), 1.0).when(coarse > F.col("coarse"), 0.0)
+    inside = inside.when(cut < F.col("fine"), 1.0).when(cut > F.col("fine"), 0.0).otherwise(F.col("rest") / F.col("k"))
+    central = near.join(within, keys).withColumn("weight", inside).filter("weight > 0")
+    before = fitted.select(*keys, F.col("logdet").alias("was"))
+    made = scratch.settle(_moments(central, keys, consistency(settings.coverage), settings.floors).join(before, keys), "step")
+    scratch.drop(edge, within)
+    return made
 
 
 def estimates(stats: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """Rows (g, mean, whitening), g = (level, g_lang, g_source), for groups of enough rows."""
     rows = _levels(stats.filter(~base_failed(settings)))
-    melted = rows.select("g", F.posexplode(F.array(*VECTOR)).alias("d", "v"))
-    middle = _quantile(melted, ["g", "d"], F.col("v"), 0.5, settings.bin)
-    middle = scratch.settle(middle.filter(F.col("n") >= settings.least_rows).withColumnRenamed("q", "mid"), "medians")
-    spread = _quantile(melted.join(middle, ["g", "d"]).select("g", "d", F.abs(F.col("v") - F.col("mid")).alias("v")), ["g", "d"], F.col("v"), 0.5, settings.bin)
-    start = middle.join(spread.select("g", "d", "q"), ["g", "d"]).groupBy("g").agg(
-        F.map_from_entries(F.collect_list(F.struct("d", "mid"))).alias("mid"),
-        F.map_from_entries(F.collect_list(F.struct("d", "q"))).alias("mad"),
-    )
-    white = [
-        (1 / F.sqrt(F.pow(F.col("mad")[i] * 1.4826, 2) + settings.floors[i] ** 2) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
-        for i, j in PRODUCTS
-    ]
-    fitted = scratch.settle(start.select("g", *[F.col("mid")[i].alias(f"m{i}") for i in range(DIM)], *white), "start")
+    going, settled = scratch.settle(_starts(rows, settings), "starts"), []
     for _ in range(settings.passes):
-        # distances in logarithmic bins: one count per bin, whatever the scale
-        far = rows.join(fitted, "g").select("g", *VECTOR, F.log(distance() + 1e-6).alias("far"))
-        edge = _quantile(far, ["g"], F.col("far"), settings.coverage, settings.bin).select("g", "q")
-        edge = scratch.settle(edge, "edges")  # a row per group; its size is known, so no row is dealt out by group
-        central = far.join(edge, "g").filter("far < q")
-        fitted = scratch.settle(_moments(central, consistency(settings.coverage), settings.floors), "step")
+        made = _concentrated(rows, going, scratch, settings)
+        # a determinant that no longer falls: the start has converged, and takes no more steps
+        falls = F.col("was") - F.col("logdet") > 1e-6
+        settled.append(made.filter(~falls).drop("was"))
+        going = made.filter(falls).drop("was")
+        if going.isEmpty():
+            break
+    for more in settled:
+        going = going.unionByName(more)
+    fit = F.struct("logdet", "start", *MEAN, *WHITE)
+    best = scratch.settle(going.groupBy("g").agg(F.min(fit).alias("fit")).select("g", "fit.*").select("g", *MEAN, *WHITE), "best")
     edge = _chi2_quantile(0.975, DIM // 2)
-    central = rows.join(fitted, "g").filter(distance() < edge).select("g", *VECTOR)
-    return scratch.settle(_moments(central, consistency(0.975), settings.floors), "estimates")
+    central = rows.join(best, "g").filter(distance() < edge).select("g", *VECTOR, F.lit(1.0).alias("weight"))
+    return scratch.settle(_moments(central, ["g"], consistency(0.975), settings.floors).drop("logdet"), "estimates")
 
 
 def verdicts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
