@@ -287,3 +287,13 @@ def test_outliers_of_a_third_of_junk(spark, share, copies):
     assert not any(made[i].base_failed for i in range(n))
     assert sum(made[i].kept for i in range(n) if i < share * n) == 0
     assert sum(made[i].kept for i in range(n) if i >= share * n) > 0.99 * (1 - share) * n
+
+
+def test_given_names_stay_distinct_and_keep_their_person(spark):
+    rare = ["Aaron", "Abel", "John"] + ["".join(chr(97 + i // 26**k % 26) for k in range(3)).capitalize() for i in range(500)]
+    texts = [f"Mr {n} Smith" for n in rare] + ["Dr John Smith", "Dr Maria Smith", "Mrs Maria Smith", "Frau Zelda Smith", "Prof ZELDA Smith", *(f"Mr {n} Smith" for n in pii.GIVEN["m", "latin"])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    made = [r.text.split(" ")[1] for r in pii.with_surrogates(df, pii.Settings(key=KEY)).orderBy("doc_id").collect()]
+    n = len(rare)
+    assert len(set(made[:n] + made[n + 5 :])) == n + 16
+    assert made[n] == made[2] and made[n + 1] == made[n + 2] and made[n + 4] == made[n + 3].upper() and made[n + 3].endswith("a")

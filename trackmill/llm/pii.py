@@ -4,7 +4,8 @@ Numbers and addresses go through a keyed permutation of all strings of their for
 distinct entities always get distinct surrogates and an entity has the same one everywhere.
 Surnames are numbered, whatever their letters, and a keyed permutation of the numbers is
 written in syllables, so no two ever meet. A surrogate that is a surname of the corpus gets
-a next variant, by itself. Given names get names of the same gender and script.
+a next variant, by itself. Given names of the fixed lists are permuted within their list; others
+are written in syllables too, with an ending by gender, so that no two given names meet.
 """
 
 from __future__ import annotations
@@ -50,7 +51,9 @@ ALPHABETS = (
     "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
     "αβγδεζηθικλμνξοπρστυφχψω",
 )
-# The signs by which names are numbered, and further letters that take two signs, by script.
+# Endings of made-up given names by gender, by script; none can end syllables of even length.
+# Then the signs by which names are numbered, and further letters that take two signs, by script.
+ENDINGS = {"latin": {"m": "s", "f": "a", "n": ""}, "cyrillic": {"m": "н", "f": "а", "n": ""}}
 SIGNS = {"latin": ALPHABETS[1] + "'-", "cyrillic": ALPHABETS[5] + "'-"}
 FURTHER = {"latin": ALPHABETS[3], "cyrillic": "ёіїєґўјљњћђџ"}
 _CLASS = {letter: letters for letters in ALPHABETS for letter in letters}
@@ -80,10 +83,12 @@ class Settings:
 
 @dataclass(frozen=True)
 class Names:
-    """The key for names, and the variants of the few surnames whose surrogate is not their first."""
+    """The key for names, the variants of the few surnames whose surrogate is not their first, and
+    the genders of given names that come with a title of no gender and elsewhere with one."""
 
     key: bytes
     variants: dict[str, int] = field(default_factory=dict)
+    genders: dict[str, str] = field(default_factory=dict)
 
 
 def _digest(key: bytes, *parts: object) -> int:
@@ -192,13 +197,6 @@ def _script(name: str) -> str:
     return "cyrillic" if "а" <= name[-1].lower() <= "я" else "latin"
 
 
-def _given(key: bytes, gender: str, name: str) -> str:
-    names = GIVEN[gender, _script(name)]
-    if name in names:
-        return names[permuted(key, f"given:{gender}", names.index(name), len(names))]
-    return names[_digest(key, "given", name) % len(names)]
-
-
 def _plain(name: str) -> str:
     """The name as it is compared: in small letters, with one kind of apostrophe."""
     return name.lower().replace("’", "'")
@@ -248,11 +246,30 @@ def _surname(names: Names, name: str) -> str:
     return made.upper() if name.isupper() else made.capitalize()
 
 
+def _listed(name: str) -> str | None:
+    """The gender of the list that has the given name."""
+    script = _script(name)
+    return next((g for g in ("m", "f", "n") if name.capitalize() in GIVEN[g, script]), None)
+
+
+def _given(names: Names, gender: str, name: str) -> str:
+    """By the name's own list; else by the title's gender, or the gender that the corpus shows."""
+    listed, script = _listed(name), _script(name)
+    if listed:
+        among = GIVEN[listed, script]
+        made = among[permuted(names.key, f"given:{listed}", among.index(name.capitalize()), len(among))]
+    else:
+        known = _plain(name)
+        gender = names.genders.get(known, "n") if gender == "n" else gender
+        made = (_made(names.key, "given", known) + ENDINGS[script][gender]).capitalize()
+    return made.upper() if name.isupper() else made
+
+
 def _person(names: Names, match: re.Match) -> str:
     title, gap, first, space, last = match.groups()
     gender = _GENDER[title]
     if last:
-        return f"{title}{gap}{_given(names.key, gender, first)}{space}{_surname(names, last)}"
+        return f"{title}{gap}{_given(names, gender, first)}{space}{_surname(names, last)}"
     return f"{title}{gap}{_surname(names, first)}"
 
 
@@ -315,17 +332,22 @@ def replaced(text: str, key: bytes, names: Names) -> tuple[str, int]:
     return "".join([*parts, text[at:]]), len(found)
 
 
-def _surnames(docs: DataFrame) -> DataFrame:
-    """The distinct surnames, as they are compared."""
-    schema = T.StructType([T.StructField("name", T.StringType())])
+def _persons(docs: DataFrame) -> DataFrame:
+    """The distinct (role, name, gender) of surnames and of given names outside the lists, as they are compared."""
+    columns = ["role", "name", "gender"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = set()
+            rows = set()
             for text in batch.column("text").to_pylist():
                 for match in PERSON.finditer(text or ""):
-                    names.add(_plain(match.group(5) or match.group(3)))
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], names=["name"])
+                    title, _, first, _, last = match.groups()
+                    rows.add(("surname", _plain(last or first), None))
+                    if last and not _listed(first):
+                        rows.add(("given", _plain(first), _GENDER[title]))
+            arrays = [pa.array([r[i] for r in rows], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
     return docs.select("text").mapInArrow(run, schema).distinct()
 
@@ -350,7 +372,10 @@ def name_key(docs: DataFrame, settings: Settings) -> Names:
     """
     key = hmac.digest(settings.key, b"names", hashlib.sha256)
     scratch = Scratch(docs.sparkSession, "names")
-    names = scratch.settle(_surnames(docs), "surnames")
+    persons = scratch.settle(_persons(docs), "persons")
+    given = persons.filter("role = 'given'").groupBy("name").agg(F.array_sort(F.collect_set("gender")).alias("all"))
+    genders = {r.name: r.all[0] for r in given.filter("size(all) = 2 AND array_contains(all, 'n')").select("name", F.array_remove("all", "n").alias("all")).collect()}
+    names = persons.filter("role = 'surname'").select("name")
     left, variants = names, {}
     for variant in range(settings.tries):
         made = _with_variant(left, key, variant)
@@ -359,7 +384,7 @@ def name_key(docs: DataFrame, settings: Settings) -> Names:
         again = [r.name for r in left.collect()]
         if not again:
             scratch.drop_all_but()
-            return Names(key, variants)
+            return Names(key, variants, genders)
         variants |= dict.fromkeys(again, variant + 1)
     raise ValueError("surnames of the corpus are surrogates of one another in every variant tried")
 
