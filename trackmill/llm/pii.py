@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -31,8 +32,8 @@ TITLES = {
 }
 # Given names by gender and script.
 GIVEN = {
-    ("m", "latin"): ("Adrian", "Bruno", "Conrad", "Daniel", "Emil", "Felix", "Gregor", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Noel", "Oscar", "Paul"),
-    ("f", "latin"): ("Alma", "Bianca", "Clara", "Diana", "Elena", "Flora", "Greta", "Helena", "Irma", "Julia", "Karla", "Laura", "Maria", "Nora", "Olga", "Paula"),
+    ("m", "latin"): ("Adrian", "Bruno", "Conrad", "Daniel", "Emil", "Felix", "Gregor", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Noel", "Oscar", "Paul", "Peter", "Thomas", "Michael", "David", "James", "John", "Robert", "William", "Richard", "Joseph", "George", "Charles", "Henry", "Edward", "Stephen", "Kevin", "Hans", "Klaus", "Stefan", "Andreas", "Pierre", "Jean", "Louis", "Carlos", "José", "Juan", "Luis", "Pedro"),
+    ("f", "latin"): ("Alma", "Bianca", "Clara", "Diana", "Elena", "Flora", "Greta", "Helena", "Irma", "Julia", "Karla", "Laura", "Maria", "Nora", "Olga", "Paula", "Anna", "Emma", "Sarah", "Mary", "Elizabeth", "Jennifer", "Linda", "Barbara", "Susan", "Jessica", "Karen", "Nancy", "Margaret", "Emily", "Alice", "Jane", "Katharina", "Sabine", "Ursula", "Claire", "Sophie", "Camille", "Isabel", "Carmen", "Ana", "Lucía", "Marie", "Amy"),
     ("n", "latin"): ("Alex", "Andrea", "Charlie", "Dominique", "Eden", "Florence", "Gael", "Jordan", "Kim", "Luca", "Morgan", "Noa", "Quinn", "Robin", "Sascha", "Toni"),
     ("m", "cyrillic"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Леонид", "Максим", "Олег", "Павел", "Роман", "Сергей", "Тимур", "Юрий"),
     ("f", "cyrillic"): ("Алла", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Ксения", "Лариса", "Марина", "Нина", "Ольга", "Полина", "Раиса", "Софья"),
@@ -61,13 +62,25 @@ _CLASS = {letter: letters for letters in ALPHABETS for letter in letters}
 _UPPER = "A-ZÀ-ÖØ-ÞА-Я"
 LOCAL = re.compile(r"[\w.+%-]{0,63}[\w+%-]$")  # 64 characters at most, as addresses allow
 EMAIL = re.compile(r"([\w.+%-]{0,63}[\w+%-])@(?:[\w-]+\.)+[\w-]*\w")
+IP6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{3,39}(?<!\w:)(?![\w:]|\.\d)")
 IP4 = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
-PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\w)")
+PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}|\(\d{2,5}\) ?\d{2,4}(?:[ .\-]?\d{2,4}){1,2}|\d{3}[ .\-]\d{3}[ .\-]\d{4}|0\d{1,4}[ /\-]\d{5,9}|0\d{1,4}(?:[ ./\-]\d{2,4}){2,4})(?!\w)")
 SOCIAL = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
-ACCOUNT = re.compile(r"(?<![\w.\-])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\w]|[.\-]\d)")
+ACCOUNT = re.compile(r"(?<![\w.\-])(?:\d{4}(?:[ \-]?\d{4}){2}(?:[ \-]?\d{1,7})?|\d{4}([ \-])\d{6}\1\d{4,5})(?![\w]|[.\-]\d)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _ALL_TITLES = sorted((t for group in TITLES.values() for t in group), key=len, reverse=True)
-PERSON = re.compile(rf"(?<!\w)({'|'.join(_ALL_TITLES)})(\.? )([{_UPPER}][\w'’\-]+)(?:( )([{_UPPER}][\w'’\-]+))?")
+# Initials may come before and between names.
+_NAME = rf"[{_UPPER}][\w'’\-]+"
+_INITIALS = rf"(?:[{_UPPER}]\. ?)*"
+PERSON = re.compile(rf"(?<!\w)({'|'.join(_ALL_TITLES)})(\.? {_INITIALS})({_NAME})(?:( {_INITIALS})({_NAME}))?")
+WORD = re.compile(rf"(?<![\w'’\-])({_NAME})")
+UNTITLED = re.compile(rf"(?<![\w'’\-])({_NAME})(?=( {_INITIALS})({_NAME}))")
+_TAIL = re.compile(r"(?:['’][sS])?['’\-]*$")
+# Words that are no names where they follow or stand alone, though written large.
+NO_NAMES = frozenset(
+    "a an and are as at but by can could did do does for from had has have he her here his how i if in is it its my no not of on or our she so that the their "
+    "then there these they this those to was we were what when where which who why will with would you your der die das und ist ein eine le la les et est el los y".split()
+)
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 _DIGIT = re.compile(r"\d")
 
@@ -160,6 +173,21 @@ def _email(key: bytes, found: str) -> str:
     return f"{same_form(key, 'local', local)}@{label}.example"
 
 
+def _ip6(key: bytes, found: str) -> str:
+    """The address with its first three bits, which tell global ones from others, written in full."""
+    value = int(ipaddress.IPv6Address(found))
+    rest = permuted(key, "ip6", value & ((1 << 125) - 1), 1 << 125)
+    made = ipaddress.IPv6Address(value >> 125 << 125 | rest).exploded
+    return made.upper() if found.upper() == found else made
+
+
+def _is_ip6(found: str) -> bool:
+    try:
+        return int(ipaddress.IPv6Address(found)) > 1  # neither :: nor the machine itself
+    except ValueError:
+        return False
+
+
 def _ip4(key: bytes, found: str) -> str:
     value = 0
     for octet in found.split("."):
@@ -197,9 +225,15 @@ def _script(name: str) -> str:
     return "cyrillic" if "а" <= name[-1].lower() <= "я" else "latin"
 
 
+def _split(name: str) -> tuple[str, str]:
+    """The name, and the possessive or the marks at its end."""
+    at = _TAIL.search(name).start()
+    return name[:at], name[at:]
+
+
 def _plain(name: str) -> str:
-    """The name as it is compared: in small letters, with one kind of apostrophe."""
-    return name.lower().replace("’", "'")
+    """The name as it is compared: without possessive, in small letters, with one kind of apostrophe."""
+    return _split(name)[0].lower().replace("’", "'")
 
 
 def _number(key: bytes, name: str, script: str) -> int:
@@ -241,9 +275,9 @@ def _variant(key: bytes, name: str, variant: int) -> str:
 
 
 def _surname(names: Names, name: str) -> str:
-    known = _plain(name)
+    known, (stem, tail) = _plain(name), _split(name)
     made = _variant(names.key, known, names.variants.get(known, 0))
-    return made.upper() if name.isupper() else made.capitalize()
+    return (made.upper() if stem.isupper() else made.capitalize()) + tail
 
 
 def _listed(name: str) -> str | None:
@@ -254,6 +288,7 @@ def _listed(name: str) -> str | None:
 
 def _given(names: Names, gender: str, name: str) -> str:
     """By the name's own list; else by the title's gender, or the gender that the corpus shows."""
+    name, tail = _split(name)
     listed, script = _listed(name), _script(name)
     if listed:
         among = GIVEN[listed, script]
@@ -262,19 +297,41 @@ def _given(names: Names, gender: str, name: str) -> str:
         known = _plain(name)
         gender = names.genders.get(known, "n") if gender == "n" else gender
         made = (_made(names.key, "given", known) + ENDINGS[script][gender]).capitalize()
-    return made.upper() if name.isupper() else made
+    return (made.upper() if name.isupper() else made) + tail
+
+
+def _initials(names: Names, gap: str) -> str:
+    return "".join(same_form(names.key, "initial", c) if c.isalpha() else c for c in gap)
 
 
 def _person(names: Names, match: re.Match) -> str:
     title, gap, first, space, last = match.groups()
-    gender = _GENDER[title]
+    gap = gap[:1] + _initials(names, gap[1:])
     if last:
-        return f"{title}{gap}{_given(names, gender, first)}{space}{_surname(names, last)}"
+        return f"{title}{gap}{_given(names, _GENDER[title], first)}{_initials(names, space)}{_surname(names, last)}"
     return f"{title}{gap}{_surname(names, first)}"
 
 
+def _people(text: str) -> list[tuple[str | None, str | None, str]]:
+    """(gender of the title, given name, surname) of the persons of a text, found by a title or by a listed given name."""
+    people = []
+    for match in PERSON.finditer(text):
+        title, _, first, _, last = match.groups()
+        people.append((_GENDER[title], first if last else None, last or first))
+    for match in UNTITLED.finditer(text):
+        first, _, last = match.groups()
+        if _is_untitled(first, last):
+            people.append((None, first, last))
+    return people
+
+
+def _is_untitled(first: str, last: str) -> bool:
+    return _listed(first) in ("m", "f") and _plain(last) not in NO_NAMES
+
+
 _MAKERS: list[tuple[str, re.Pattern, Callable[[bytes, str], str]]] = [
     ("iban", IBAN, _iban),
+    ("ip6", IP6, _ip6),
     ("ip4", IP4, _ip4),
     ("social", SOCIAL, _social),
     ("account", ACCOUNT, _account),
@@ -285,7 +342,8 @@ _MAKERS: list[tuple[str, re.Pattern, Callable[[bytes, str], str]]] = [
 def entities(text: str) -> list[tuple[int, int, str, re.Match]]:
     """(start, end, kind, match) of the entities, in order; of overlapping ones the first kind found stays.
 
-    Emails come first, then account numbers and addresses, phones and persons.
+    Emails come first, then account numbers and addresses, phones and persons, and last every
+    other mention of a person's names in the text. A surname counts before a given name.
     """
     found: list[tuple[int, int, str, re.Match]] = []
     taken = bytearray()
@@ -305,18 +363,31 @@ def entities(text: str) -> list[tuple[int, int, str, re.Match]]:
         if match:
             add("email", match)
         at = text.find("@", at + 1)
-    if _DIGIT.search(text):
+    if _DIGIT.search(text) or "::" in text:
         for kind, pattern, _ in _MAKERS:
             for match in pattern.finditer(text):
-                add(kind, match)
+                if kind != "ip6" or _is_ip6(match.group()):
+                    add(kind, match)
     for match in PERSON.finditer(text):
         add("person", match)
+    people = _people(text)
+    if people:
+        mentions = {_plain(first): f"given-{gender or 'n'}" for gender, first, _ in people if first}
+        mentions |= {_plain(last): "surname" for _, _, last in people}
+        for match in WORD.finditer(text):
+            kind = mentions.get(_plain(match.group()))
+            if kind and _plain(match.group()) not in NO_NAMES:
+                add(kind, match)
     return sorted(found, key=lambda e: e[:2])
 
 
 def surrogate(key: bytes, names: Names, kind: str, match: re.Match) -> str:
     if kind == "person":
         return _person(names, match)
+    if kind == "surname":
+        return _surname(names, match.group())
+    if kind.startswith("given-"):
+        return _given(names, kind[-1], match.group())
     if kind == "email":
         return _email(key, match.group())
     return next(make for k, _, make in _MAKERS if k == kind)(key, match.group())
@@ -341,11 +412,10 @@ def _persons(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = set()
             for text in batch.column("text").to_pylist():
-                for match in PERSON.finditer(text or ""):
-                    title, _, first, _, last = match.groups()
-                    rows.add(("surname", _plain(last or first), None))
-                    if last and not _listed(first):
-                        rows.add(("given", _plain(first), _GENDER[title]))
+                for gender, first, last in _people(text or ""):
+                    rows.add(("surname", _plain(last), None))
+                    if first and not _listed(_split(first)[0]):
+                        rows.add(("given", _plain(first), gender))
             arrays = [pa.array([r[i] for r in rows], pa.string()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
@@ -392,9 +462,10 @@ def name_key(docs: DataFrame, settings: Settings) -> Names:
 def with_surrogates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The documents, all columns kept, with surrogates in `text`; `n_chars` follows where it is there.
 
-    Detected: email addresses, IPv4 addresses, phone numbers, social security numbers, account
-    and card numbers (12 to 19 digits, with their check digit right or wrong as before), IBANs,
-    and names after a title. Null and empty texts, and texts without entities, stay as they
+    Detected: email addresses, IPv4 and IPv6 addresses, phone numbers, social security numbers,
+    account and card numbers (12 to 19 digits, with their check digit right or wrong as before),
+    IBANs, names after a title, surnames after a given name of the lists, and every other
+    mention of these names in the same text. Null and empty texts, and texts without entities, stay as they
     are. Repeated rows get the same text. Extra columns are passed on, whatever they are called.
     """
     settings = settings or Settings()
