@@ -9,7 +9,7 @@ without exception. The members of a key are compared by signature, what is near
 one cluster, and the links inside a cluster are confirmed on full shingle sets.
 
 With the default 64 positions, a pair of similarity 0.8 has more than 27 differing ones with
-probability 6e-6 (binomial, 0.2 each), so that is the share of such links that may be lost.
+probability 1.4e-5 (binomial, 0.2 each), so that is the share of such links that may be lost.
 """
 
 from __future__ import annotations
