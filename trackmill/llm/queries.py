@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmill.llm import chat, decontaminate, html_blocks, mixing, near_dedup, outliers, pii, quality_qda, secrets, warc
+from trackmill.llm import chat, decontaminate, html_blocks, merkle, mixing, near_dedup, outliers, pii, quality_qda, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -228,3 +228,54 @@ def op9_surrogates(spark, folder):
 @query()
 def op10_quality_rules(spark, folder):
     return outliers.verdicts(table(spark, folder, "documents"))
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    byte = f"list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {byte}), 4294967295)"
+
+
+def _coded(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+_HEAD = " || ".join(_coded(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+
+@query(f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_HEAD} || {_coded("text")}) AS leaf,
+         sha256({_HEAD} || CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_coded("replace(text, chr(10), '')")} ELSE {_coded("text")} END) AS changed
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, row_number() OVER () AS rid FROM hashed
+), inner_nodes(tree, lvl, idx, h, n) AS (
+  SELECT tree, 0, idx, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM inner_nodes WHERE n > 1 GROUP BY tree, lvl, idx // 3
+), subroots AS (
+  SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS spot FROM inner_nodes WHERE n = 1
+), top_nodes(lvl, idx, h, n) AS (
+  SELECT 0, spot, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM top_nodes WHERE n > 1 GROUP BY lvl, idx // 3
+), inside(rid, tree, lvl, idx, folded, proof, n) AS (
+  SELECT rid, tree, 0, idx, changed, '', count(*) OVER (PARTITION BY tree) FROM leaves
+  UNION ALL
+  SELECT p.rid, p.tree, p.lvl + 1, p.idx // 3, sha256(string_agg(CASE WHEN s.idx = p.idx THEN p.folded ELSE s.h END, '' ORDER BY s.idx)),
+         any_value(p.proof) || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> p.idx), ''), (any_value(p.n) + 2) // 3
+  FROM inside p JOIN inner_nodes s ON s.tree = p.tree AND s.lvl = p.lvl AND s.idx // 3 = p.idx // 3 WHERE p.n > 1 GROUP BY p.rid, p.tree, p.lvl, p.idx
+), above(rid, lvl, idx, folded, proof, n) AS (
+  SELECT rid, 0, spot, folded, proof, (SELECT count(*) FROM subroots) FROM inside JOIN subroots USING (tree) WHERE n = 1
+  UNION ALL
+  SELECT p.rid, p.lvl + 1, p.idx // 3, sha256(string_agg(CASE WHEN s.idx = p.idx THEN p.folded ELSE s.h END, '' ORDER BY s.idx)),
+         any_value(p.proof) || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> p.idx), ''), (any_value(p.n) + 2) // 3
+  FROM above p JOIN top_nodes s ON s.lvl = p.lvl AND s.idx // 3 = p.idx // 3 WHERE p.n > 1 GROUP BY p.rid, p.lvl, p.idx
+)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.h AS verified
+FROM leaves JOIN subroots USING (tree) JOIN (SELECT * FROM above WHERE n = 1) USING (rid), (SELECT h FROM top_nodes WHERE n = 1) t""")
+def op13_merkle_manifest(spark, folder):
+    return merkle.manifest(table(spark, folder, "documents"))
