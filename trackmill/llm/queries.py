@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmill.llm import chat, decontaminate, html_blocks, merkle, mixing, near_dedup, outliers, pii, quality_qda, secrets, warc
+from trackmill.llm import chat, decontaminate, html_blocks, merkle, mixing, near_dedup, outliers, pii, quality_qda, repair, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -238,6 +238,67 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {byte}), 4294967295)"
 
 
+def _cost(value: str, more: object, letter: str) -> str:
+    """Of costs with audits behind them, as texts that sort by cost and then by audit."""
+    return f"lpad(CAST(CAST(left({value}, 9) AS BIGINT) + {more} AS VARCHAR), 9, '0') || substr({value}, 10) || '{letter}'"
+
+
+def _takes(state: str, initial: str) -> str:
+    """Keeping or changing a row into the expected role, where it may stay."""
+    keep = f"CASE WHEN initial = '{initial}' THEN {_cost(state, 'extra', 'K')} END"
+    return f"CASE WHEN fault NOT IN (1, 2) THEN least({keep}, {_cost(state, '1 + extra', 'R')}) END"
+
+
+_U = f"least(v2, {_cost('v0', 5, 'I')}, {_cost('v1', 5, 'I')}, {_cost('v3', 5, 'I')})"
+_A = f"least(v3, {_cost('u', 5, 'I')})"
+_LATTICE_STEP = f"""
+  SELECT conv, no + 1, {_cost('v0', 2, 'D')},
+         least({_cost('v1', 2, 'D')}, CASE WHEN fault NOT IN (1, 2) AND initial = 's' THEN {_cost('v0', 'extra', 'K')} END),
+         least({_cost('u', 2, 'D')}, {_takes('v0', 'u')}, {_takes('v1', 'u')}, {_takes('a', 'u')}), least({_cost('a', 2, 'D')}, {_takes('u', 'a')})"""
+
+
+@query(rf"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS hit FROM conversations
+), damaged AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), '-') AS conv, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked
+), numbered AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS no FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY no) > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault,
+         lag(initial) OVER (PARTITION BY conv ORDER BY no) || initial AS pair FROM numbered
+), rows AS (SELECT *, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS extra FROM faulty
+), convs AS (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '-') AS conv FROM conversations
+), counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv
+), lattice(conv, no, v0, v1, v2, v3) AS (
+  SELECT conv, 0::BIGINT, '000000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM convs
+  UNION ALL
+  {_LATTICE_STEP} FROM (SELECT *, {_A} AS a FROM (SELECT *, {_U} AS u FROM lattice)) JOIN (SELECT conv AS c, no AS r, initial, fault, extra FROM rows) ON c = conv AND r = no + 1
+), best AS (
+  SELECT conv, least(v0, {_A}) AS best FROM (SELECT *, {_U} AS u FROM lattice) JOIN (SELECT conv, coalesce(n, 0) AS n FROM convs LEFT JOIN counts USING (conv)) USING (conv) WHERE no = n
+), walk(conv, audit, k, no, last, out) AS (
+  SELECT conv, substr(best, 10), 1::BIGINT, 1::BIGINT, '', CAST([] AS VARCHAR[]) FROM best
+  UNION ALL
+  SELECT w.conv, audit, k + 1, CASE WHEN letter = 'I' THEN w.no ELSE w.no + 1 END,
+         CASE letter WHEN 'D' THEN last WHEN 'K' THEN initial ELSE left(expected, 1) END,
+         CASE letter WHEN 'D' THEN out WHEN 'K' THEN list_append(out, role || ':' || text)
+                     WHEN 'R' THEN list_append(out, expected || ':' || text) ELSE list_append(out, expected || ':') END
+  FROM (SELECT *, substr(audit, k, 1) AS letter, CASE WHEN last = 'u' THEN 'assistant' ELSE 'user' END AS expected FROM walk WHERE k <= length(audit)) w
+  LEFT JOIN rows r ON r.conv = w.conv AND r.no = w.no
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit, sha256(array_to_string(out, chr(10))) AS repaired_sha256
+FROM convs LEFT JOIN counts USING (conv) JOIN best USING (conv) JOIN walk USING (conv) WHERE k = length(audit) + 1""")
+def op12_conversation_repair(spark, folder):
+    return repair.repaired(table(spark, folder, "conversations"))
+
+
 def _coded(column: str) -> str:
     return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
 
