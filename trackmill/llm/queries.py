@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmill.llm import chat, decontaminate, html_blocks, merkle, mixing, near_dedup, outliers, pii, quality_qda, repair, secrets, warc
+from trackmill.llm import chat, decontaminate, html_blocks, merkle, mixing, near_dedup, outliers, pii, quality_qda, repair, secrets, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -230,6 +230,33 @@ def op10_quality_rules(spark, folder):
     return outliers.verdicts(table(spark, folder, "documents"))
 
 
+@query("""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS rid, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, rid, base + p AS p, substr(part, 2 * p + 1, 100) AS s FROM (
+    SELECT doc_id, rid, base, part, unnest(range(length(part) // 2 - 49)) AS p FROM (
+      SELECT doc_id, rid, base, substr(h, 2 * base + 1, 698) AS part FROM (SELECT doc_id, rid, h, unnest(range(0, length(h) // 2, 300)) AS base FROM texts)))
+), least AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), starts AS (
+  SELECT rid, p, p - lag(p) OVER (PARTITION BY rid ORDER BY p) AS step FROM strings JOIN least USING (s) WHERE first < doc_id
+), numbered AS (
+  SELECT rid, p, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY p) AS no FROM starts
+), spans AS (
+  SELECT rid, no, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY rid, no
+), pieces AS (
+  SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM spans
+), kept AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS k
+  FROM pieces JOIN texts USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)""")
+def op11_suffix_dedup(spark, folder):
+    return suffix_dedup.cleaned(table(spark, folder, "documents"))
+
+
 def _crc32(text: str) -> str:
     """The unsigned CRC-32 of an ASCII text, bit by bit."""
     step = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
@@ -268,8 +295,10 @@ WITH RECURSIVE marked AS (
 ), numbered AS (
   SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS no FROM damaged
 ), faulty AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY no) > 1 THEN 2
-                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault,
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY no) > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault,
          lag(initial) OVER (PARTITION BY conv ORDER BY no) || initial AS pair FROM numbered
 ), rows AS (SELECT *, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS extra FROM faulty
 ), convs AS (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '-') AS conv FROM conversations
