@@ -8,7 +8,7 @@ import test_trajectory as tt
 from trackmill.operators.ordered import plain
 from trackmill.operators import trajectory as tr
 from trackmill.streaming.messages import pair_speeds, person_messages, show_console, start_append
-from trackmill.streaming.vehicles import latest_points, speeds_after, start_vehicle_speeds, state_folders
+from trackmill.streaming.vehicles import catch_up, last_places, read_vehicle_speeds, with_previous
 from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, split_words, start_word_counts
 
 
@@ -64,15 +64,16 @@ def batches(points, n):
     return [points[i : i + size] for i in range(0, len(points), size)]
 
 
-@pytest.mark.parametrize("n, max_rows, compact", [(1, None, 20), (4, 20, 20), (3, None, 1), (7, None, 2)])
-def test_stream_equals_batch(spark, tmp_path, n, max_rows, compact):
-    points = tt.walk({"hot": 90, "a": 20, "b": 1}, ties=0.2)
-    frames = [spark.createDataFrame(part, tt.SCHEMA) for part in batches(points, n)]
+def speeds_of(spark, tmp_path, frames, **options):
     stream = in_files(spark, tmp_path / "in", frames)
-    paths = [str(tmp_path / name) for name in ("out", "state", "cp")]
-    query = start_vehicle_speeds(stream, *paths, max_rows=max_rows, compact_every=compact)
-    query.awaitTermination()
-    found = spark.read.parquet(paths[0])
+    catch_up(stream, str(tmp_path / "out"), str(tmp_path / "cp"), **options)
+    return read_vehicle_speeds(spark, str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("n, max_rows", [(1, None), (4, 20), (7, None)])
+def test_stream_equals_batch(spark, tmp_path, n, max_rows):
+    points = tt.walk({"hot": 90, "a": 20, "b": 1, None: 12}, ties=0.2)
+    found = speeds_of(spark, tmp_path, [spark.createDataFrame(part, tt.SCHEMA) for part in batches(points, n)], max_rows=max_rows)
     assert found.select("batch_id").distinct().count() == n
     df = tr.distance(tr.time_gap(tr.number_points(spark.createDataFrame(points, tt.SCHEMA))), "atan2")
     speed = F.when(F.col("id") > 0, F.try_divide("dist_m", "gap_s")).otherwise(0.0)
@@ -80,42 +81,55 @@ def test_stream_equals_batch(spark, tmp_path, n, max_rows, compact):
     assert rows(found.select(want.columns)) == rows(want)
 
 
-def test_late_points_are_kept_apart(spark):
+def test_late_points_are_kept_apart(spark, tmp_path):
     t = tt.START
-    last = spark.createDataFrame([("a", t, 5, 1.0, 2.0)], tt.SCHEMA)
-    batch = spark.createDataFrame(
-        [("a", t - timedelta(seconds=9), 1, 0.0, 0.0), ("a", t + timedelta(seconds=2), 6, 1.0, 2.0), ("b", t, 7, 3.0, 4.0)],
-        tt.SCHEMA,
-    )
-    found = {r.seq: r for r in speeds_after(batch, last).collect()}
-    assert len(found) == 3
-    assert found[1].late and found[1].speed is None
+    second = [
+        ("a", t - timedelta(seconds=9), 1, 0.0, 0.0),
+        ("a", t - timedelta(seconds=8), 2, 0.0, 0.0),
+        ("a", t + timedelta(seconds=2), 6, 1.0, 2.0),
+        ("a", t + timedelta(seconds=3), 8, 1.0, 2.0),
+        ("b", t, 7, 3.0, 4.0),
+    ]
+    parts = [[("a", t, 5, 1.0, 2.0)], second, [("b", t - timedelta(seconds=1), 9, 3.0, 4.0)], [("b", t + timedelta(seconds=4), 10, 3.0, 4.0)]]
+    found = {r.seq: r for r in speeds_of(spark, tmp_path, [spark.createDataFrame(p, tt.SCHEMA) for p in parts]).collect()}
+    assert len(found) == 8
+    assert all(found[i].late and found[i].speed is None and found[i].gap_s is None for i in (1, 2, 9))
+    # the first point after late ones goes back to the last point known before
     assert (found[6].late, found[6].gap_s, found[6].speed) == (False, 2.0, 0.0)
-    assert (found[7].gap_s, found[7].speed) == (0.0, 0.0)
+    assert (found[8].gap_s, found[7].gap_s, found[7].speed, found[10].gap_s) == (1.0, 0.0, 0.0, 4.0)
 
 
-def test_latest_points(spark):
+def test_last_places_and_previous(spark):
     t = tt.START
     points = [("a", t, 1, 0.0, 0.0), ("a", t + timedelta(seconds=5), 2, 1.0, 1.0), ("b", t + timedelta(days=9), 3, 0.0, 0.0)]
-    df = spark.createDataFrame(points, tt.SCHEMA).withColumn("arrived", F.lit(t))
-    assert {(r.traj_id, r.seq) for r in latest_points(df).collect()} == {("a", 2), ("b", 3)}
+    df = spark.createDataFrame(points, tt.SCHEMA)
+    assert {(r.traj_id, r.last.seq) for r in last_places(df).collect()} == {("a", 2), ("b", 3)}
+    assert {r.seq: r.previous and r.previous.seq for r in with_previous(df).collect()} == {1: None, 2: 1, 3: None}
 
 
-@pytest.mark.parametrize("forget_after_s, speed", [(3600, 0.0), (0, 0.0), (None, 0.0)])
-def test_idle_vehicles_are_forgotten_by_arrival(spark, tmp_path, forget_after_s, speed):
+@pytest.mark.parametrize("forget_after_s, gap", [(3600, 10.0), (0.001, 0.0), (None, 10.0)])
+def test_idle_vehicles_are_forgotten_by_arrival(spark, tmp_path, forget_after_s, gap):
     t = tt.START
     # one vehicle's clock is a century ahead; the others are not forgotten for it
     parts = [[("a", t, 1, 0.0, 0.0), ("x", t + timedelta(days=36500), 2, 0.0, 0.0)], [("b", t, 3, 0.0, 0.0)], [("a", t + timedelta(seconds=10), 4, 0.0, 0.0)]]
-    stream = in_files(spark, tmp_path / "in", [spark.createDataFrame(p, tt.SCHEMA) for p in parts])
-    paths = [str(tmp_path / name) for name in ("out", "state", "cp")]
-    start_vehicle_speeds(stream, *paths, forget_after_s=forget_after_s, compact_every=2).awaitTermination()
-    last = {r.seq: r for r in spark.read.parquet(paths[0]).collect()}[4]
-    assert last.gap_s == (0.0 if forget_after_s == 0 else 10.0) and last.speed == speed
-
-
-@pytest.mark.parametrize("batch, every, folders", [(0, 3, []), (1, 3, [0]), (3, 3, [2]), (5, 3, [2, 3, 4]), (6, 3, [5]), (2, 1, [1])])
-def test_state_folders(batch, every, folders):
-    assert state_folders(batch, every) == folders
+    for part in parts:
+        spark.createDataFrame(part, tt.SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(tt.SCHEMA).parquet(str(tmp_path / "in"))
+        catch_up(stream, str(tmp_path / "out"), str(tmp_path / "cp"), forget_after_s=forget_after_s)
+    last = {r.seq: r for r in read_vehicle_speeds(spark, str(tmp_path / "out")).collect()}[4]
+    assert last.gap_s == gap and last.speed == 0.0
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    """The ends of a batch that is written again are seen a second time by the state."""
+    t, out = tt.START, tmp_path / "out"
+    parts = [[("a", t, 1, 0.0, 0.0)], [("a", t + timedelta(seconds=4), 2, 0.0, 0.0)]]
+    speeds_of(spark, tmp_path, [spark.createDataFrame(p, tt.SCHEMA) for p in parts])
+    ends = spark.read.parquet(str(out / "ends" / "batch_id=1"))
+    ends.write.mode("append").parquet(str(out / "ends" / "batch_id=1"))
+    stream = spark.readStream.schema(tt.SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    catch_up(stream, str(out), str(tmp_path / "cp"))
+    assert {(r.seq, r.gap_s) for r in read_vehicle_speeds(spark, str(out)).collect()} == {(1, 0.0), (2, 4.0)}
 
 
 def test_split_words(spark):

@@ -83,3 +83,9 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that Spark uses for it; one that is not there is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder, through the same file system, if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)

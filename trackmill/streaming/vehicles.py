@@ -1,108 +1,160 @@
 """Live speed per vehicle: distance and time since the vehicle's last point.
 
-Every micro-batch is an ordinary frame. The last point of every vehicle is kept in
-a table, and those of a batch's vehicles join the batch as rows before their first points. So the speeds
-are the batch operators' own, a vehicle that sends a large part of a batch is cut
-into pieces like a long trajectory, and a repeated batch replaces its own output.
+Two streaming queries share the work. The first handles every micro-batch as an ordinary
+frame: each point gets the point before it in its batch, a vehicle that sends a large part
+of a batch is cut into pieces like a long trajectory, and one row per vehicle tells its last
+point. The second reads these rows only. It holds the last point of every vehicle in Spark's
+state store, keyed by vehicle and let go by a timer, and writes for each batch and vehicle
+the point known before it. The speeds are a join of the two: nothing is read that an
+earlier batch wrote, however long the stream runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from trackmill.operators.ordered import MAX_ROWS_PER_TASK, beyond_piece, order_window, plain
-from trackmill.operators.trajectory import KEY, ORDER, distance, number_points, time_gap
-from trackmill.session import remove_dir
+from trackmill.functions.geo import haversine_m
+from trackmill.operators.ordered import MAX_ROWS_PER_TASK, order_window, plain
+from trackmill.operators.trajectory import KEY, ORDER, number_points
+from trackmill.session import make_dir
 
+#: How far apart batches may be seen from the order in which they arrived.
+ARRIVAL_DELAY = "1 minute"
 POINT = (KEY, "ts", "seq", "lat", "lon")
-ARRIVED = "arrived"
-#: Batches after which the state is written as a whole; between them only changes are.
-COMPACT_EVERY = 20
-
+#: A point without its vehicle; times are microseconds.
+_PLACE = "us long, seq long, lat double, lon double"
+_PLACE_NAMES = ("us", "seq", "lat", "lon")
 
-def latest_points(points: DataFrame) -> DataFrame:
-    """The newest point of every vehicle with its latest arrival, combined before the shuffle."""
-    newest = F.max(F.struct(*POINT[1:])).alias("p")
-    return points.groupBy(KEY).agg(newest, F.max(ARRIVED).alias(ARRIVED)).select(KEY, "p.*", ARRIVED)
 
+def _place():
+    """The row's own point; places are in order of time, then of number."""
+    return F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), F.col("seq").cast("long").alias("seq"), "lat", "lon")
 
-def speeds_after(
-    batch: DataFrame, last: DataFrame | None, max_rows: int | None = MAX_ROWS_PER_TASK
-) -> DataFrame:
-    """``dist_m``, ``gap_s`` and ``speed`` of points, given the last earlier point of each vehicle.
 
-    A vehicle's first point ever has speed 0. A point that comes ``late``, before its
-    vehicle's last earlier one, is kept without values.
-    """
-    points = batch.select(*POINT, F.lit(0).alias("_old"))
-    if last is not None:
-        points = points.unionByName(last.select(*POINT, F.lit(1).alias("_old")))
-    df = distance(time_gap(number_points(points, max_rows)), "atan2")
-    # In order of time, late points are the ones with the old point still to come.
-    df, beyond = beyond_piece(df, later={"_old_later": (F.sum("_old"), F.sum)})
-    ahead = order_window(df, KEY, ORDER, descending=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_come = F.sum("_old").over(ahead) + F.coalesce(beyond["_old_later"], F.lit(0))
-    df = df.withColumn("late", to_come > 0)
-    speed = F.when(F.col("id") > 0, F.try_divide("dist_m", "gap_s")).otherwise(0.0)
-    df = plain(df).filter("_old = 0").withColumn("speed", speed)
-    values = {name: F.when(~F.col("late"), F.col(name)) for name in ("gap_s", "dist_m", "speed")}
-    return df.withColumns(values).select(*POINT, "gap_s", "dist_m", "speed", "late")
+def with_previous(batch: DataFrame, max_rows: int | None = MAX_ROWS_PER_TASK) -> DataFrame:
+    """The points of a batch with ``previous``, the vehicle's point before it in the batch."""
+    df = number_points(batch.select(*POINT), max_rows)
+    df = df.withColumn("previous", F.lag(_place()).over(order_window(df, KEY, ORDER)))
+    return plain(df).select(*POINT, "previous")
 
 
-def state_folders(batch_id: int, compact_every: int) -> list[int]:
-    """The batches whose state folders hold together what is known before this batch."""
-    whole = batch_id // compact_every * compact_every - 1
-    return list(range(max(0, whole), batch_id))
+def last_places(batch: DataFrame) -> DataFrame:
+    """The newest point of every vehicle of a batch, combined before the shuffle."""
+    return batch.groupBy(KEY).agg(F.max(_place()).alias("last"))
 
 
-def start_vehicle_speeds(
-    points: DataFrame,
-    path: str,
-    state: str,
-    checkpoint: str,
-    every: str | None = None,
-    max_rows: int | None = MAX_ROWS_PER_TASK,
-    forget_after_s: int | None = None,
-    compact_every: int = COMPACT_EVERY,
+def start_batches(
+    points: DataFrame, path: str, checkpoint: str, every: str | None = None, max_rows: int | None = MAX_ROWS_PER_TASK
 ) -> StreamingQuery:
-    """Write the speeds of every batch to ``path``, one folder per batch.
-
-    ``state`` gets a folder per batch with the last points of that batch's vehicles; every
-    ``compact_every``-th one holds all vehicles, and what is older is removed. So a batch
-    writes and works on its own vehicles only, and a batch that is run again finds what it
-    found before. Vehicles whose last point arrived more than ``forget_after_s`` seconds ago
-    are left out when the state is compacted, whatever the clocks of their points say; their next
-    point is a first one again. Without ``every`` the query takes all there is and ends.
-    """
+    """Write the points of every batch to ``path/points`` and its vehicles' last ones to ``path/ends``.
 
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.select(*POINT).withColumn(ARRIVED, F.current_timestamp()).persist()
-        folders = [f"{state}/{b}" for b in state_folders(batch_id, compact_every)]
-        known = spark.read.schema(batch.schema).parquet(*folders) if folders else None
-        last = None
-        if known is not None:
-            own = known.join(batch.select(KEY).distinct(), KEY, "left_semi")
-            last = latest_points(own)
-        speeds = speeds_after(batch, last, max_rows)
-        speeds.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        compact = (batch_id + 1) % compact_every == 0
-        if compact:
-            kept = latest_points(batch if known is None else known.unionByName(batch))
-            if forget_after_s is not None:
-                idle = F.current_timestamp() - F.make_dt_interval(secs=F.lit(forget_after_s))
-                kept = kept.filter(F.col(ARRIVED) >= idle)
-        else:
-            kept = latest_points(batch if last is None else last.unionByName(batch))
-        kept.write.mode("overwrite").parquet(f"{state}/{batch_id}")
-        if batch_id % compact_every == 1:
-            # The whole state before this batch is safe, and no batch before it runs again.
-            for old in range(max(0, batch_id - 1 - 2 * compact_every), batch_id - 2):
-                remove_dir(spark, f"{state}/{old}")
+    A batch has a folder in each; one that is run again replaces its own. Without ``every``
+    the query takes all there is and ends.
+    """
+    for name in ("points", "ends"):
+        make_dir(points.sparkSession, f"{path}/{name}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select(*POINT).persist()
+        with_previous(batch, max_rows).write.mode("overwrite").parquet(f"{path}/points/batch_id={batch_id}")
+        ends = last_places(batch).withColumn("arrived", F.current_timestamp())
+        ends.write.mode("overwrite").parquet(f"{path}/ends/batch_id={batch_id}")
         batch.unpersist()
 
-    writer = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
+    writer = points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def known_before(ends: DataFrame, forget_after_s: float | None = None) -> DataFrame:
+    """For each batch and vehicle the point ``before`` it, null for a vehicle not known; works on streams.
+
+    The state of a vehicle is one point and the batch that it came from, so that a batch that is seen again
+    changes nothing. It goes when the vehicle has sent nothing for ``forget_after_s`` seconds,
+    by the times at which batches ``arrived`` and whatever the clocks of its points say; its
+    next point is a first one again. The timer follows a watermark of these times.
+    """
+    wait_ms = None if forget_after_s is None else max(1, int(forget_after_s * 1000))
+
+    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = state.get if state.exists else None
+        columns = ["batch_id", "arrived_ms", *_PLACE_NAMES]
+        rows = sorted(row for frame in frames for row in zip(*(frame[c].tolist() for c in columns), strict=True))
+        out = []
+        for batch_id, now, *place in rows:
+            if held and batch_id <= held[4]:
+                continue
+            if held and wait_ms is not None and now - held[5] >= wait_ms:
+                held = None
+            out.append((*key, batch_id, held is not None, *(held[:4] if held else (0, 0, 0.0, 0.0))))
+            held = (*max(tuple(place), held[:4] if held else tuple(place)), batch_id, now)
+        state.update(held)
+        if wait_ms is not None:
+            state.setTimeoutTimestamp(max(held[5], state.getCurrentWatermarkMs()) + wait_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["key", "batch_id", "known", *_PLACE_NAMES])
+
+    kind = ends.schema[KEY].dataType.simpleString()
+    timeout = GroupStateTimeout.NoTimeout if wait_ms is None else GroupStateTimeout.EventTimeTimeout
+    flat = ends.select(F.col(KEY).alias("key"), F.col("batch_id").cast("long").alias("batch_id"), "arrived", F.unix_millis("arrived").alias("arrived_ms"), "last.*")
+    if wait_ms is not None:
+        flat = flat.withWatermark("arrived", ARRIVAL_DELAY)
+    told = flat.groupBy("key").applyInPandasWithState(
+        advance, f"key {kind}, batch_id long, known boolean, {_PLACE}", f"{_PLACE}, batch_id long, arrived long", "append", timeout
+    )
+    before = F.when(F.col("known"), F.struct(*_PLACE_NAMES)).alias("before")
+    return told.select(F.col("key").alias(KEY), "batch_id", before)
+
+
+def start_known_before(
+    spark: SparkSession, path: str, checkpoint: str, key_type: T.DataType, every: str | None = None, forget_after_s: float | None = None
+) -> StreamingQuery:
+    """Follow ``path/ends`` and write what was known before each batch to ``path/before``."""
+    place = T.StructType([T.StructField(n, k) for n, k in zip(_PLACE_NAMES, (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()), strict=True)])
+    schema = T.StructType([T.StructField(KEY, key_type), T.StructField("last", place), T.StructField("arrived", T.TimestampType()), T.StructField("batch_id", T.LongType())])
+    before = known_before(spark.readStream.schema(schema).parquet(f"{path}/ends"), forget_after_s)
+    writer = before.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start(f"{path}/before")
+
+
+def catch_up(points: DataFrame, path: str, checkpoint: str, max_rows: int | None = MAX_ROWS_PER_TASK, forget_after_s: float | None = None) -> None:
+    """Both queries over all there is."""
+    start_batches(points, path, f"{checkpoint}/batches", max_rows=max_rows).awaitTermination()
+    key_type = points.schema[KEY].dataType
+    start_known_before(points.sparkSession, path, f"{checkpoint}/before", key_type, forget_after_s=forget_after_s).awaitTermination()
+
+
+def vehicle_speeds(points: DataFrame, before: DataFrame) -> DataFrame:
+    """``dist_m``, ``gap_s`` and ``speed`` of the points of the batches for which both queries are through.
+
+    A vehicle's first point ever has speed 0 and no distance. A point that comes ``late``,
+    before its vehicle's last point of earlier batches, is kept without values; the first one
+    after it goes back to that last point.
+    """
+    known = before.select(F.col(KEY).alias("_key"), F.col("batch_id").alias("_batch"), "before")
+    df = points.join(known, F.col(KEY).eqNullSafe(F.col("_key")) & (F.col("batch_id") == F.col("_batch")))
+    df = df.withColumn("late", F.coalesce(_place() < F.col("before"), F.lit(False)))
+    own = F.col("previous").isNotNull() & F.coalesce(F.col("previous") >= F.col("before"), F.lit(True))
+    df = df.withColumn("since", F.when(own, F.col("previous")).otherwise(F.col("before")))
+    gap = (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("since.us")) / 1e6
+    metres = haversine_m(F.col("since.lat"), F.col("since.lon"), F.col("lat"), F.col("lon"), "atan2")
+    df = df.withColumns({"gap_s": F.coalesce(gap, F.lit(0.0)), "dist_m": metres})
+    df = df.withColumn("speed", F.when(F.col("since").isNull(), 0.0).otherwise(F.try_divide("dist_m", "gap_s")))
+    values = {name: F.when(~F.col("late"), F.col(name)) for name in ("gap_s", "dist_m", "speed")}
+    return df.withColumns(values).select(*POINT, "gap_s", "dist_m", "speed", "late", "batch_id")
+
+
+def read_vehicle_speeds(spark: SparkSession, path: str) -> DataFrame:
+    """The speeds of all that the two queries have written below ``path``."""
+    return vehicle_speeds(spark.read.parquet(f"{path}/points"), spark.read.parquet(f"{path}/before"))
