@@ -180,22 +180,58 @@ def quality_docs(n):
     return rows
 
 
+def plain_starts(x):
+    """Centre and spread of one statistic, given as the middles of bins: by the median, the shortest half and either end."""
+    x = np.sort(x)
+    half = (len(x) + 1) // 2
+    median = lambda v: np.sort(v)[half - 1]
+    whole = lambda lo, hi: x[(x >= lo) & (x <= hi)]
+    firsts = [b for b in np.unique(x) if (x >= b).sum() >= half]
+    ends = [x[np.searchsorted(x, b) + half - 1] for b in firsts]
+    shortest = min(range(len(firsts)), key=lambda i: (round(ends[i] - firsts[i], 9), firsts[i]))
+    parts = [(whole(firsts[shortest], ends[shortest]), 2.65), (whole(x[0], x[half - 1]), 1.66), (whole(x[len(x) - half], x[-1]), 1.66)]
+    return [(median(x), 1.4826 * median(np.abs(x - median(x)))), *[(p.mean(), f * p.std()) for p, f in parts]]
+
+
 def plain_estimate(vectors, settings):
-    """Medians and deviations, concentration steps and the last weighting, in numpy."""
-    up = lambda x, share: (np.sort(np.floor(x / settings.bin))[int(np.ceil(share * len(x) - 1e-9)) - 1] + 1) * settings.bin
-    middle = np.array([up(c, 0.5) for c in vectors.T])
-    mad = np.array([up(np.abs(c - m), 0.5) for c, m in zip(vectors.T, middle, strict=True)])
-    mean, white = middle, np.diag(1 / np.sqrt((mad * 1.4826) ** 2 + np.square(settings.floors)))
-    far = lambda: (((vectors - mean) @ white.T) ** 2).sum(axis=1)
-
-    def fit(rows, share):
-        cov = np.cov(rows.T, bias=True) * outliers.consistency(share) + np.diag(np.square(settings.floors))
-        return rows.mean(axis=0), np.linalg.inv(np.linalg.cholesky(cov))
-
-    for _ in range(settings.passes):
-        logs = np.log(far() + 1e-6)
-        mean, white = fit(vectors[logs < up(logs, settings.coverage)], settings.coverage)
-    mean, white = fit(vectors[far() < outliers._chi2_quantile(0.975, 2)], 0.975)
+    """The determinant's minimum over four starts, row by row; rows of a cell are told apart by their coordinates only."""
+    cells = np.floor(vectors / np.array(settings.cells)).astype(int)
+    names, of = np.unique(cells, axis=0, return_inverse=True)
+    of = of.ravel()
+    centres = np.array([vectors[of == i].mean(axis=0) for i in range(len(names))])
+    covered = int(np.ceil(settings.coverage * len(vectors) - 1e-9))
+
+    def fit(weights, share):
+        mean = np.average(vectors, axis=0, weights=weights)
+        off = vectors - mean
+        cov = (off * weights[:, None]).T @ off / weights.sum() * outliers.consistency(share) + np.diag(np.square(settings.floors))
+        return mean, np.linalg.inv(np.linalg.cholesky(cov)), np.linalg.slogdet(cov)[1]
+
+    far = lambda mean, white: (((centres[of] - mean) @ white.T) ** 2).sum(axis=1)
+    found = []
+    middles = (cells + 0.5) * np.array(settings.cells)
+    starts = [plain_starts(column) for column in middles.T]
+    for number in range(4):
+        mean = np.array([s[number][0] for s in starts])
+        white = np.diag([1 / np.hypot(s[number][1], f) for s, f in zip(starts, settings.floors, strict=True)])
+        was = np.inf
+        while True:
+            distance = np.round(far(mean, white), 9)
+            ranks = {c: (distance[of == c][0], tuple(names[c])) for c in range(len(names))}
+            left, weights = covered, np.zeros(len(vectors))
+            for c in sorted(ranks, key=ranks.get):
+                n = (of == c).sum()
+                weights[of == c] = min(1, max(0, left / n))
+                left -= n
+            made = fit(weights, settings.coverage)
+            if was - made[2] <= 1e-6:
+                break
+            mean, white, was = made
+        found.append((mean, white, was))
+    best = found[0]
+    for other in found[1:]:
+        best = other if other[2] < best[2] - 1e-6 else best
+    mean, white, _ = fit((far(*best[:2]) < outliers._chi2_quantile(0.975, 2)).astype(float), 0.975)
     return lambda x: (((x - mean) @ white.T) ** 2).sum(axis=1)
 
 
@@ -233,7 +269,25 @@ def test_outliers_of_few_rows(spark):
     none = spark.createDataFrame([], schema)
     assert outliers.verdicts(none).collect() == [] and outliers.passing(none).collect() == []
     one = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(50)), "en", "s")], schema)
-    assert [(r.far, r.kept) for r in outliers.verdicts(one).collect()] == [(None, True)]
+    assert [(round(r.far, 9), r.kept) for r in outliers.verdicts(one).collect()] == [(0.0, True)]
+    # junk among a few documents is found as it is among many
+    few = [(r[0], r[1], "en", "s") for r in quality_docs(60) if r[4] == 1][:12]
+    few.append((99, " ".join(f"w{i} # $ % | & * < >" for i in range(60)), "en", "s"))
+    made = {r.doc_id: r.kept for r in outliers.verdicts(spark.createDataFrame(few, schema)).collect()}
+    assert not made[99] and sum(made.values()) >= 11
+
+
+def test_cells_as_fine_as_rows():
+    """With a cell per row the fit is the exact one over rows, and junk of 40% leaves it alone."""
+    rng = np.random.default_rng(6)
+    clean, junk = rng.normal(0, [0.1, 0.3, 0.2, 0.2], (300, 4)), rng.normal([0, 3, 0, 2], 0.05, (200, 4))
+    vectors = np.concatenate((clean, junk))
+    settings = outliers.Settings(cells=(1e-7,) * 4)
+    sums = np.concatenate([np.ones((500, 1)), vectors, np.stack([vectors[:, i] * vectors[:, j] for i, j in outliers.PRODUCTS], axis=1)], axis=1)
+    mean, white = outliers.robust_fit(np.floor(vectors / 1e-7).astype(np.int64), sums, settings)
+    far = (((vectors - mean) @ white.T) ** 2).sum(axis=1)
+    assert np.allclose(far, plain_estimate(vectors, settings)(vectors), rtol=1e-5)
+    assert (far[300:] > settings.cutoff).all() and (far[:300] <= settings.cutoff).mean() > 0.97
 
 
 def test_quality_scores(spark):

@@ -3,9 +3,14 @@
 Every document has a vector of four transformed statistics. For each language and source
 (or the language, or all documents, where there are few) the minimum covariance determinant
 estimates its centre and spread from the most central half of the rows, so junk does not widen
-the spread that it is judged by. Concentration steps run from several starts until nothing
-changes; the fit of smallest determinant stays, and is taken again over all rows near it. A
-document far away in Mahalanobis distance is rejected.
+the spread that it is judged by. Concentration steps run from several starts until the
+determinant no longer falls; the fit of smallest determinant stays, and is taken again over all
+rows near it. A document far away in Mahalanobis distance is rejected.
+
+One aggregate over all rows sums their counts, vectors and products in the cells of a grid that
+is finer than the differences that count. The steps then work on cells: which are nearest is
+judged by the cells' means, and the fits come from the sums of their rows. So the table is
+read once, and a group is as many cells as its statistics fill, whatever its rows.
 """
 
 from __future__ import annotations
@@ -14,7 +19,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,29 +26,31 @@ from pyspark.sql import types as T
 
 from trackmill.llm.counts import NAMES, count
 from trackmill.llm.spans import chunks
-from trackmill.llm.work import Scratch, map_batches, utf8
+from trackmill.llm.work import Scratch, arrow_schema, map_batches, map_groups, utf8
 
 DIM = 4
 VECTOR = [f"v{i}" for i in range(DIM)]
 MEAN = [f"m{i}" for i in range(DIM)]
 WHITE = [f"w{i}{j}" for i in range(DIM) for j in range(i + 1)]
-STARTS = 4
 PRODUCTS = [(i, j) for i in range(DIM) for j in range(i + 1)]
+CELL = [f"c{i}" for i in range(DIM)]
+SUMS = ["n", *[f"s{i}" for i in range(DIM)], *[f"p{i}{j}" for i, j in PRODUCTS]]
+#: Less than this is no fall of a determinant's logarithm.
+STEADY = 1e-6
 
 
 @dataclass(frozen=True)
 class Settings:
-    """`coverage`: share of central rows; `least_rows`: of a group with estimates of its own;
-    `passes`: concentration steps at most, should a determinant still fall; `cutoff`: largest squared distance kept (1 in 20,000 normal rows is farther); `floors`: standard
-    deviations added to each statistic's own, below which differences don't count; `bin`: width
-    of the bins of quantiles."""
+    """`coverage`: share of central rows; `least_rows`: of a language or source with estimates of its own;
+    `cutoff`: largest squared distance kept (1 in 20,000 normal rows is farther); `floors`: standard
+    deviations added to each statistic's own, below which differences don't count; `cells`: widths
+    of the grid's cells, half of the floors."""
 
     coverage: float = 0.5
     least_rows: int = 100
-    passes: int = 50
     cutoff: float = 25.0
     floors: tuple[float, ...] = (0.05, 0.15, 0.15, 0.15)
-    bin: float = 0.01
+    cells: tuple[float, ...] = (0.025, 0.075, 0.075, 0.075)
     least_words: int = 20
     most_repeated_percent: int = 30
 
@@ -90,34 +96,18 @@ def _measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     return map_batches(docs, make, schema)
 
 
-def _levels(stats: DataFrame) -> DataFrame:
-    """Each row once for its language and source, once for its language and once for all."""
+def _cells(rows: DataFrame, settings: Settings) -> DataFrame:
+    """The sums of the rows of every cell: per language and source, per language, and of all."""
+    cell = [F.floor(F.col(v) / width).alias(c) for v, c, width in zip(VECTOR, CELL, settings.cells, strict=True)]
+    sums = [F.sum(f"v{i}").alias(f"s{i}") for i in range(DIM)]
+    products = [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i, j in PRODUCTS]
+    finest = rows.groupBy("lang", "source", *cell).agg(F.count("*").cast("double").alias("n"), *sums, *products)
+    more = [F.sum(c).alias(c) for c in SUMS]
+    level = lambda df, n: df.select(F.lit(n).cast("long").alias("level"), "lang", "source", *CELL, *SUMS)
     none = F.lit(None).cast("string")
-
-    def group(level: int, lang: Column, source: Column) -> Column:
-        return F.struct(F.lit(level).alias("level"), lang.alias("g_lang"), source.alias("g_source"))
-
-    lang, source = F.col("lang"), F.col("source")
-    groups = F.explode(F.array(group(2, lang, source), group(1, lang, none), group(0, none, none)))
-    return stats.select(groups.alias("g"), *VECTOR)
-
-
-def _edge(df: DataFrame, keys: list[str], width: float, left: Column) -> DataFrame:
-    """keys, the `bin` of `far` in which the rows `left` (a column over n or `goal`) are reached,
-    `rest`, those still left at its lower edge, and `k`, its rows.
-
-    Rows are counted per bin first, so what is ordered is one row per key and bin.
-    """
-    carried = [c for c in ("goal",) if c in df.columns]  # the rows left, where they differ by key
-    bins = df.select(*keys, *carried, F.floor(F.col("far") / width).alias("bin")).groupBy(*keys, *carried, "bin").agg(F.count("*").alias("k"))
-    totals = bins.groupBy(*keys, *carried).agg(F.array_sort(F.collect_list(F.struct("bin", "k"))).alias("all"), F.sum("k").alias("n"))
-    reached = F.expr(
-        "aggregate(all, named_struct('s', 0L, 'b', CAST(NULL AS BIGINT), 'rest', 0L, 'k', 0L), (a, x) -> CASE WHEN a.b IS NOT NULL THEN a "
-        "WHEN a.s + x.k >= wanted THEN named_struct('s', a.s, 'b', x.bin, 'rest', wanted - a.s, 'k', x.k) "
-        "ELSE named_struct('s', a.s + x.k, 'b', a.b, 'rest', a.rest, 'k', a.k) END)"
-    )
-    found = totals.withColumn("wanted", left.cast("long")).withColumn("at", reached)
-    return found.select(*keys, F.col("at.b").alias("bin"), F.col("at.rest").alias("rest"), F.col("at.k").alias("k"))
+    by_lang = finest.groupBy("lang", *CELL).agg(*more).withColumn("source", none)
+    whole = by_lang.groupBy(*CELL).agg(*more).withColumns({"lang": none, "source": none})
+    return level(finest, 2).unionByName(level(by_lang, 1)).unionByName(level(whole, 0))
 
 
 def _histogram_starts(bins: np.ndarray, counts: np.ndarray, width: float) -> list[tuple[float, float]]:
@@ -151,40 +141,6 @@ def _histogram_starts(bins: np.ndarray, counts: np.ndarray, width: float) -> lis
     ]
 
 
-def _starts(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Rows (g, start, mean, whitening, logdet) for groups of enough rows."""
-    melted = rows.select("g", F.posexplode(F.array(*VECTOR)).alias("d", "v"))
-    bins = melted.groupBy("g", "d", F.floor(F.col("v") / settings.bin).alias("bin")).agg(F.count("*").alias("k"))
-    groups = bins.groupBy("g").agg(
-        F.sum(F.when(F.col("d") == 0, F.col("k"))).alias("n"),
-        *[F.array_sort(F.collect_list(F.when(F.col("d") == d, F.struct("bin", "k")))).alias(f"h{d}") for d in range(DIM)],
-    )
-
-    def solve(frames):
-        for frame in frames:
-            made = []
-            for row in frame.to_dict("records"):
-                by_dim = []
-                for d in range(DIM):
-                    pairs = [tuple(b.values()) if isinstance(b, dict) else tuple(b) for b in row[f"h{d}"]]
-                    bins, counts = np.array(pairs, np.int64).T
-                    by_dim.append(_histogram_starts(bins, counts, settings.bin))
-                g = row["g"] if isinstance(row["g"], dict) else row["g"].asDict()
-                for start in range(STARTS):
-                    line = {"g": g, "start": start, "logdet": math.inf}
-                    line |= {f"m{i}": by_dim[i][start][0] for i in range(DIM)}
-                    line |= {f"w{i}{j}": 1 / math.hypot(by_dim[i][start][1], settings.floors[i]) if i == j else 0.0 for i, j in PRODUCTS}
-                    made.append(line)
-            yield pd.DataFrame(made, columns=["g", "start", *MEAN, *WHITE, "logdet"])
-
-    return groups.filter(F.col("n") >= settings.least_rows).mapInPandas(solve, _fit_schema(rows, ["g", "start"]))
-
-
-def _fit_schema(rows: DataFrame, keys: list[str]) -> T.StructType:
-    named = {"g": rows.schema["g"], "start": T.StructField("start", T.LongType())}
-    return T.StructType([named[k] for k in keys] + [T.StructField(c, T.DoubleType()) for c in (*MEAN, *WHITE, "logdet")])
-
-
 def _chi2(x: float, pairs: int) -> float:
     """Distribution function of chi-square with 2 * pairs degrees of freedom."""
     return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(pairs))
@@ -203,19 +159,52 @@ def consistency(share: float) -> float:
     return share / _chi2(_chi2_quantile(share, DIM // 2), DIM // 2 + 1)
 
 
-def whitening(moments: pd.DataFrame, factor: float, floors: tuple[float, ...]) -> pd.DataFrame:
-    """Means, inverse Cholesky factors and logarithms of determinants from the sums of rows and of products."""
-    n = moments["n"].to_numpy(float)
-    mean = np.stack([moments[f"s{i}"].to_numpy(float) / n for i in range(DIM)], axis=1)
-    cov = np.zeros((len(n), DIM, DIM))
-    for i, j in PRODUCTS:
-        cov[:, i, j] = cov[:, j, i] = moments[f"p{i}{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
+def _fit(weights: np.ndarray, sums: np.ndarray, factor: float, floors: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Mean, inverse Cholesky factor and logarithm of the determinant from cells' sums, each cell at its weight."""
+    total = weights @ sums
+    mean, cov = total[1 : DIM + 1] / total[0], np.zeros((DIM, DIM))
+    for (i, j), product in zip(PRODUCTS, total[DIM + 1 :] / total[0], strict=True):
+        cov[i, j] = cov[j, i] = product - mean[i] * mean[j]
     cov = cov * factor + np.diag(np.square(floors))
-    white = np.linalg.inv(np.linalg.cholesky(cov))
-    keys = {k: moments[k].tolist() for k in ("g", "start") if k in moments}
-    out = keys | {f"m{i}": mean[:, i] for i in range(DIM)}
-    out |= {f"w{i}{j}": white[:, i, j] for i, j in PRODUCTS}
-    return pd.DataFrame(out | {"logdet": np.linalg.slogdet(cov)[1]})
+    return mean, np.linalg.inv(np.linalg.cholesky(cov)), float(np.linalg.slogdet(cov)[1])
+
+
+def robust_fit(cells: np.ndarray, sums: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and whitening of a group from the coordinates and the sums (n, vectors, products) of its cells.
+
+    A step takes the cells nearest by their means until the covered number of rows is reached,
+    the last one in part; of cells equally near, those of smaller coordinates first.
+    """
+    order = np.lexsort(cells.T[::-1])
+    cells, sums = cells[order], sums[order]
+    rows, means = sums[:, 0], sums[:, 1 : DIM + 1] / sums[:, :1]
+    covered = math.ceil(settings.coverage * rows.sum() - 1e-9)
+
+    def far(mean: np.ndarray, white: np.ndarray) -> np.ndarray:
+        return np.square((means - mean) @ white.T).sum(axis=1)
+
+    by_dim = []
+    for d in range(DIM):
+        bins, of = np.unique(cells[:, d], return_inverse=True)
+        by_dim.append(_histogram_starts(bins, np.bincount(of, rows), settings.cells[d]))
+    best = None
+    for start in zip(*by_dim, strict=True):
+        mean = np.array([centre for centre, _ in start])
+        white = np.diag([1 / math.hypot(spread, floor) for (_, spread), floor in zip(start, settings.floors, strict=True)])
+        held = None
+        while True:
+            nearest = np.argsort(np.round(far(mean, white), 9), kind="stable")
+            weights = np.empty(len(rows))
+            before = np.cumsum(rows[nearest]) - rows[nearest]
+            weights[nearest] = np.clip((covered - before) / rows[nearest], 0, 1)
+            made = _fit(weights, sums, consistency(settings.coverage), settings.floors)
+            if held is not None and held[2] - made[2] <= STEADY:
+                break  # the determinant no longer falls
+            held, (mean, white, _) = made, made
+        if best is None or held[2] < best[2] - STEADY:
+            best = held
+    near = far(*best[:2]) < _chi2_quantile(0.975, DIM // 2)
+    return _fit(near.astype(float), sums, consistency(0.975), settings.floors)[:2] if near.any() else best[:2]
 
 
 def distance() -> Column:
@@ -229,64 +218,30 @@ def distance() -> Column:
     return total
 
 
-def _moments(rows: DataFrame, keys: list[str], factor: float, floors: tuple[float, ...]) -> DataFrame:
-    """Fits of the rows, each of its `weight`."""
-    weight = F.col("weight")
-    sums = [F.sum(weight * F.col(f"v{i}")).alias(f"s{i}") for i in range(DIM)]
-    products = [F.sum(weight * F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}{j}") for i, j in PRODUCTS]
-
-    def solve(frames):
-        for frame in frames:
-            frame["g"] = [g if isinstance(g, dict) else g.asDict() for g in frame["g"]]
-            yield whitening(frame, factor, floors)
-
-    return rows.groupBy(*keys).agg(F.sum(weight).alias("n"), *sums, *products).mapInPandas(solve, _fit_schema(rows, keys))
+def estimates(stats: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (level, lang, source, mean, whitening): 2 for a language and source, 1 for a language, 0 for all."""
+    found = _cells(stats.filter(~base_failed(settings)), settings)
+    coded = {f"_{c}": F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in ("lang", "source")}
+    texts = [T.StructField(c, T.StringType()) for c in ("lang", "source")]
+    schema = T.StructType([T.StructField("level", T.LongType()), *texts, *[T.StructField(c, T.DoubleType()) for c in (*MEAN, *WHITE)]])
 
+    def make():
+        def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+            names = [table.column(c) for c in ("level", "lang", "source")]
+            cells = np.stack([table.column(c).to_numpy() for c in CELL], axis=1)
+            sums = np.stack([table.column(c).to_numpy() for c in SUMS], axis=1)
+            out = []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                key = [c[int(lo)].as_py() for c in names]
+                if key[0] == 0 or sums[lo:hi, 0].sum() >= settings.least_rows:
+                    mean, white = robust_fit(cells[lo:hi], sums[lo:hi], settings)
+                    out.append((*key, *mean.tolist(), *[float(white[i, j]) for i, j in PRODUCTS]))
+            columns = zip(*out, strict=True) if out else [[]] * len(schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow_schema(schema).types, strict=True)], names=schema.names)
 
-def _concentrated(rows: DataFrame, fitted: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
-    """The fits of the `coverage` of rows nearest to each fit, and the determinant's logarithm before.
+        return work
 
-    The cut is found in logarithmic bins, whatever the scale, and inside the bin that it falls
-    in by bins a thousandth as wide. Rows that can't be told apart there, such as copies,
-    count in part, so that exactly the covered number of rows is taken.
-    """
-    keys, fine = ["g", "start"], settings.bin / 1000
-    far = rows.join(fitted.drop("logdet"), "g").select(*keys, *VECTOR, F.log(distance() + 1e-6).alias("far"))
-    edge = _edge(far, keys, settings.bin, F.ceil(F.lit(settings.coverage) * F.col("n") - 1e-9))
-    edge = scratch.settle(edge.select(*keys, F.col("bin").alias("coarse"), F.col("rest").alias("goal")), "edges")
-    near = far.join(edge, keys)  # a row per group and start; its size is known, so no row is dealt out by group
-    coarse = F.floor(F.col("far") / settings.bin)
-    within = _edge(near.filter(coarse == F.col("coarse")), keys, fine, F.col("goal"))
-    within = scratch.settle(within.withColumnRenamed("bin", "fine"), "cuts")
-    cut = F.floor(F.col("far") / fine)
-    inside = F.when(coarse < F.col("coarse"), 1.0).when(coarse > F.col("coarse"), 0.0)
-    inside = inside.when(cut < F.col("fine"), 1.0).when(cut > F.col("fine"), 0.0).otherwise(F.col("rest") / F.col("k"))
-    central = near.join(within, keys).withColumn("weight", inside).filter("weight > 0")
-    before = fitted.select(*keys, F.col("logdet").alias("was"))
-    made = scratch.settle(_moments(central, keys, consistency(settings.coverage), settings.floors).join(before, keys), "step")
-    scratch.drop(edge, within)
-    return made
-
-
-def estimates(stats: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
-    """Rows (g, mean, whitening), g = (level, g_lang, g_source), for groups of enough rows."""
-    rows = _levels(stats.filter(~base_failed(settings)))
-    going, settled = scratch.settle(_starts(rows, settings), "starts"), []
-    for _ in range(settings.passes):
-        made = _concentrated(rows, going, scratch, settings)
-        # a determinant that no longer falls: the start has converged, and takes no more steps
-        falls = F.col("was") - F.col("logdet") > 1e-6
-        settled.append(made.filter(~falls).drop("was"))
-        going = made.filter(falls).drop("was")
-        if going.isEmpty():
-            break
-    for more in settled:
-        going = going.unionByName(more)
-    fit = F.struct("logdet", "start", *MEAN, *WHITE)
-    best = scratch.settle(going.groupBy("g").agg(F.min(fit).alias("fit")).select("g", "fit.*").select("g", *MEAN, *WHITE), "best")
-    edge = _chi2_quantile(0.975, DIM // 2)
-    central = rows.join(best, "g").filter(distance() < edge).select("g", *VECTOR, F.lit(1.0).alias("weight"))
-    return scratch.settle(_moments(central, ["g"], consistency(0.975), settings.floors).drop("logdet"), "estimates")
+    return map_groups(found.withColumns(coded), ["level", "_lang", "_source"], make, schema)
 
 
 def verdicts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -294,15 +249,15 @@ def verdicts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 
     A text without words (or null) has counts of 0 and fails the base rules. Null languages
     and sources are groups of their own. A group of fewer than `least_rows` rows that pass
-    the base rules is judged by its language, and a small language by all documents; if all
-    documents are fewer, nothing but the base rules is applied (far is null). Other columns
-    are not read; repeated rows are judged one by one and count as often as they come.
+    the base rules is judged by its language, and a small language by all documents, however few
+    these are; far is null only if no row passes the base rules. Other columns are not read;
+    repeated rows are judged one by one and count as often as they come.
     """
     settings = settings or Settings()
     scratch = Scratch(docs.sparkSession, "outliers")
     measured = _measured(docs.select("doc_id", "lang", "source", "text"), ["doc_id", "lang", "source"])
     stats = scratch.settle(measured, "stats")
-    fitted = estimates(stats, scratch, settings)
+    fitted = scratch.settle(estimates(stats, settings), "estimates")
     return _with_distance(stats, fitted).select(
         "doc_id", *NAMES[:5], base_failed(settings).alias("base_failed"), "far", _kept(settings).alias("kept")
     )
@@ -311,12 +266,12 @@ def verdicts(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 def _with_distance(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     """`far` from the estimate of the smallest group that has one."""
     for level, keys in ((1, ["lang"]), (2, ["lang", "source"])):
-        part = fitted.filter(F.col("g.level") == level)
-        part = part.select(*[F.col(f"g.g_{k}").alias(f"_{k}") for k in keys], *MEAN, *WHITE)
+        part = fitted.filter(F.col("level") == level)
+        part = part.select(*[F.col(k).alias(f"_{k}") for k in keys], *MEAN, *WHITE)
         on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
         rows = rows.join(part, on, "left").withColumn(f"far{level}", distance())
         rows = rows.drop(*[f"_{k}" for k in keys], *MEAN, *WHITE)
-    whole = fitted.filter("g.level = 0").select(*MEAN, *WHITE).first()  # one row of 14 numbers
+    whole = fitted.filter("level = 0").select(*MEAN, *WHITE).first()  # one row of 14 numbers
     far = F.lit(None).cast("double")
     if whole:
         rows = rows.withColumns({c: F.lit(whole[c]) for c in (*MEAN, *WHITE)}).withColumn("far0", distance())
@@ -333,7 +288,7 @@ def passing(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     settings = settings or Settings()
     scratch = Scratch(docs.sparkSession, "outliers")
     stats = _measured(docs.select("lang", "source", "text"), ["lang", "source"])
-    fitted = estimates(scratch.settle(stats, "stats"), scratch, settings)
+    fitted = scratch.settle(estimates(stats, settings), "estimates")
     whole = docs.select(F.struct("*").alias("row"), "lang", "source", "text")
     judged = _with_distance(_measured(whole, ["row", "lang", "source"]), fitted)
     return judged.filter(_kept(settings)).select("row.*")
