@@ -1,5 +1,6 @@
 """Archives, main text, mixes, chat windows and components against plain Python."""
 
+import time
 import base64
 import hashlib
 import random
@@ -78,6 +79,43 @@ def test_blocks():
     assert len(html_blocks.blocks("<p>a</p>" * 20_000)) == 20_000
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<p>in</p><a href=http://example.com/images/photo.jpg class=link", ["in"]),
+        ("<p>in</p><img src=http://example.com/images/photo.jpg alt=women's>after", ["in", "after"]),
+        ("<article><img alt=women's><p>It lost: isn't it? Yes</p></article>", ["It lost: isn't it? Yes"]),
+        ('<p title="never closed>one</p><p>two</p>', ["one", "two"]),
+        ("<p title='a>b' class = \"x\" >one</p ><p/>two<p\n>three", ["one", "two", "three"]),
+        ("<!-- never closed <p>x", []),
+        ("a <!doctype never closed", ["a"]),
+        ("1 < 2 </ 3 <3 &lt;p&gt; <", ["1 < 2 </ 3 <3 <p> <"]),
+        ("<div =x =y/>one</div><a/b=c>two", ["one", "two"]),
+        ("<script>if (a<b) '</p>'</scr" + "<p>", []),
+    ],
+)
+def test_broken_markup(page, expected):
+    assert [t for t, _, _ in html_blocks.blocks(page)] == expected
+
+
+def test_class_words_have_no_cap():
+    page = '<div class="a b c d e f g h i j k l m sidebar">x</div>'
+    assert ".sidebar" in html_blocks.blocks(page)[0][1]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " + "x" * 200_000, "<a " * 100_000, "<" * 200_000, '<a b="' * 50_000, "<a b='x" * 50_000, "<!--" * 50_000, "<!" * 100_000,
+        "<div>x" * 20_000, "<p><b>x" * 20_000, "<ul><li>x" * 20_000, "<a " + " " * 200_000, "<a b" + " = " * 60_000, "<textarea>" * 20_000,
+    ],
+)
+def test_markup_in_linear_time(page):
+    start = time.perf_counter()
+    html_blocks.blocks(page)
+    assert time.perf_counter() - start < 2
+
+
 def test_gradients():
     settings = html_blocks.Settings(path_slots=3, word_slots=2, hidden=3)
     rng = np.random.default_rng(0)

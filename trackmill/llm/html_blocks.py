@@ -37,21 +37,28 @@ ASIDE = frozenset(
     ".newsletter .subscribe .widget .login .search .copyright .popup .modal .footer .form".split()
 )
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: A quote opens a value only right after the equals sign; one that is never closed is part of a bare value.
+ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+TOLD = ("class", "id", "role")
 PARTS = re.compile(r"[a-z]+")
 HINT_MAIN = ".xmainx"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of the vectors and of the network, and of what it is trained on."""
+    """Sizes of the vectors and of the network, and of what it is trained on: `sample_pages` pages with their first
+    `sample_blocks` blocks, the first `sample_words` words of each block for `made_pages` further pages, which
+    draw from `vocabulary` words at most."""
 
     path_slots: int = 320
     word_slots: int = 24
     hidden: int = 16
     sample_pages: int = 160
     made_pages: int = 800
+    sample_blocks: int = 400
+    sample_words: int = 40
+    vocabulary: int = 20_000
     epochs: int = 9
     rate: float = 0.01
     threshold: float = 0.5
@@ -61,14 +68,59 @@ class Settings:
 NUMBERS = 6
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, list[str], bool]]:
+    """(start, end, "/" of an end tag, name, words of class, id and role, whether it closes itself) of the tags, in order.
+
+    Comments and declarations come as tags without a name, as does a tag that the page's end
+    cuts off, which reaches to it. Every character is looked at a bounded number of times. After
+    a tag whose content is text alone, the caller sends the place to go on from.
+    """
+    at, n = page.find("<"), len(page)
+    while at >= 0:
+        after = page[at + 1 : at + 2]
+        name = NAME.match(page, at + 1 + (after == "/")) if after == "/" or after.isalpha() else None
+        if name is None:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4) + 3
+            elif after in ("!", "?"):
+                end = page.find(">", at) + 1
+            else:
+                at = page.find("<", at + 1)
+                continue
+            end = n if end < 4 else end
+            on = yield at, end, "", "", [], False
+        else:
+            words, end = [], name.end()
+            while end < n and page[end] != ">" and (found := ATTRIBUTE.match(page, end)):
+                end = found.end()
+                if found[1].lower() in TOLD:
+                    words += PARTS.findall((found[2] or found[3] or found[4] or "").lower())
+            itself = end < n and page[end] == "/"
+            while end < n and page[end] != ">":
+                itself = page[end] == "/"
+                end += 1
+            if end < n:
+                on = yield at, end + 1, "/" * (after == "/"), name[0].lower(), words, itself
+            else:
+                on = yield at, n, "", "", [], False
+            end += 1
+        at = page.find("<", on if on is not None else end)
+
+
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, path tokens, share of link text) of the leaf blocks that hold text, in page order.
 
     A block ends where an element begins or ends that is not inline. Character references
-    are decoded, white space becomes one space, and what is never shown is left out.
+    are decoded, white space becomes one space, and what is never shown is left out. Of the
+    path, each token comes once, and those of the two innermost elements once more at its
+    end. Broken markup: a quote opens a value only after an equals sign, and only if it is
+    closed somewhere; a tag cut off by the end of the page is no text; end tags without a start
+    are skipped, and elements that are never closed end with the page.
     """
     found: list[tuple[str, tuple[str, ...], float]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    places: dict[str, list[int]] = {}  # of the open elements, by name
+    open_tokens: dict[str, int] = {}
     held: list[str] = []
     linked = unseen = at = 0
 
@@ -77,8 +129,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                tokens = tuple(t for _, tokens in stack for t in tokens)
-                found.append((text, tokens, min(1.0, linked / len(text))))
+                inner = tuple(t for _, tokens in stack[-2:] for t in tokens)
+                found.append((text, (*open_tokens, *inner), min(1.0, linked / len(text))))
             held.clear()
         linked = 0
 
@@ -86,53 +138,63 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
         nonlocal linked
         if text and not unseen:
             held.append(text)
-            if any(tag == "a" for tag, _ in stack):
+            if places.get("a"):
                 linked += len(text)
 
     def pop_to(place: int) -> None:
         nonlocal unseen
-        for tag, _ in stack[place:]:
+        while len(stack) > place:
+            tag, tokens = stack.pop()
             unseen -= tag in UNSEEN
-        del stack[place:]
+            places[tag].pop()
+            for token in tokens:
+                open_tokens[token] -= 1
+                if not open_tokens[token]:
+                    del open_tokens[token]
 
     def last(tag: str) -> int:
-        return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-
-    while match := TAG.search(page, at):
-        if match.start() > at:
-            say(page[at : match.start()])
-        at = match.end()
-        closing, tag, attributes = match.groups()
-        if tag is None:
-            continue
-        tag = tag.lower()
+        return places[tag][-1] if places.get(tag) else -1
+
+    reader = tags(page)
+    found_tag = next(reader, None)
+    while found_tag:
+        start, end, closing, tag, words, itself = found_tag
+        if start > at:
+            say(page[at:start])
+        at, on = end, None
         inline = tag in INLINE
-        if not inline:
-            flush()
-        elif tag == "br":
-            say(" ")
-        if closing:
-            place = last(tag)
-            if place >= 0:
-                pop_to(place)
-            continue
-        if not inline:
-            if tag == "li" and (place := last("li")) > max(last("ul"), last("ol")):
-                pop_to(place)
-            elif (place := last("p")) >= 0:
+        if not tag:
+            pass
+        elif closing:
+            if not inline:
+                flush()
+            elif tag == "br":
+                say(" ")
+            if (place := last(tag)) >= 0:
                 pop_to(place)
-        if tag in VOID or attributes.endswith("/"):
-            continue
-        tokens = (tag,)
-        if attributes:
-            for match_attribute in ATTRIBUTE.finditer(attributes):
-                value = next(v for v in (*match_attribute.groups()[1:], "") if v is not None)
-                tokens += tuple("." + w for w in PARTS.findall(value.lower())[:12])
-        stack.append((tag, tokens))
-        unseen += tag in UNSEEN
-        if tag in RAW:
-            end = re.compile(rf"</{tag}", re.I).search(page, at)
-            at = end.start() if end else len(page)
+        else:
+            if not inline:
+                flush()
+                if tag == "li" and (place := last("li")) > max(last("ul"), last("ol")):
+                    pop_to(place)
+                elif (place := last("p")) >= 0:
+                    pop_to(place)
+            elif tag == "br":
+                say(" ")
+            if tag not in VOID and not itself:
+                tokens = (tag, *("." + w for w in words))
+                places.setdefault(tag, []).append(len(stack))
+                stack.append((tag, tokens))
+                for token in tokens:
+                    open_tokens[token] = open_tokens.get(token, 0) + 1
+                unseen += tag in UNSEEN
+                if tag in RAW:
+                    close = re.compile(rf"</{tag}", re.I).search(page, at)
+                    at = on = close.start() if close else len(page)
+        try:
+            found_tag = reader.send(on)
+        except StopIteration:
+            break
     say(page[at:])
     flush()
     return found
@@ -408,12 +470,12 @@ def trained(pages: DataFrame, settings: Settings) -> Labeller:
     cache: dict = {}
     examples, words = [], ["word"]
     for row in sorted(picked.collect()):
-        found = blocks(row.html or "")[:400]
-        words += [w for text, _, _ in found for w in text.split()[:40]]
+        found = blocks(row.html or "")[: settings.sample_blocks]
+        words += [w for text, _, _ in found for w in text.split()[: settings.sample_words]]
         if any(MAIN.intersection(tokens) for _, tokens, _ in found):
             labels = np.array([own_label(tokens) or 0 for _, tokens, _ in found], np.float32)
             examples.append((vectors(found, settings, cache), labels))
-    for page in made_pages(words[:20_000], settings):
+    for page in made_pages(words[: settings.vocabulary], settings):
         found = blocks(page)
         labels = np.array([own_label(tokens) or 0 for _, tokens, _ in found], np.float32)
         if len(found):
