@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from trackmill.functions.categories import CENSUS_CATEGORIES, UNKNOWN
 from trackmill.functions.texts import is_number
@@ -53,3 +54,28 @@ def census_rules() -> dict[str, Column]:
         else:
             rules[name] = in_domain(value, [*CENSUS_CATEGORIES[name], UNKNOWN])
     return rules
+
+
+OK = "ok"
+
+
+def write_quarantined(df: DataFrame, rules: Mapping[str, Column], path: str) -> dict[str, int]:
+    """Write rows that keep all rules and rows that break some side by side, in one pass; rows broken by rule.
+
+    ``path`` gets a folder for each, with ``violations`` (empty for good rows). The counts are metrics that the
+    tasks observe while they write, so nothing is read twice; ``rows`` and ``bad_rows`` are among them. Of a stage that
+    runs again after a lost executor each partition counts once.
+    """
+    marked = with_violations(df, rules)
+    bad = F.size("violations") > 0
+    counts = [F.count_if(F.array_contains("violations", name)).alias(name) for name in rules]
+    seen = Observation()
+    observed = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad_rows"), *counts)
+    observed.withColumn(OK, ~bad).write.mode("overwrite").partitionBy(OK).parquet(path)
+    return seen.get
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows written, with ``violations`` and ``ok``; a filter on ``ok`` reads one folder only."""
+    more = [StructField("violations", ArrayType(StringType())), StructField(OK, BooleanType())]
+    return spark.read.schema(StructType([*schema.fields, *more])).parquet(path)

@@ -8,11 +8,13 @@ from trackmill.functions.texts import split_on
 from trackmill.functions.times import day_serial
 from trackmill.operators import trajectory as tr
 from trackmill.operators.ordered import plain
+from trackmill.operators.quality import read_quarantined, write_quarantined
 from trackmill.plans.queries.base import query, table
 from trackmill.plans.queries.tracks import _HAVERSINE, _POINTS, _SIGN, DIGITS, _runs_sql, points_of
 from trackmill.plans.trajectories import interval_rows
 from trackmill.session import renewed_dir
-from trackmill.sinks.writers import write_csv, write_intervals, write_tsv
+from trackmill.sinks.writers import write_csv, write_intervals, write_loads, write_tsv
+from trackmill.sources import files
 from trackmill.sources.files import (
     number_lines,
     read_delimited,
@@ -147,3 +149,57 @@ def plt_roundtrip(spark, folder):
     name = F.regexp_extract("traj_id", r"user=([^/]*)/name=([^/]*)/", 2)
     speed = F.try_divide("dist_m", "gap_s")
     return df.select(F.concat_ws("/", user, name).alias("name"), "id", "gap_s", F.round("dist_m", 3).alias("dist_m"), F.round(speed, 3).alias("speed"))
+
+
+@query("""
+SELECT count(*) AS n_rows, count(event_id) AS n_event_id, min(event_id) AS least_event_id, max(event_id) AS most_event_id,
+       count("value") AS n_value, min("value") AS least_value, max("value") AS most_value FROM events""")
+def source_aggregates(spark, folder):
+    """Counts and extremes from the footers of the files."""
+    return files.source_aggregates(spark, f"{folder}/events.parquet", ["event_id", "value"])
+
+
+@query("""
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS other, 'OBJECT<k: BIGINT>' AS inferred FROM events""")
+def json_inferred(spark, folder):
+    """JSON of unknown shape: the schema is aggregated over all rows, fields are taken by path."""
+    parsed = files.parse_variant(table(spark, folder, "events").select("event_id", "props"), "props")
+    inferred = files.variant_schema(parsed)
+    return files.variant_columns(parsed, {"k": "bigint", "other": "string"}).select("event_id", "k", "other", F.lit(inferred).alias("inferred"))
+
+
+@query("""
+SELECT year(o_orderdate) AS load, o_orderkey, o_totalprice, 1 AS copies FROM orders""")
+def loads_written_again(spark, folder):
+    """Orders written in loads of a year, every load twice; each row is there once."""
+    orders = table(spark, folder, "orders").select(F.year("o_orderdate").alias("load"), "o_orderkey", "o_totalprice")
+    path = renewed_dir(spark, "loads")
+    write_loads(orders, path, "load")
+    write_loads(orders.filter("load % 2 = 0"), path, "load")
+    write_loads(orders.filter("load % 2 = 1"), path, "load")
+    written = spark.read.schema(orders.schema).parquet(path)
+    return written.groupBy("load", "o_orderkey", "o_totalprice").agg(F.count("*").cast("int").alias("copies"))
+
+
+_QUARANTINE = {"value": "value < 100", "known_type": "event_type <> 'error'", "number": "event_id % 10 <> 3"}
+
+
+@query(f"""
+WITH broken AS (SELECT {', '.join(f'NOT coalesce({rule}, false) AS {name}' for name, rule in _QUARANTINE.items())} FROM events),
+counts AS (
+  SELECT 'rows' AS rule, count(*) AS n FROM broken UNION ALL SELECT 'bad_rows', count(*) FROM broken WHERE {' OR '.join(_QUARANTINE)}
+  {' '.join(f"UNION ALL SELECT '{name}', count(*) FILTER ({name}) FROM broken" for name in _QUARANTINE)}
+)
+SELECT rule, n AS observed, n AS written FROM counts""")
+def dq_quarantine(spark, folder):
+    """Rules checked in the pass that writes good and bad rows; what was observed beside what is there."""
+    rules = {name: F.expr(rule) for name, rule in _QUARANTINE.items()}
+    events = table(spark, folder, "events")
+    path = renewed_dir(spark, "quarantine")
+    observed = write_quarantined(events, rules, path)
+    written = read_quarantined(spark, path, events.schema)
+    bad = written.filter("NOT ok")
+    found = bad.select(F.explode("violations").alias("rule")).unionByName(bad.select(F.lit("bad_rows").alias("rule")))
+    found = found.unionByName(written.select(F.lit("rows").alias("rule"))).groupBy("rule").agg(F.count("*").alias("written"))
+    told = spark.createDataFrame(list(observed.items()), "rule string, observed bigint")
+    return told.join(found, "rule", "left").fillna(0, ["written"])

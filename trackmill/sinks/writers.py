@@ -96,3 +96,14 @@ def publish(df: DataFrame, servers: str, topic: str) -> None:
 def report_line(template: str, *columns) -> Column:
     """One line of text per row; ``template`` is a format string."""
     return F.format_string(template, *columns)
+
+
+def write_loads(df: DataFrame, path: str, load: str) -> None:
+    """Append whole loads to a Parquet table, a folder per value of ``load``.
+
+    Files are staged and put in place when the job is done. A load that is written again, after
+    a failure or by mistake, replaces its own folder and no other, so a repeated run adds
+    nothing. All rows of a load have to be in one frame; their number of files follows from it.
+    """
+    writer = df.hint("rebalance", load).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(load).parquet(path)

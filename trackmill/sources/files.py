@@ -138,3 +138,37 @@ def number_lines(spark: SparkSession, path) -> DataFrame:
 def skip_lines(spark: SparkSession, path, n: int) -> DataFrame:
     """Lines of every file but its first ``n``, wherever its blocks end."""
     return number_lines(spark, path).filter(F.col("line_no") > n).select("value")
+
+
+def source_aggregates(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
+    """Row count, and count, least and greatest of columns, computed by the Parquet reader from the files' footers.
+
+    No column is read: the plan's scan shows the aggregates as pushed. For whole numbers, floats,
+    booleans and dates, whose footers are exact. The reader that can do this is chosen in a
+    session of its own, so the caller's settings stay; the result is of that session.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    found = [F.count("*").alias("n_rows")]
+    for c in columns:
+        found += [F.count(c).alias(f"n_{c}"), F.min(c).alias(f"least_{c}"), F.max(c).alias(f"most_{c}")]
+    made = session.read.parquet(path).agg(*found)
+    # Files without rows have no footer counts to add up, though Spark takes a count to be never null.
+    return made.select(*[F.coalesce(F.nullif(c, F.lit(-1)), F.lit(0)).alias(c) if c.startswith("n_") else c for c in made.columns])
+
+
+def parse_variant(df: DataFrame, column: str, name: str = "data") -> DataFrame:
+    """Add JSON texts of any shape as VARIANT values; malformed ones are null."""
+    return df.withColumn(name, F.try_parse_json(column))
+
+
+def variant_schema(df: DataFrame, name: str = "data") -> str:
+    """The schema that fits the values of all rows, as Spark writes it; one text, merged before the shuffle."""
+    return df.agg(F.schema_of_variant_agg(name)).first()[0]
+
+
+def variant_columns(df: DataFrame, fields: dict[str, str], name: str = "data") -> DataFrame:
+    """Fields of a VARIANT as columns of the given types; null where the field is missing or of no such type."""
+    found = {c: F.try_variant_get(name, f"$.{c}", kind) for c, kind in fields.items()}
+    return df.withColumns(found).drop(name)

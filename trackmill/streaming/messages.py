@@ -42,6 +42,16 @@ def start_append(
     return writer.start(path) if path else writer.start()
 
 
+def start_continuous(stream: DataFrame, checkpoint: str, sink: str = "noop", commit_every: str = "1 second", **options: str) -> StreamingQuery:
+    """Start an append query without micro-batches: each row goes on as it comes, positions are kept at intervals.
+
+    For sources and sinks that can do so (rates and topics), and for row-by-row work. After a
+    restart rows since the last kept position come again.
+    """
+    writer = stream.writeStream.format(sink).outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.options(**options).trigger(continuous=commit_every).start()
+
+
 def show_console(stream: DataFrame, every: str | None = None) -> StreamingQuery:
     """Print a stream, appended rows only."""
     writer = stream.writeStream.format("console").outputMode("append")
