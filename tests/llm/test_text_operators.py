@@ -120,9 +120,31 @@ def test_secrets(spark):
     assert {i: made[i].n_weak for i in texts} == {i: {9: 2, 11: 1, 13: 1}.get(i, 0) for i in texts}
     assert "opaque:12:36" in made[9].spans and made[8].spans == "" and made[12].spans == ""
     assert (made[14].n_assign, made[14].n_hex) == (200, 200)
+    assert made[9].links == "user:0:11>opaque:12:36,opaque:12:36>user:0:11"
     assert secrets.scan(df.limit(0)).collect() == []
 
 
+def test_linked_parts(spark):
+    opaque = "Zx9kQ2mPw7LrT4vNb8HsY3jD"
+    texts = {
+        1: "See https://example.com/Docs/2024/Annual-Report for details.",
+        2: f"https://host/api?token=abcdefgh1 and {opaque}",
+        3: f"https://host/{opaque}",
+        4: "postgres://host/db?password=hunter2hunter2",
+        5: f"{opaque} " + "x" * 375 + f" https://a.example/b {opaque}",
+        6: f"user=bob {opaque} " * 50,
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    made = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert (made[1].spans, made[1].links, made[3].spans) == ("", "", "")
+    assert made[2].spans == "endpoint:0:32,assign:17:32,opaque:37:61"
+    assert made[2].links == "endpoint:0:32>opaque:37:61,opaque:37:61>endpoint:0:32"
+    assert made[4].spans == "assign:19:42"
+    # the first token is out of reach of the endpoint: 401 code points from start to start
+    assert made[5].spans == "endpoint:401:420,opaque:421:445"
+    assert made[6].n_weak == 100
+
+
 KEY = b"a test key"
 
 

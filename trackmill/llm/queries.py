@@ -198,18 +198,23 @@ placed AS (
   WHERE (kind <> 'assign' OR length(val) >= 8)
     AND (kind <> 'opaque' OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')))
 ), bare AS (
-  SELECT * FROM spans w WHERE strong OR NOT EXISTS (
+  SELECT * FROM spans w WHERE strong OR kind = 'endpoint' OR NOT EXISTS (
     SELECT 1 FROM spans s WHERE s.strong AND s.doc_id = w.doc_id AND ((s.start <= w.start AND s.stop > w.start) OR (s.start >= w.start AND s.start < w.stop)))
+), pairs AS (
+  SELECT w.doc_id, w.rank, w.start, first(o.kind || ':' || o.start || ':' || o.stop ORDER BY abs(o.start - w.start), o.start, o.rank) AS part
+  FROM bare w JOIN bare o ON o.doc_id = w.doc_id AND abs(o.start - w.start) <= 400 AND ({_NEAR}) AND (o.stop <= w.start OR o.start >= w.stop)
+  WHERE NOT w.strong GROUP BY ALL
 ), reported AS (
-  SELECT * FROM bare w WHERE strong OR EXISTS (SELECT 1 FROM bare o WHERE o.doc_id = w.doc_id AND abs(o.start - w.start) <= 400 AND ({_NEAR}))
+  SELECT bare.*, part FROM bare LEFT JOIN pairs USING (doc_id, rank, start) WHERE strong OR part IS NOT NULL
 ), lists AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
          count(*) FILTER (NOT strong) AS n_weak, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
-         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (strong) AS base
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (strong) AS base,
+         string_agg(kind || ':' || start || ':' || stop || '>' || part, ',' ORDER BY start, rank) FILTER (NOT strong) AS links
   FROM reported GROUP BY doc_id
 )
 SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_weak, 0) AS BIGINT) AS n_weak
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_weak, 0) AS BIGINT) AS n_weak, coalesce(links, '') AS links
 FROM texts LEFT JOIN lists USING (doc_id)""")
 def op7_secret_scan(spark, folder):
     return secrets.scan(table(spark, folder, "documents"))

@@ -1,8 +1,9 @@
 """Secret scan: parts of credentials, and weak candidates that complementary parts confirm.
 
 Strong parts are reported as they are. A weak part alone is everyday text; it is reported
-where parts that complete it lie in its scope: an opaque token beside an identifier or an
-endpoint, a user name or an endpoint beside a secret. Everything is a DataFrame expression.
+with the parts that complete it in its scope and don't overlap it: an opaque token beside an identifier or an
+endpoint, a user name or an endpoint beside a secret. These are found by an interval join,
+and come as links. Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def parts(docs: DataFrame) -> DataFrame:
 
 
 def spans(found: DataFrame, settings: Settings) -> DataFrame:
-    """Rows (row_no, rank, kind, start, stop) of all reported spans; rank is the place of the kind in the list."""
+    """Rows (row_no, rank, kind, start, stop) of strong spans and of weak candidates; rank is the place of the kind in the list."""
     kinds = list(PATTERNS)
     each = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(k).alias("kind"), F.col(k).alias("m")) for i, k in enumerate(kinds)]), lambda s: s.m.isNotNull()))
     rows = found.select("row_no", each.alias("s")).select("row_no", "s.rank", "s.kind", F.posexplode(F.arrays_zip("s.m.hits", "s.m.gaps", "s.m.values")).alias("i", "z"))
@@ -81,35 +82,51 @@ def spans(found: DataFrame, settings: Settings) -> DataFrame:
     before = F.max(F.when(strong, F.col("stop"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
     after = F.min(F.when(strong, F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
     covered = F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("stop"), F.lit(False))
-    rows = rows.withColumn("covered", covered).filter(strong | ~F.col("covered"))
-    scope = by_start.rangeBetween(-settings.scope, settings.scope)
-    flags = {k: F.coalesce(F.max(F.col("kind") == k).over(scope), F.lit(False)) for k in kinds}
-    rows = rows.withColumns({f"near_{k}": flag for k, flag in flags.items()})
-    confirmed = strong
-    for weak, complements in COMPLEMENTS.items():
-        near = F.lit(False)
-        for kind in complements:
-            near = near | F.col(f"near_{kind}")
-        confirmed = confirmed | ((F.col("kind") == weak) & near)
-    return rows.filter(confirmed).select("row_no", "rank", "kind", "start", "stop")
+    # An endpoint may hold a strong part and still link others; a covered token or name is the strong part itself.
+    return rows.withColumn("covered", covered).filter(strong | (F.col("kind") == "endpoint") | ~F.col("covered")).drop("covered")
+
+
+def links(found: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (row_no, rank, kind, start, stop, parts): weak spans with the parts that complete them, nearest first.
+
+    An interval join: a part lies in a weak span's scope if their starts are at most `scope`
+    apart, and completes it if its kind does and the two don't overlap. Both sides are dealt out
+    by text and cell of the scope's width, a weak span to three cells, so a text with very many spans is split.
+    """
+    wanted = F.create_map(*[x for k, v in COMPLEMENTS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    cell = F.floor(F.col("start") / settings.scope)
+    weak = found.filter(~F.col("kind").isin(*STRONG))
+    weak = weak.select("*", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"), wanted[F.col("kind")].alias("wanted"))
+    others = found.select(F.col("row_no").alias("o_row"), cell.alias("o_cell"), F.struct(*[F.col(c) for c in ("rank", "kind", "start", "stop")]).alias("o"))
+    near = F.abs(F.col("o.start") - F.col("start")) <= settings.scope
+    apart = (F.col("o.stop") <= F.col("start")) | (F.col("o.start") >= F.col("stop"))
+    met = (F.col("row_no") == F.col("o_row")) & (F.col("cell") == F.col("o_cell"))
+    joined = weak.join(others, met).filter(near & apart & F.array_contains("wanted", F.col("o.kind")))
+    part = F.struct(F.abs(F.col("o.start") - F.col("start")).alias("far"), *[F.col(f"o.{c}").alias(c) for c in ("start", "rank", "kind", "stop")])
+    return joined.groupBy("row_no", "rank", "kind", "start", "stop").agg(F.array_sort(F.collect_list(part)).alias("parts"))
 
 
 def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_weak, one row per row of docs.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_weak and links, one row per row of docs.
 
     Positions are code points, ends exclusive. base_sha256 digests the strong spans as
     kind:start:end, by start and kind in the order listed, comma-joined; spans has all
-    reported ones in the same form. A weak span that overlaps a strong one is part of it and
-    not reported. Null and empty texts have no spans. Repeated rows are scanned one by one;
+    reported ones in the same form. A token or name that overlaps a strong span is part of it and
+    not reported; an endpoint that holds one is, if another part completes it. links has each
+    weak span with the nearest part that completes it, as span>span in order of the weak spans. Null and empty texts have no spans. Repeated rows are scanned one by one;
     other columns are not read.
     """
     settings = settings or Settings()
     scratch = Scratch(docs.sparkSession, "secrets")
     found = parts(docs.select("doc_id", "text"))
     found = scratch.settle(found.withColumn("row_no", F.monotonically_increasing_id()), "parts")
-    lists = spans(found, settings).groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "stop"))).alias("all"))
+    candidates = scratch.settle(spans(found, settings), "spans")
+    nearest = F.col("parts")[0]
+    linked = links(candidates, settings).withColumn("to", F.concat_ws(":", nearest.kind, nearest.start, nearest.stop))
+    reported = candidates.filter(F.col("kind").isin(*STRONG)).withColumn("to", F.lit(None).cast("string")).unionByName(linked.drop("parts"))
+    lists = reported.groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "stop", "to"))).alias("all"))
     rows = found.select("row_no", "doc_id").join(lists, "row_no", "left")
-    everything = F.coalesce("all", F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint>>"))
+    everything = F.coalesce("all", F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint,to:string>>"))
     rows = rows.withColumn("all", everything)
 
     def of(kind: str) -> Column:
@@ -119,10 +136,13 @@ def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
         return F.array_join(F.transform(array, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.stop.cast("string"))), ",")
 
     base = F.filter("all", lambda s: s["rank"] < len(STRONG))
+    weak = F.filter("all", lambda s: s["rank"] >= len(STRONG))
+    pairs = F.transform(weak, lambda s: F.concat(F.concat_ws(":", s.kind, s.start, s.stop), F.lit(">"), s["to"]))
     return rows.select(
         "doc_id",
         *[of(kind).alias(f"n_{kind}") for kind in STRONG],
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.col("all")).alias("spans"),
-        (F.size("all") - F.size(base)).cast("long").alias("n_weak"),
+        F.size(weak).cast("long").alias("n_weak"),
+        F.array_join(pairs, ",").alias("links"),
     )
