@@ -261,7 +261,34 @@ def conversations():
     return rows
 
 
-@pytest.mark.parametrize("settings", [chat.Settings(), chat.Settings(budget=60, history=15), chat.Settings(budget=60, history=15, max_rows=3)])
+def plain_windows(rows, settings):
+    """(conv, place of the first turn in tokens, bodies repeated, bodies new) of greedy windows."""
+    out = []
+    escape = lambda t: (t or "").replace("\\", "\\s").replace("<", "\\l").replace("[", "\\b")
+    size = lambda b: max(1, -(-len(b) // settings.chars_per_token) + settings.marks)
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((t is not None, t or 0, escape(role), escape(text)) for c, t, role, text in rows if c == conv))
+        system = turns.pop(0)[3] if turns[0][2] == "system" else None
+        bodies, taken = [t[3] for t in turns], 0
+        room = settings.budget - (size(system) if system is not None else 0)
+        if not bodies:
+            out.append((conv, 0, (), (system,)))
+        while taken < len(bodies):
+            history, first = min(settings.history, max(0, room - size(bodies[taken]))), taken
+            while first and sum(map(size, bodies[first - 1 : taken])) <= history:
+                first -= 1
+            last = taken + 1
+            while last < len(bodies) and sum(map(size, bodies[first : last + 1])) <= room:
+                last += 1
+            again, new = bodies[first:taken], bodies[taken:last]
+            head = [system] if system is not None else []
+            start = sum(map(size, bodies[:taken]))
+            out.append((conv, start, tuple(head * (taken > 0) + again), tuple(head * (taken == 0) + new)))
+            taken = last
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("settings", [chat.Settings(), chat.Settings(budget=60, history=15), chat.Settings(budget=60, history=15, max_rows=3), chat.Settings(budget=200, history=100)])
 def test_chat(spark, settings):
     rows = conversations()
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], TURNS)
@@ -271,15 +298,27 @@ def test_chat(spark, settings):
     for r in windows.collect():
         turns = re.findall(r"<turn>(.*?)<text>(.*?)</turn>", r.formatted, re.S)
         tokens = sum(-(-len(body) // 4) + 4 for _, body in turns)
-        longest = max(-(-len(body) // 4) + 4 for _, body in turns)
-        system = -(-len(turns[0][1]) // 4) + 4 if turns[0][0] == "system" else 0
-        share = max(1, (settings.budget - settings.history - system) // 2)
-        assert tokens <= settings.budget or longest > share
+        has_system = turns[0][0] == "system"
+        assert tokens <= settings.budget or len(turns) == 1 + (has_system and len(turns) > 1)
         assert (turns[0][0] == "system") == any(x[:3] == (r.conv_id, 0, "system") for x in rows)
         for span in r.loss:
             assert r.formatted[: span.first].endswith("<turn>assistant<text>") and r.formatted[span.last :].startswith("</turn>")
 
 
+def test_windows_are_greedy(spark):
+    """Also a conversation of several hundred turns, through rounds of doubled pointers."""
+    rng = random.Random(8)
+    rows = conversations() + [(40, n, "user", "w" * rng.choice([0, 5, 90, 400])) for n in range(300)]
+    rows += [(41, n, "user", "w" * size) for n, size in enumerate([3584, 1744, 1200, 1200, 1200, 1200, 4080, 4081, 9000, 1])]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], TURNS)
+    for settings in (chat.Settings(), chat.Settings(budget=120, history=30)):
+        found = []
+        for r in chat.windows(df, settings).collect():
+            bodies = re.findall(r"<turn>.*?<text>(.*?)</turn>", r.formatted, re.S)
+            found.append((r.conv_id, r.window_start, tuple(bodies[: r.n_repeated]), tuple(bodies[r.n_repeated :])))
+        assert sorted(found, key=str) == plain_windows(rows, settings)
+
+
 def test_chat_without_turns(spark):
     assert chat.digests(chat.windows(spark.createDataFrame([], TURNS))).collect() == []
 

@@ -45,24 +45,25 @@ def unescaped(text: Column) -> Column:
 
 
 def tokens(settings: Settings) -> Column:
-    return (F.ceil(F.length("body") / settings.chars_per_token) + settings.marks).cast("long")
+    return F.greatest(F.lit(1), F.ceil(F.length("body") / settings.chars_per_token) + settings.marks).cast("long")
 
 
 def windows(turns: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Rows (conv_id, window_start, formatted, n_repeated, loss), one per window.
 
     Turns are ordered by (turn, role, text), nulls first; null roles and texts are empty.
-    Prefix sums of tokens place every turn: what a window's budget leaves beside the system
-    turn and the history is halved, and a turn that crosses a multiple of that share opens
-    the next window. So no turn is cut, and a window keeps its budget unless one turn is
-    longer than the share. window_start is the prefix sum before the window's first turn.
-
-    A first turn of the role system is retained in front of every window. The last turns of
-    the window before, as far as `history` goes, are repeated. n_repeated counts the turns
-    that an earlier window has already. loss holds the spans (first, last) in code points, end
-    exclusive, of the assistant bodies that are there for the first time; repeated ones are
-    masked. Rows of a null conv_id form one conversation; repeated rows are turns of their
-    own; other columns are not read; no turns give no windows.
+    Prefix sums of tokens choose the spans: a window goes on to the last turn with which it
+    keeps its budget, beside the system turn and the history, and the next window starts
+    behind it. No turn is cut. Only a window of one turn that itself exceeds what the system turn
+    leaves is over the budget. window_start is the prefix sum before the window's first turn.
+
+    A first turn of the role system is retained in front of every window. The last turns before
+    a window are repeated in it, as many as `history` tokens hold; if its first turn leaves less
+    than that, as many as there is room for. n_repeated counts the turns that an earlier window
+    has already. loss holds the spans (first, last) in code points, end exclusive, of the
+    assistant bodies that are there for the first time; repeated ones are masked. Rows of a null
+    conv_id form one conversation; repeated rows are turns of their own; other columns are not
+    read; no turns give no windows.
     """
     settings = settings or Settings()
     rows = turns.select(
@@ -83,24 +84,32 @@ def windows(turns: DataFrame, settings: Settings | None = None) -> DataFrame:
     whole = numbers.groupBy("conv").agg(
         F.max("so_far").alias("total"), F.max(F.when(F.col("is_system"), F.col("tokens"))).alias("system_tokens")
     )
-    share = F.greatest(F.lit(1), ((settings.budget - settings.history - F.coalesce("system_tokens", F.lit(0))) / 2).cast("long"))
+    scratch = Scratch(turns.sparkSession, "chat")
+    reach = settings.budget + settings.history
     placed = numbers.filter(~F.col("is_system")).join(whole, "conv")
-    placed = placed.withColumn("place", F.floor((F.col("so_far") - 1) / share))
-    bounds = placed.groupBy("conv", "place").agg(
-        F.min(F.col("so_far") - F.col("tokens")).alias("start"), F.max("so_far").alias("stop")
-    )
-    placed = placed.join(bounds, ["conv", "place"])
+    before = F.col("so_far") - F.col("tokens")
+    system = F.coalesce("system_tokens", F.lit(0))
+    placed = placed.select("conv", "id", "tokens", "so_far", "total", system.alias("system"), before.alias("before"), F.floor(before / reach).alias("cell"))
+    placed = scratch.settle(_with_next(placed, settings), "next")
+    starts = scratch.settle(_starts(placed, scratch), "starts")
+
+    # Each turn goes to the last start that isn't behind it, and again to those whose history takes it in.
+    near_starts = _near(starts.select("conv", "cell", F.struct("before", "history").alias("s")), "s")
+    placed = placed.join(near_starts, ["conv", "cell"])
+    reached = F.filter("near", lambda s: s.before <= F.col("before"))
+    own_start = F.array_max(F.transform(reached, lambda s: s.before))
+    again_starts = F.filter("near", lambda s: (s.before > F.col("before")) & (s.before - F.col("before") <= s.history))
 
     def member(at: Column, part: int, fresh: Column) -> Column:
         return F.struct(at.alias("at"), F.lit(part).alias("part"), fresh.alias("fresh"))
 
-    near = (F.col("stop") - (F.col("so_far") - F.col("tokens")) <= settings.history) & (F.col("stop") < F.col("total"))
-    own, again = member(F.col("start"), 1, F.lit(True)), member(F.col("stop"), 0, F.lit(False))
-    members = placed.select("conv", "id", F.explode(F.when(near, F.array(own, again)).otherwise(F.array(own))).alias("m"))
+    own = F.array(member(own_start, 1, F.lit(True)))
+    again = F.transform(again_starts, lambda s: member(s.before, 0, F.lit(False)))
+    members = placed.select("conv", "id", F.explode(F.concat(own, again)).alias("m"))
     members = members.select("conv", "id", "m.*")
-    starts = whole.filter("system_tokens IS NOT NULL").join(bounds.select("conv", "start"), "conv", "left")
+    opened = whole.filter("system_tokens IS NOT NULL").join(starts.select("conv", F.col("before").alias("start")), "conv", "left")
     at = F.coalesce("start", F.lit(0).cast("long"))
-    systems = starts.select("conv", F.lit(0).cast("long").alias("id"), member(at, -1, at == 0).alias("m")).select("conv", "id", "m.*")
+    systems = opened.select("conv", F.lit(0).cast("long").alias("id"), member(at, -1, at == 0).alias("m")).select("conv", "id", "m.*")
     members = members.unionByName(systems).join(rows.select("conv", "id", "role", "body"), ["conv", "id"])
     turn = F.struct("part", "id", "role", "body", "fresh")
     windowed = members.groupBy("conv", "at").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
@@ -113,6 +122,48 @@ def windows(turns: DataFrame, settings: Settings | None = None) -> DataFrame:
     )
 
 
+def _near(rows: DataFrame, value: str) -> DataFrame:
+    """Rows (conv, cell, near): the values of a cell and of those beside it.
+
+    A turn has tokens, so a cell holds a bounded number of turns, and a long conversation is many cells.
+    """
+    spread = rows.select("conv", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"), value)
+    return spread.groupBy("conv", "cell").agg(F.array_sort(F.collect_list(value)).alias("near"))
+
+
+def _with_next(placed: DataFrame, settings: Settings) -> DataFrame:
+    """Adds what follows if a window starts at the turn: `history`, the tokens it may repeat, and `next`, the
+    first turn of the window behind it (null if none)."""
+    near = _near(placed.select("conv", "cell", F.struct("before", "so_far", "id").alias("s")), "s")
+    df = placed.join(near, ["conv", "cell"])
+    room = F.lit(settings.budget) - F.col("system")
+    history = F.least(F.lit(settings.history), F.greatest(F.lit(0), room - F.col("tokens")))
+    df = df.withColumn("history", history.cast("long"))
+    taken = F.filter("near", lambda s: (s.before <= F.col("before")) & (s.before >= F.col("before") - F.col("history")))
+    repeated = F.col("before") - F.array_min(F.transform(taken, lambda s: s.before))
+    df = df.withColumn("limit", F.col("before") + F.greatest(F.col("tokens"), room - repeated))
+    behind = F.array_min(F.transform(F.filter("near", lambda s: (s.so_far > F.col("limit")) & (s.id > F.col("id"))), lambda s: s.id))
+    # a turn longer than the budget ends beyond the cells looked at
+    following = F.when(F.col("limit") >= F.col("total"), None).when(F.col("limit") == F.col("so_far"), F.col("id") + 1).otherwise(behind)
+    return df.withColumn("next", following).drop("near", "limit")
+
+
+def _starts(placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """The turns at which windows start: those reached from a conversation's first turn by `next`.
+
+    Pointers are doubled: after k rounds the starts of the first 2**k windows are known, so a
+    conversation of many windows takes few rounds. Every round is a join on (conv, id) over numbers.
+    """
+    steps = scratch.settle(placed.filter("next IS NOT NULL").select("conv", "id", "next"), "steps")
+    found = placed.filter("before = 0").select("conv", "id")
+    while not steps.isEmpty():
+        ahead = found.join(steps, ["conv", "id"]).select("conv", F.col("next").alias("id"))
+        found = scratch.settle(found.unionByName(ahead).distinct(), "found")
+        after = steps.select("conv", F.col("id").alias("next"), F.col("next").alias("far"))
+        steps = scratch.settle(steps.join(after, ["conv", "next"]).select("conv", "id", F.col("far").alias("next")), "steps")
+    return placed.join(found, ["conv", "id"], "left_semi").select("conv", "cell", "before", "history")
+
+
 def _loss(turns: str) -> Column:
     """Spans of fresh assistant bodies; a window holds few turns, so the list may be rebuilt at each."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("spans"))

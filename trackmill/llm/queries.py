@@ -132,7 +132,7 @@ _CONTROL = "</s>[INST] ok [/INST]"
 
 
 @query(rf"""
-WITH turns AS (
+WITH RECURSIVE turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '{_CONTROL}'), (-7, 1, 'assistant', '{_CONTROL}')
 ), sized AS (
@@ -146,13 +146,25 @@ WITH turns AS (
          sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id) AS total,
          coalesce(sum(CASE WHEN is_system THEN tokens END) OVER (PARTITION BY conv_id), 0) AS system_tokens,
          coalesce(sum(CASE WHEN is_system THEN chars END) OVER (PARTITION BY conv_id), 0) AS system_chars FROM counted
-), placed AS (
-  SELECT *, (so_far - 1) // greatest(1, (1024 - 128 - system_tokens) // 2) AS place FROM summed WHERE NOT is_system
-), bounded AS (
-  SELECT *, max(so_far) OVER (PARTITION BY conv_id, place) AS stop, row_number() OVER (PARTITION BY conv_id, place ORDER BY no) AS first FROM placed
+), roomy AS (
+  SELECT *, so_far - tokens AS before, least(128, greatest(0, 1024 - system_tokens - tokens)) AS history FROM summed WHERE NOT is_system
+), limited AS (
+  SELECT t.conv_id, t.no, t.before, t.so_far, t.history, t.chars, t.system_chars,
+         t.before + greatest(t.tokens, 1024 - t.system_tokens - (t.before - (SELECT min(e.before) FROM roomy e WHERE e.conv_id = t.conv_id AND e.before <= t.before AND e.before >= t.before - t.history))) AS lim
+  FROM roomy t
+), walk(conv_id, no, start, lim) AS (
+  SELECT conv_id, no, before, lim FROM limited WHERE before = 0
+  UNION ALL
+  SELECT l.conv_id, l.no, CASE WHEN l.so_far <= w.lim THEN w.start ELSE l.before END, CASE WHEN l.so_far <= w.lim THEN w.lim ELSE l.lim END
+  FROM walk w JOIN limited l ON l.conv_id = w.conv_id AND l.no = w.no + 1
+), opened AS (
+  SELECT DISTINCT l.conv_id, l.before, l.history, l.system_chars FROM walk w JOIN limited l ON l.conv_id = w.conv_id AND l.before = w.start
 ), written AS (
-  SELECT conv_id, sum(chars + CASE WHEN stop - (so_far - tokens) <= 128 AND stop < total THEN chars ELSE 0 END
-                      + CASE WHEN first = 1 THEN system_chars ELSE 0 END) AS chars FROM bounded GROUP BY conv_id
+  SELECT conv_id, sum(chars) AS chars FROM (
+    SELECT conv_id, chars FROM limited
+    UNION ALL SELECT conv_id, system_chars FROM opened
+    UNION ALL SELECT o.conv_id, l.chars FROM opened o JOIN limited l ON l.conv_id = o.conv_id AND l.before < o.before AND l.before >= o.before - o.history
+  ) GROUP BY conv_id
   UNION ALL SELECT conv_id, sum(system_chars) FROM summed GROUP BY conv_id HAVING count(*) = 1 AND bool_and(is_system)
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
