@@ -327,6 +327,45 @@ def test_quality_scores(spark):
     assert again == {(r.doc_id, r.score) for r in made}
 
 
+def plain_quality(texts, labels, settings):
+    """Scores by the formulas of the discriminant, from counts in plain Python."""
+
+    def statistics(text):
+        n, chars, symbols, dup, repeated, lines = plain_counts(text)
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        stutter = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        return [
+            np.log((chars + 250) / (n + 50)), min(np.sqrt(symbols / (n + 50)), 3), np.sqrt(dup / (lines + 5)), np.sqrt(repeated / (n + 50)),
+            np.sqrt(stutter / (n + 20)), np.log1p(n) / 4,
+        ]
+
+    x = {i: np.array(statistics(t)) for i, t in texts.items()}
+    known = {i: k for i, k in labels.items() if i in x and zlib.crc32(str(i).encode()) % settings.folds}
+    groups = {k: np.array([x[i] for i in known if known[i] == k]) for k in (0, 1)}
+    covs = {k: np.cov(g.T, bias=True) for k, g in groups.items()}
+    pooled = sum(covs[k] * len(groups[k]) for k in (0, 1)) / len(known)
+
+    def density(row, k):
+        cov = (1 - settings.pooled) * covs[k] + settings.pooled * pooled
+        size = len(cov)
+        cov = (1 - settings.sphere) * cov + settings.sphere * np.trace(cov) / size * np.eye(size) + settings.floor * np.eye(size)
+        off = row - groups[k].mean(axis=0)
+        return np.log(len(groups[k]) / len(known)) - np.linalg.slogdet(cov)[1] / 2 - off @ np.linalg.solve(cov, off) / 2
+
+    return {i: 1 / (1 + np.exp(-np.clip(density(row, 1) - density(row, 0), -30, 30))) for i, row in x.items()}
+
+
+def test_quality_scores_by_brute_force(spark):
+    rows = quality_docs(150)
+    texts = {r[0]: r[1] for r in rows} | {900: None, 901: "", 902: "a a a b\nb b\n\nb b", 903: "# $ % word\n" * 400}
+    labels = {r[0]: r[4] for r in rows} | {902: 0}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    marks = spark.createDataFrame(list(labels.items()), "doc_id bigint, quality int")
+    expected = plain_quality(texts, labels, quality_qda.Settings())
+    for r in quality_qda.scored(df, marks).collect():
+        assert r.score == pytest.approx(expected[r.doc_id], rel=1e-6, abs=1e-12), r.doc_id
+
+
 def test_quality_without_labels(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
