@@ -414,6 +414,32 @@ def test_given_names_stay_distinct_and_keep_their_person(spark):
     assert made[n] == made[2] and made[n + 1] == made[n + 2] and made[n + 4] == made[n + 3].upper() and made[n + 3].endswith("a")
 
 
+def test_surrogates_keep_their_kind():
+    import ipaddress
+
+    for kind, texts in {"is_private": ["10.0.0.1", "172.16.5.4", "192.168.0.9"], "is_link_local": ["169.254.3.3", "fe80::1"], "is_multicast": ["ff02::1"], "is_global": ["8.8.8.8", "2001:4860::8"]}.items():
+        for text in texts:
+            made = (pii._ip6 if ":" in text else pii._ip4)(KEY, text)
+            assert made != text and getattr(ipaddress.ip_address(made), kind) or kind == "is_global", (text, made)
+    assert ipaddress.ip_address(pii._ip6(KEY, "fd12::7")).is_private
+    private = {pii._ip4(KEY, f"192.168.{i // 256}.{i % 256}") for i in range(2000)}
+    assert len(private) == 2000 and all(a.startswith("192.168.") for a in private)
+    valid = ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "FR1420041010050500013M02606"]
+    for text in valid:
+        made = pii._iban(KEY, text)
+        assert made != text and made[:2] == text[:2] and pii._iban_rest(made.replace(" ", "")) == 1
+        assert [c == " " for c in made] == [c == " " for c in text]
+        wrong = text[:3] + str((int(text[3]) + 1) % 10) + text[4:]
+        assert pii._iban_rest(pii._iban(KEY, wrong).replace(" ", "")) != 1
+    one, other = pii._email(KEY, "John.Smith@Example.com"), pii._email(KEY, "john.smith@example.com")
+    assert one != other and one.lower() == other and one[0].isupper()
+    assert pii._split("Smith's") == ("Smith", "'s") and pii._split("O'") == ("O", "'") and pii._split("a's'-") == ("a", "'s'-")
+    text = "Ms. Šimková and Dr Łoś's " + "'" * 200_000
+    names = pii.Names(KEY)
+    made, n = pii.replaced(text, KEY, names)
+    assert n == 2 and "Šimková" not in made and "Łoś" not in made
+
+
 def test_every_form_and_mention_gets_a_surrogate(spark):
     texts = [
         "Mr John Smith came. Smith said that SMITH and Smith's dog, and John, left.", "John Smith wrote; later Smith left. The end", "Dr Smith’s car", "Mr J. Smith and Mary A. Smith",

@@ -59,7 +59,8 @@ SIGNS = {"latin": ALPHABETS[1] + "'-", "cyrillic": ALPHABETS[5] + "'-"}
 FURTHER = {"latin": ALPHABETS[3], "cyrillic": "ёіїєґўјљњћђџ"}
 _CLASS = {letter: letters for letters in ALPHABETS for letter in letters}
 
-_UPPER = "A-ZÀ-ÖØ-ÞА-Я"
+# Large letters of the extended Latin and Cyrillic blocks stand one by one between the small ones.
+_UPPER = "A-ZÀ-ÖØ-ÞА-Я" + "".join(c for c in map(chr, (*range(0x100, 0x250), *range(0x400, 0x410), *range(0x460, 0x530))) if c.isupper())
 LOCAL = re.compile(r"[\w.+%-]{0,63}[\w+%-]$")  # 64 characters at most, as addresses allow
 EMAIL = re.compile(r"([\w.+%-]{0,63}[\w+%-])@(?:[\w-]+\.)+[\w-]*\w")
 IP6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{3,39}(?<!\w:)(?![\w:]|\.\d)")
@@ -75,7 +76,6 @@ _INITIALS = rf"(?:[{_UPPER}]\. ?)*"
 PERSON = re.compile(rf"(?<!\w)({'|'.join(_ALL_TITLES)})(\.? {_INITIALS})({_NAME})(?:( {_INITIALS})({_NAME}))?")
 WORD = re.compile(rf"(?<![\w'’\-])({_NAME})")
 UNTITLED = re.compile(rf"(?<![\w'’\-])({_NAME})(?=( {_INITIALS})({_NAME}))")
-_TAIL = re.compile(r"(?:['’][sS])?['’\-]*$")
 # Words that are no names where they follow or stand alone, though written large.
 NO_NAMES = frozenset(
     "a an and are as at but by can could did do does for from had has have he her here his how i if in is it its my no not of on or our she so that the their "
@@ -88,10 +88,10 @@ _DIGIT = re.compile(r"\d")
 @dataclass(frozen=True)
 class Settings:
     """The secret key, and how many variants of a surname's surrogate are tried where they are
-    surnames of the corpus themselves."""
+    surnames of the corpus themselves (None: until none is)."""
 
     key: bytes = b"change-this-key-for-every-release"
-    tries: int = 20
+    tries: int | None = None
 
 
 @dataclass(frozen=True)
@@ -168,16 +168,42 @@ def _walk(key: bytes, kind: str, text: str, good: Callable[[str], bool]) -> str:
 
 
 def _email(key: bytes, found: str) -> str:
+    """Addresses that differ in large and small letters alone get surrogates that do, too."""
     local, _, domain = found.rpartition("@")
     label = "".join(chr(97 + _digest(key, "domain", domain.lower(), i) % 26) for i in range(14))
-    return f"{same_form(key, 'local', local)}@{label}.example"
+    folds = [c != c.lower() and c.lower().upper() == c and len(c.lower()) == 1 for c in local]
+    made = same_form(key, "local", "".join(c.lower() if fold else c for c, fold in zip(local, folds, strict=True)))
+    made = "".join(m.upper() if fold and len(m.upper()) == 1 else m for m, fold in zip(made, folds, strict=True))
+    return f"{made}@{label}.example"
+
+
+#: Fixed values: (prefix, its bits) of IPv6 addresses that are link-local, private and multicast, and of IPv4 addresses
+#: that are private or link-local.
+_IP6_RANGES = ((0x3FA, 10), (0x7E, 7), (0xFF, 8))
+_IP4_RANGES = ((10, 8), (0xAC1, 12), (0xC0A8, 16), (0xA9FE, 16))
+
+
+def _range_of(value: int, width: int, ranges: tuple) -> tuple[int, int] | None:
+    return next((r for r in ranges if value >> (width - r[1]) == r[0]), None)
+
+
+def _in_range(key: bytes, kind: str, value: int, width: int, prefix: tuple[int, int]) -> int:
+    """Another address of the same range; a bijection of the range."""
+    size = 1 << (width - prefix[1])
+    return prefix[0] * size + permuted(key, f"{kind} {prefix[0]}", value % size, size)
 
 
 def _ip6(key: bytes, found: str) -> str:
-    """The address with its first three bits, which tell global ones from others, written in full."""
+    """An address of the same kind, or else of the same first three bits, which tell global ones, written in full."""
     value = int(ipaddress.IPv6Address(found))
-    rest = permuted(key, "ip6", value & ((1 << 125) - 1), 1 << 125)
-    made = ipaddress.IPv6Address(value >> 125 << 125 | rest).exploded
+    prefix = _range_of(value, 128, _IP6_RANGES)
+    if prefix:
+        value = _in_range(key, "ip6", value, 128, prefix)
+    else:
+        value = value >> 125 << 125 | permuted(key, "ip6", value & ((1 << 125) - 1), 1 << 125)
+        while _range_of(value, 128, _IP6_RANGES):
+            value = value >> 125 << 125 | permuted(key, "ip6", value & ((1 << 125) - 1), 1 << 125)
+    made = ipaddress.IPv6Address(value).exploded
     return made.upper() if found.upper() == found else made
 
 
@@ -192,11 +218,15 @@ def _ip4(key: bytes, found: str) -> str:
     value = 0
     for octet in found.split("."):
         value = value * 256 + int(octet)
+    # private addresses stay in their range, usual ones usual
     usual = lambda v: 1 <= v >> 24 <= 223 and v >> 24 != 127
-    was = usual(value)
-    value = permuted(key, "ip4", value, 1 << 32)
-    while usual(value) != was:
+    prefix, was = _range_of(value, 32, _IP4_RANGES), usual(value)
+    if prefix:
+        value = _in_range(key, "ip4", value, 32, prefix)
+    else:
         value = permuted(key, "ip4", value, 1 << 32)
+        while usual(value) != was or _range_of(value, 32, _IP4_RANGES):
+            value = permuted(key, "ip4", value, 1 << 32)
     return ".".join(str(value >> shift & 255) for shift in (24, 16, 8, 0))
 
 
@@ -217,8 +247,19 @@ def _social(key: bytes, found: str) -> str:
 
 
 def _iban(key: bytes, found: str) -> str:
+    """Valid numbers get valid ones, of the same country and form, and others others."""
     plain = found.replace(" ", "")
-    return _refill(found, plain[:2] + same_form(key, "iban", plain[2:]))
+    if _iban_rest(plain) == 1:
+        body = same_form(key, "iban", plain[4:])
+        made = f"{plain[:2]}{98 - _iban_rest(plain[:2] + '00' + body):02d}{body}"
+    else:
+        made = plain[:2] + _walk(key, "iban", plain[2:], lambda rest: _iban_rest(plain[:2] + rest) != 1)
+    return _refill(found, made)
+
+
+def _iban_rest(plain: str) -> int:
+    """What the check digits are for: 1 for a valid number."""
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
 
 
 def _script(name: str) -> str:
@@ -227,7 +268,9 @@ def _script(name: str) -> str:
 
 def _split(name: str) -> tuple[str, str]:
     """The name, and the possessive or the marks at its end."""
-    at = _TAIL.search(name).start()
+    at = len(name.rstrip("'’-"))
+    if at > 1 and name[at - 1] in "sS" and name[at - 2] in "'’":
+        at -= 2
     return name[:at], name[at:]
 
 
@@ -446,8 +489,8 @@ def name_key(docs: DataFrame, settings: Settings) -> Names:
     given = persons.filter("role = 'given'").groupBy("name").agg(F.array_sort(F.collect_set("gender")).alias("all"))
     genders = {r.name: r.all[0] for r in given.filter("size(all) = 2 AND array_contains(all, 'n')").select("name", F.array_remove("all", "n").alias("all")).collect()}
     names = persons.filter("role = 'surname'").select("name")
-    left, variants = names, {}
-    for variant in range(settings.tries):
+    left, variants, variant = names, {}, 0
+    while settings.tries is None or variant < settings.tries:
         made = _with_variant(left, key, variant)
         met = made.join(names.select(F.col("name").alias("made")), "made", "left_semi").select("name")
         left = scratch.settle(met, "met")
@@ -455,7 +498,8 @@ def name_key(docs: DataFrame, settings: Settings) -> Names:
         if not again:
             scratch.drop_all_but()
             return Names(key, variants, genders)
-        variants |= dict.fromkeys(again, variant + 1)
+        variant += 1
+        variants |= dict.fromkeys(again, variant)
     raise ValueError("surnames of the corpus are surrogates of one another in every variant tried")
 
 
