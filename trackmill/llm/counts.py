@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from trackmill.llm.spans import INVERSE, SPACED, Words, mix, powers
+from trackmill.llm.spans import INVERSE, PIECE, SPACED, Words, mix, span_hashes
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 WINDOW = 8
@@ -12,9 +12,16 @@ NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def totals(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Sums of the flags between neighbouring edges."""
-    sums = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
-    return np.diff(sums[edges])
+    """Sums of the flags between neighbouring edges, which ascend. Running sums are held by the piece."""
+    at = np.zeros(len(edges), np.int64)
+    before = 0
+    for lo in range(0, len(flags), PIECE):
+        sums = np.concatenate(([0], np.cumsum(flags[lo : lo + PIECE], dtype=np.int64))) + before
+        own = slice(np.searchsorted(edges, lo, "left"), np.searchsorted(edges, lo + PIECE, "left"))
+        at[own] = sums[edges[own] - lo]
+        before = sums[-1]
+    at[np.searchsorted(edges, len(flags), "left") :] = before
+    return np.diff(at)
 
 
 def repeated(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,7 +45,8 @@ def count(texts: list[bytes]) -> dict[str, np.ndarray]:
     words = Words(texts, SPACED, lower=False)
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     inside = SPACED[joined]
-    starts_char = (joined & 0xC0) != 0x80
+    # In signed bytes the later ones of a character are those below -64.
+    starts_char = joined.view(np.int8) >= -64
     found = {
         "n_words": np.diff(words.bounds),
         "word_chars": totals(inside & starts_char, words.offsets),
@@ -49,10 +57,8 @@ def count(texts: list[bytes]) -> dict[str, np.ndarray]:
     begins = np.concatenate(([0], ends[:-1] + 1))
     filled = totals(inside, np.concatenate((begins, [len(joined)]))) > 0
     begins, ends = begins[filled], ends[filled]
-    up, down = powers(len(joined))
-    sums = np.zeros(len(joined) + 1, np.uint64)
-    np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    lines = mix((sums[ends] - sums[begins]) * down[begins])
+    lines = span_hashes(joined, begins, ends)
+    del inside, starts_char, joined
     owner = np.searchsorted(words.offsets, begins, "right") - 1
     _, again = repeated(lines, owner)
     found["n_lines"] = np.bincount(owner, minlength=len(texts))

@@ -23,18 +23,40 @@ LETTERS = (_codes >= 0x80) | ((_codes >= 0x30) & (_codes <= 0x39)) | ((_codes >=
 #: A-Z to a-z, all else unchanged.
 LOWER = np.where((_codes >= 0x41) & (_codes <= 0x5A), _codes + 32, _codes).astype(np.uint8)
 
-_powers = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+#: Bytes whose sums and powers are held at a time.
+PIECE = 1 << 18
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse; kept for the next call."""
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for i, factor in enumerate((BASE, INVERSE)):
-            grown = np.full(size, factor, np.uint64)
-            grown[0] = 1
-            _powers[i] = np.multiply.accumulate(grown)
-    return _powers[0][:n], _powers[1][:n]
+def _powers(factor: np.uint64, n: int) -> np.ndarray:
+    grown = np.full(n, factor, np.uint64)
+    grown[0] = 1
+    return np.multiply.accumulate(grown)
+
+
+POWERS, INVERSE_POWERS = _powers(BASE, PIECE), _powers(INVERSE, PIECE)
+
+
+def span_hashes(joined: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span, of ascending spans that don't overlap; none is empty.
+
+    The sum of byte + 1 times a power of BASE that counts from the span's start. Sums are taken
+    in pieces of PIECE bytes; a span over several pieces is the sum of its parts, each
+    times the power for its distance from the start. So memory beyond the spans is fixed.
+    """
+    out = np.zeros(len(first), np.uint64)
+    sums = np.zeros(PIECE + 1, np.uint64)
+    for lo in range(0, len(joined), PIECE):
+        piece = joined[lo : lo + PIECE].astype(np.uint64)
+        piece += np.uint64(1)
+        piece *= POWERS[: len(piece)]
+        np.cumsum(piece, out=sums[1 : len(piece) + 1])
+        own = slice(np.searchsorted(last, lo, "right"), np.searchsorted(first, lo + len(piece), "left"))
+        start = np.maximum(first[own] - lo, 0)
+        part = (sums[np.minimum(last[own] - lo, len(piece))] - sums[start]) * INVERSE_POWERS[start]
+        if len(part) and first[own.start] < lo:
+            part[:1] *= np.uint64(pow(int(BASE), int(lo - first[own.start]), 2**64))
+        out[own] += part
+    return mix(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,15 +92,14 @@ class Words:
             joined = LOWER[joined]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
-        inside = np.zeros(len(joined) + 1, np.int8)
+        # A separator stands behind every text, so each word ends before the bytes do.
+        inside = np.zeros(len(joined) + 1, bool)
         inside[1:] = table[joined]
-        change = np.diff(inside)
-        self.first, self.last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        self.first = np.flatnonzero(inside[1:] & ~inside[:-1])
+        self.last = np.flatnonzero(inside[:-1] & ~inside[1:])
+        del inside
         self.bounds = np.searchsorted(self.first, self.offsets)
-        up, down = powers(len(joined))
-        sums = np.zeros(len(joined) + 1, np.uint64)
-        np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-        self.hash = mix((sums[self.last] - sums[self.first]) * down[self.first])
+        self.hash = span_hashes(joined, self.first, self.last)
 
     def __len__(self) -> int:
         return len(self.first)
