@@ -4,10 +4,13 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from trackmill.llm import near_dedup
+from trackmill.llm.components import follow
 from trackmill.llm.near_dedup import Settings
+from trackmill.llm.work import Scratch
 
 SCHEMA = "doc_id bigint, text string, cls string, digest string, key int"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -121,3 +124,59 @@ def test_every_near_signature_shares_a_key():
 def test_chunks_too_short():
     with pytest.raises(ValueError):
         Settings(positions=8, chunks=8, distance=8).left_out()
+
+
+def chains(rng, lengths, settings):
+    """Signatures of chains in which only neighbours are near."""
+    signs = []
+    for length in lengths:
+        sign = np.array([rng.randrange(1 << 16) for _ in range(settings.positions)], np.uint16)
+        for i in range(length):
+            signs.append(sign.copy())
+            sign[np.arange(20 * i, 20 * i + 20) % settings.positions] = [rng.randrange(1 << 16) for _ in range(20)]
+    rng.shuffle(signs)
+    return signs
+
+
+@pytest.mark.parametrize("full", [3, 7, 1000])
+def test_chains_that_pivots_do_not_connect(spark, full):
+    """Two groups, with chains, lone rows and a tight cluster: the components are those of all pairs."""
+    settings, rng = Settings(), random.Random(full)
+    signs = chains(rng, [25, 12, 1, 1, 1, 2], settings)
+    tight = signs[0]
+    for _ in range(20):
+        near = tight.copy()
+        near[rng.randrange(settings.positions)] ^= 1
+        signs.append(near)
+    groups = {1: range(len(signs)), 2: [i for i in range(len(signs)) if i % 3 == 0]}
+    rows = [(g, len(own), 1, i, bytearray(signs[i].tobytes())) for g, own in groups.items() for i in own]
+    df = spark.createDataFrame(rows, "grp bigint, total bigint, size int, cls bigint, signature binary")
+    links, steps = near_dedup.connected(Scratch(spark, "test"), df, full, near_dedup.near_signatures(settings))
+    comps = spark.createDataFrame([(i, i) for i in range(len(signs))], "cls bigint, comp bigint")
+    for step in steps:
+        comps = follow(comps, step, "comp")
+    least = list(range(len(signs)))
+    for _ in signs:
+        for i, j in combinations(range(len(signs)), 2):
+            if (signs[i] != signs[j]).sum() <= settings.distance:
+                least[i] = least[j] = min(least[i], least[j])
+    assert sorted(map(tuple, comps.collect())) == list(enumerate(least))
+    found = [tuple(r) for r in links.collect()]
+    assert all((signs[a] != signs[b]).sum() <= settings.distance for a, b in found)
+
+
+def test_a_tight_group_is_not_compared_by_pairs_of_blocks(spark, monkeypatch):
+    """What pivots connect is compared once, in its block, whatever the number of blocks."""
+    settings, rng, dealt = Settings(), random.Random(3), []
+    base = chains(rng, [1], settings)[0]
+    rows = []
+    for i in range(200):
+        near = base.copy()
+        near[i % settings.positions] ^= 1 + i
+        rows.append((1, 200, 1, i, bytearray(near.tobytes())))
+    df = spark.createDataFrame(rows, "grp bigint, total bigint, size int, cls bigint, signature binary")
+    plain = near_dedup._links
+    monkeypatch.setattr(near_dedup, "_links", lambda rows, make: dealt.append(rows.count()) or plain(rows, make))
+    links, _ = near_dedup.connected(Scratch(spark, "test"), df, 10, near_dedup.near_signatures(settings))
+    assert len(dealt) == 1 and dealt[0] <= 200 + 20 * near_dedup.PIVOTS
+    assert links.count() >= 199

@@ -137,65 +137,111 @@ def chunk_keys(classes: DataFrame, settings: Settings) -> DataFrame:
     return map_batches(classes.select("cls", "signature"), make, schema)
 
 
+#: Rows of a group that each of its blocks is compared with first.
+PIVOTS = 3
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _in_blocks(rows: DataFrame, n_blocks: Column) -> DataFrame:
-    """Each row once for every pair (i, j) of blocks that its own block is part of.
+_FIXED = ("grp", "total", "size", "cls")
 
-    A group of one block has the pair (0, 0) only. So all pairs of rows meet, and no task
-    holds more than two blocks.
+
+def _links(rows: DataFrame, make) -> DataFrame:
+    return map_groups(rows, ["grp", "i", "j"], make, _LINK).distinct()
+
+
+def connected(scratch: Scratch, rows: DataFrame, full: int, make) -> tuple[DataFrame, list[DataFrame]]:
+    """Links (a, b) that connect, within each group, all that the links of its pairs connect, and the
+    tables (node, up) that lead to the components of all groups together.
+
+    `rows` are (grp, total, size, cls) and what `make` compares: sizes of rows, and their total
+    for the group. Groups beyond `full` are dealt to blocks. First each block is compared in
+    itself, together with PIVOTS rows of the group that every block gets; this mostly connects
+    a group of similar rows, in work that grows with the group. Then the components are known,
+    and pairs inside one need no comparing: of every group, the rows outside its largest
+    component are compared with all its rows, by pairs of blocks. So every pair of a group has
+    been compared or is connected, no task holds more than two blocks, and no pairs are emitted.
     """
-    rows = rows.withColumn("n_blocks", F.greatest(F.lit(1), n_blocks).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "n_blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
-    rows = rows.select("*", other)
-    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("n_blocks", "other")
+    compared = [c for c in rows.columns if c not in _FIXED]
+    rows = rows.withColumn("n_blocks", F.ceil(F.col("total") / full).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), "n_blocks").cast("int"))
+    large = rows.filter("n_blocks > 1")
+    split = not large.isEmpty()
+    dealt = rows.withColumn("i", F.col("own"))
+    if split:
+        drawn = F.array_distinct(F.array(*[F.min_by("cls", F.xxhash64("cls", F.lit(p))) for p in range(PIVOTS)]))
+        pivots = large.groupBy("grp").agg(drawn.alias("drawn")).select("grp", F.explode("drawn").alias("cls"))
+        everywhere = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("i")
+        dealt = dealt.unionByName(large.join(pivots, ["grp", "cls"]).select("*", everywhere).filter("i != own"))
+    first = dealt.select("grp", "i", F.col("i").alias("j"), F.lit(0).alias("block"), "cls", F.col("cls").alias("comp"), *compared)
+    links = scratch.settle(_links(first, make), "linked")
+    steps = components(scratch, links)
+    if not split:
+        return links, steps
+
+    labels = large.select("cls").distinct().withColumn("comp", F.col("cls"))
+    for step in steps:
+        labels = follow(labels, step, "comp")
+    labels = scratch.settle(labels, "labels")
+    parts = large.select("grp", "cls", "size").join(labels, "cls").groupBy("grp", "comp").agg(F.sum("size").alias("part"))
+    mains = parts.groupBy("grp").agg(F.max(F.struct("part", "comp")).alias("main"), F.sum("part").alias("whole"))
+    mains = mains.select("grp", F.col("main.comp").alias("main"), F.col("main.part").alias("most"), (F.col("whole") - F.col("main.part")).alias("rest"))
+    mains = scratch.settle(mains.filter("rest > 0"), "mains")
+    if mains.isEmpty():
+        return links, steps
+
+    blocks = lambda size: F.ceil(F.col(size) / full).cast("int")
+    second = large.join(mains, "grp").join(labels, "cls").withColumns({"n_rest": blocks("rest"), "n_main": blocks("most"), "hash": F.xxhash64("cls")})
+    inside = F.col("comp") == F.col("main")
+    block = F.when(inside, F.col("n_rest") + F.pmod("hash", "n_main")).otherwise(F.pmod("hash", "n_rest")).cast("int")
+    others = F.sequence(F.lit(0), F.when(inside, F.col("n_rest")).otherwise(F.col("n_rest") + F.col("n_main")) - 1)
+    second = second.withColumn("block", block).select("*", F.explode(others).alias("other"))
+    second = second.select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp", *compared)
+    more = scratch.settle(_links(second, make), "linked")
+    between = more
+    for step in steps:
+        between = follow(follow(between, step, "a"), step, "b")
+    return links.unionByName(more), steps + components(scratch, between)
 
 
 class _Forest:
-    """Union-find over the rows of one group."""
+    """Union-find over the rows of one group, from the components that they are in."""
 
-    def __init__(self, n: int):
-        self.root = np.arange(n)
+    def __init__(self, comp: np.ndarray):
+        self.root = np.unique(comp, return_inverse=True)[1]
 
     def join(self, a: int, b: int) -> None:
         low, high = sorted((self.root[a], self.root[b]))
         self.root[self.root == high] = low
 
 
-def near_forest(members: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) of near signatures that connect, within each key, all that near ones connect.
-
-    `members` are rows (key, n, cls, signature), n being the members of the key. A key of n
-    members gives less than n links for each pair of blocks, however many pairs are near.
-    """
+def near_signatures(settings: Settings):
+    """Of groups of rows with signatures: links of near ones that connect all that near ones connect."""
 
     def make():
         unit = f"<u{settings.bits // 8}"
 
         def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
             signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), unit).reshape(-1, settings.positions)
-            names, block = table.column("cls").to_numpy(), table.column("block").to_numpy()
+            names, block, comp = (table.column(c).to_numpy() for c in ("cls", "block", "comp"))
             sizes = np.diff(edges)
             pairs = edges[:-1][sizes == 2]
             near = pairs[(signs[pairs] != signs[pairs + 1]).sum(axis=1) <= settings.distance]
             left, right = [names[near]], [names[near + 1]]
             for start, size in zip(edges[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 rows = slice(start, start + size)
-                for a, b in _spanning(signs[rows], block[rows], settings.distance):
+                for a, b in _spanning(signs[rows], block[rows], comp[rows], settings.distance):
                     left.append(names[start + a : start + a + 1])
                     right.append(names[start + b : start + b + 1])
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
 
         return work
 
-    return map_groups(_in_blocks(members, F.ceil(F.col("n") / settings.block)), ["key", "i", "j"], make, _LINK)
+    return make
 
 
-def _spanning(signs: np.ndarray, block: np.ndarray, distance: int) -> list[tuple[int, int]]:
+def _spanning(signs: np.ndarray, block: np.ndarray, comp: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """A forest over the rows whose signatures are near, between the two blocks if there are two."""
-    forest, found, two = _Forest(len(signs)), [], block.min() != block.max()
+    forest, found, two = _Forest(comp), [], block.min() != block.max()
     for a in range(len(signs) - 1):
         later = np.flatnonzero(forest.root[a + 1 :] != forest.root[a]) + a + 1
         if two:
@@ -209,38 +255,37 @@ def _spanning(signs: np.ndarray, block: np.ndarray, distance: int) -> list[tuple
     return found
 
 
-def link_forest(clustered: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) of sets that share enough, connecting within each cluster all that such links connect.
+def linked_texts(settings: Settings):
+    """Of groups of rows with texts: links of sets that share enough, which connect all that such links connect.
 
-    `clustered` are rows (cluster, n, n_bytes, cls, text). Every pair of a cluster is compared
-    on full sets, unless links found before connect it already.
+    Every pair is compared on full sets, unless links found before connect it already.
     """
 
     def make():
         def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
-            texts, names = utf8(table.column("text")), table.column("cls").to_numpy()
-            block, links = table.column("block").to_numpy(), []
+            texts = utf8(table.column("text"))
+            names, block, comp = (table.column(c).to_numpy() for c in ("cls", "block", "comp"))
+            links = []
             for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if stop - start > 1:
-                    for a, b in _linked(texts[start:stop], block[start:stop], settings):
+                    for a, b in _linked(texts[start:stop], block[start:stop], comp[start:stop], settings):
                         links.append((names[start + a], names[start + b]))
             left, right = zip(*links, strict=True) if links else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
         return work
 
-    blocks = F.greatest(F.ceil(F.col("n") / settings.block), F.ceil(F.col("n_bytes") / settings.block_bytes))
-    return map_groups(_in_blocks(clustered, blocks), ["cluster", "i", "j"], make, _LINK)
+    return make
 
 
-def _linked(texts: list[bytes], block: np.ndarray, settings: Settings) -> list[tuple[int, int]]:
+def _linked(texts: list[bytes], block: np.ndarray, comp: np.ndarray, settings: Settings) -> list[tuple[int, int]]:
     parts = [shingle_sets(part, settings.words) for part in chunks(texts)]
     values = np.concatenate([v for v, _ in parts])
     sizes = np.concatenate([np.diff(b) for _, b in parts])
     kinds, place = np.unique(values, return_inverse=True)
     starts = np.concatenate(([0], np.cumsum(sizes)))
     marked = np.zeros(len(kinds), np.int64)
-    forest, found, two = _Forest(len(texts)), [], block.min() != block.max()
+    forest, found, two = _Forest(comp), [], block.min() != block.max()
     for a in range(len(texts) - 1):
         open_ = (forest.root[a + 1 :] != forest.root[a]) & (100 * np.minimum(sizes[a], sizes[a + 1 :]) >= settings.percent * np.maximum(sizes[a], sizes[a + 1 :]))
         if two:
@@ -273,8 +318,8 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     its rows. Other columns are not read. No documents give no rows.
 
     Documents of equal sets form one class, and all that follows is done on classes. No step
-    emits the pairs of a group: keys and clusters give a forest each, and groups too large
-    for a task are compared as pairs of blocks.
+    emits the pairs of a group: keys and clusters give a forest each. Groups too large for a
+    task are compared block by block, and only what pivots don't connect as pairs of blocks.
     """
     settings = settings or Settings()
     scratch = Scratch(docs.sparkSession, "near")
@@ -313,19 +358,20 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
 def _groups(docs: DataFrame, classes: DataFrame, scratch: Scratch, settings: Settings) -> list[DataFrame]:
     """Tables (node, up) that lead from each class to its component."""
     keys = chunk_keys(classes, settings)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = keys.groupBy("key").agg(F.count("*").alias("total")).filter("total > 1")
     members = scratch.settle(keys.join(shared, "key"), "members")
-    near = near_forest(members.join(classes.select("cls", "signature"), "cls"), settings)
-    near = scratch.settle(near.distinct(), "near")
+    members = members.select(F.col("key").alias("grp"), "total", F.lit(1).alias("size"), "cls")
+    near, steps = connected(scratch, members.join(classes.select("cls", "signature"), "cls"), settings.block, near_signatures(settings))
 
     nodes = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().withColumn("cluster", F.col("cls"))
-    for step in components(scratch, near):
+    for step in steps:
         nodes = follow(nodes, step, "cluster")
     wanted = nodes.join(classes.select("cls", "doc_id", "text_key"), "cls")
     texts = scratch.settle(_texts(docs, wanted), "texts")
-    sizes = texts.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("n_bytes"))
-    links = scratch.settle(link_forest(texts.join(sizes, "cluster"), settings), "links")
-    return components(scratch, links)
+    size = F.greatest(F.octet_length("text"), F.lit(settings.block_bytes // settings.block)).cast("long")
+    texts = texts.select(F.col("cluster").alias("grp"), "cls", size.alias("size"), "text")
+    totals = texts.groupBy("grp").agg(F.sum("size").alias("total"))
+    return connected(scratch, texts.join(totals, "grp"), settings.block_bytes, linked_texts(settings))[1]
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
