@@ -172,10 +172,10 @@ def _marked(docs: DataFrame, keep: list[str], lengths: list[int], bits, settings
     return map_batches(docs, make, schema)
 
 
-def _extended(met: DataFrame, id_field: T.StructField, settings: Settings) -> DataFrame:
-    """Rows (row_no, item_id, first, last) of shared runs that are as long as the item's windows."""
+def _extended(met: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (row_no, owners, first, last) of shared runs that are as long as the item's windows."""
     schema = T.StructType(
-        [T.StructField("row_no", T.LongType()), id_field, T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]
+        [T.StructField("row_no", T.LongType()), met.schema["owners"], T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]
     )
 
     def make():
@@ -203,7 +203,7 @@ def _extended(met: DataFrame, id_field: T.StructField, settings: Settings) -> Da
             hit = pa.array(whole & (before + gram + after >= length))
             columns = [
                 batch.column("row_no"),
-                batch.column("item_id"),
+                batch.column("owners"),
                 pa.array((at - before).astype(np.int32)),
                 pa.array((at + gram + after).astype(np.int32)),
             ]
@@ -222,8 +222,24 @@ def _union_size(spans: str) -> Column:
     )
 
 
-def _hits(docs: DataFrame, keep: list[str], items: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """(row_no, keep, n_words) of every row, and (row_no, n_hit, ids) of the rows with hits."""
+def _grouped(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints with equal surroundings once, and the items of each set of owners.
+
+    Rows (print, length, around, owners) and (owners, item_id): items that share a passage, such as
+    a fixed instruction, have one row for each place inside it, whose `owners` digests their ids; at
+    its ends, the words around a place differ, and items have rows of their own. No set is
+    gathered in a row; null ids belong to no set.
+    """
+    place, key = ["print", "length", "around"], F.col("item_id").cast("string")
+    owned = prints.select(*place, key.alias("item_id")).distinct()
+    digests = (F.bit_xor(F.xxhash64(F.lit(n), "item_id")) for n in range(2))
+    windows = owned.filter("item_id IS NOT NULL").groupBy(*place).agg(F.concat_ws(":", F.count("item_id"), *digests).alias("owners"))
+    places = prints.select(*place).distinct().join(windows, place, "left")
+    return places, owned.join(windows, place).select("owners", "item_id").distinct()
+
+
+def _hits(docs: DataFrame, keep: list[str], items: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(row_no, keep, n_words) of every row, (row_no, owners, first, last) of the hits, and (owners, item_id)."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "decontaminate")
     prints = scratch.settle(item_prints(items, settings), "prints")
     lengths = sorted(r.length for r in prints.select("length").distinct().collect())  # at most `window` numbers
@@ -231,12 +247,10 @@ def _hits(docs: DataFrame, keep: list[str], items: DataFrame, settings: Settings
     marked = _marked(docs, keep, lengths, bits, settings)
     marked = scratch.settle(marked.withColumn("row_no", F.monotonically_increasing_id()), "marked")
     found = marked.filter(F.size("found") > 0).select("row_no", F.explode("found").alias("f")).select("row_no", "f.*")
-    met = found.join(prints.withColumnRenamed("around", "item_around"), "print")
-    met = met.select("row_no", "at", "around", "item_id", "length", "item_around")
-    hits = _extended(met, items.schema["item_id"], settings).groupBy("row_no").agg(
-        F.collect_set(F.struct("first", "last")).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("ids")
-    )
-    return marked.drop("found"), hits.select("row_no", _union_size("spans").alias("n_hit"), F.array_sort("ids").alias("ids"))
+    windows, sets = _grouped(prints)
+    met = found.join(windows.withColumnRenamed("around", "item_around"), "print")
+    met = met.select("row_no", "at", "around", "owners", "length", "item_around")
+    return marked.drop("found"), _extended(met, settings), sets
 
 
 def contamination(docs: DataFrame, items: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -250,10 +264,13 @@ def contamination(docs: DataFrame, items: DataFrame, settings: Settings | None =
     without id mark words but aren't counted. Without items nothing is hit. Other columns
     are not read.
     """
-    rows, hits = _hits(docs.select("doc_id", "text"), ["doc_id"], items, settings or Settings())
+    rows, hits, sets = _hits(docs.select("doc_id", "text"), ["doc_id"], items, settings or Settings())
+    hits = Scratch(docs.sparkSession, "hits").settle(hits, "hits")
+    spans = hits.groupBy("row_no").agg(F.collect_set(F.struct("first", "last")).alias("spans")).select("row_no", _union_size("spans").alias("n_hit"))
+    found = hits.select("row_no", "owners").distinct().join(sets, "owners").groupBy("row_no").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return rows.join(hits, "row_no", "left").select(
+    return rows.join(spans, "row_no", "left").join(found, "row_no", "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -266,5 +283,5 @@ def contamination(docs: DataFrame, items: DataFrame, settings: Settings | None =
 def clean(docs: DataFrame, items: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The documents without any benchmark window, with all their columns, whatever these are called."""
     whole = docs.select(F.struct("*").alias("row"), "text")
-    rows, hits = _hits(whole, ["row"], items, settings or Settings())
+    rows, hits, _ = _hits(whole, ["row"], items, settings or Settings())
     return rows.join(hits.select("row_no"), "row_no", "left_anti").select("row.*")
