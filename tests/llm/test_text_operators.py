@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trackmill.llm import counts, decontaminate, outliers, pii, quality_qda, secrets
 from trackmill.llm.spans import LETTERS, Words
@@ -84,6 +85,23 @@ def test_contamination_of_nothing(spark):
     assert decontaminate.contamination(docs.limit(0), none).collect() == []
 
 
+def test_items_with_one_passage(spark):
+    passage = "read the text below and answer the question that follows it in one word " + " ".join(f"w{i}" for i in range(60))
+    items = [(i, f"{passage} number{i} asks what colour the house of number{i} has and why") for i in range(200)]
+    items += [(i + 500, passage) for i in range(50)] + [(None, passage)]
+    docs = [(1, f"so {passage} please"), (2, f"{passage} {passage}"), (3, items[7][1]), (4, "read the text below and answer"), (5, None), (1, f"so {passage} please")]
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    made = [tuple(r) for r in decontaminate.contamination(df, bench).collect()]
+    assert sorted(made) == sorted(plain_contamination(docs, items))
+    # inside the passage a place is one row, however many items have it; at its ends the words around it differ
+    prints = decontaminate.item_prints(bench, decontaminate.Settings())
+    places, sets = decontaminate._grouped(prints)
+    common = [r.print for r in prints.groupBy("print").count().filter("count >= 251").collect()]
+    once = [r for r in places.filter(F.col("print").isin(common)).groupBy("print").count().collect() if r["count"] == 1]
+    assert len(common) > 15 and len(once) >= len(common) - 6
+    assert places.select("owners").distinct().count() < 300 and sets.count() < 1000
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_shared_windows_share_a_print(seed):
     rng = random.Random(seed)
@@ -389,6 +407,25 @@ def test_surrogate_that_is_a_surname_gets_a_variant(spark):
     assert len(set(made)) == 3 and f"Mr {first}" not in made and made[2] == f"Mr {made[0][3:].upper()}"
 
 
+def test_names_come_with_their_texts(spark):
+    settings = pii.Settings(key=KEY)
+    first = pii._surname(pii.name_key(spark.createDataFrame([("Mr Adams",)], "text string"), settings), "Adams")
+    texts = ["Mr Adams", f"Mr {first}", "Dr Zelda Brown", "Frau Zelda Brown", "Dr Zelda Adams", None, "", "Mr Brown", "Mr Brown"]
+    names = pii.name_key(spark.createDataFrame([(t,) for t in texts], "text string"), settings)
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    made = {r.digest: (r.variant, r.gender) for r in names.by_text.collect()}
+    assert made == {
+        digest("Mr Adams"): ({"adams": 1}, {}),
+        digest("Dr Zelda Brown"): ({}, {"zelda": "f"}),
+        digest("Dr Zelda Adams"): ({"adams": 1}, {"zelda": "f"}),
+    }
+    # columns whose names the operator uses itself
+    df = spark.createDataFrame([(t, 1, 2, 3, 4) for t in texts], "text string, digest int, variant int, gender int, `row` int")
+    rows = pii.with_surrogates(df, settings).collect()
+    assert len(rows) == len(texts) and {tuple(r)[1:] for r in rows} == {(1, 2, 3, 4)}
+    assert rows[2].text[3:].split(" ")[0] == rows[3].text[5:].split(" ")[0] == rows[4].text[3:].split(" ")[0]
+
+
 @pytest.mark.parametrize(("share", "copies"), [(0.33, False), (0.33, True), (0.45, False)])
 def test_outliers_of_a_third_of_junk(spark, share, copies):
     rng = random.Random(6)

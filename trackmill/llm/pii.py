@@ -96,12 +96,14 @@ class Settings:
 
 @dataclass(frozen=True)
 class Names:
-    """The key for names, the variants of the few surnames whose surrogate is not their first, and
-    the genders of given names that come with a title of no gender and elsewhere with one."""
+    """The key for names, the variants of those surnames of a text whose surrogate is not their first, and
+    the genders of its given names that come with a title of no gender and elsewhere with one.
+    `by_text` is the table that the variants and genders of a text are taken from."""
 
     key: bytes
     variants: dict[str, int] = field(default_factory=dict)
     genders: dict[str, str] = field(default_factory=dict)
+    by_text: DataFrame | None = field(default=None, compare=False, repr=False)
 
 
 def _digest(key: bytes, *parts: object) -> int:
@@ -447,22 +449,22 @@ def replaced(text: str, key: bytes, names: Names) -> tuple[str, int]:
 
 
 def _persons(docs: DataFrame) -> DataFrame:
-    """The distinct (role, name, gender) of surnames and of given names outside the lists, as they are compared."""
-    columns = ["role", "name", "gender"]
+    """The (digest, role, name, gender) of each text's surnames and given names outside the lists, as they are compared."""
+    columns = ["digest", "role", "name", "gender"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
-            for text in batch.column("text").to_pylist():
+            for digest, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for gender, first, last in _people(text or ""):
-                    rows.add(("surname", _plain(last), None))
+                    rows.add((digest, "surname", _plain(last), None))
                     if first and not _listed(_split(first)[0]):
-                        rows.add(("given", _plain(first), gender))
-            arrays = [pa.array([r[i] for r in rows], pa.string()) for i in range(3)]
+                        rows.add((digest, "given", _plain(first), gender))
+            arrays = [pa.array([r[i] for r in rows], pa.string()) for i in range(4)]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return docs.select("text").mapInArrow(run, schema).distinct()
+    return docs.select(F.md5("text").alias("digest"), "text").mapInArrow(run, schema)
 
 
 def _with_variant(names: DataFrame, key: bytes, variant: int) -> DataFrame:
@@ -477,30 +479,37 @@ def _with_variant(names: DataFrame, key: bytes, variant: int) -> DataFrame:
 
 
 def name_key(docs: DataFrame, settings: Settings) -> Names:
-    """The key for names, and the variants of surnames whose first surrogate is a surname of the corpus.
+    """The key for names, and a table of the texts that need more than the key, by the digest of the text.
 
     Texts are scanned once. Surrogates never meet each other; the join finds those that are
-    surnames, and only these names go on to the next variant. They come to the driver: of
-    a million surnames a few dozen at most, as nearly all possible surrogates are nobody's name.
+    surnames, and only these names go on to the next variant. Nothing of this comes to the
+    driver: each text gets the variants and genders of its own names by joins.
     """
     key = hmac.digest(settings.key, b"names", hashlib.sha256)
     scratch = Scratch(docs.sparkSession, "names")
     persons = scratch.settle(_persons(docs), "persons")
-    given = persons.filter("role = 'given'").groupBy("name").agg(F.array_sort(F.collect_set("gender")).alias("all"))
-    genders = {r.name: r.all[0] for r in given.filter("size(all) = 2 AND array_contains(all, 'n')").select("name", F.array_remove("all", "n").alias("all")).collect()}
-    names = persons.filter("role = 'surname'").select("name")
-    left, variants, variant = names, {}, 0
-    while settings.tries is None or variant < settings.tries:
+    given = persons.filter("role = 'given'").groupBy("name").agg(F.collect_set("gender").alias("all"))
+    given = given.filter("size(all) > 1 AND array_contains(all, 'n')").select("name", F.array_remove("all", "n").alias("all"))
+    genders = given.filter("size(all) = 1").select("name", F.col("all")[0].alias("gender"))
+    names = scratch.settle(persons.filter("role = 'surname'").select("name").distinct(), "surnames")
+    left, variants, variant = names, names.select("name", F.lit(0).alias("variant")).limit(0), 0
+    while True:
+        if settings.tries is not None and variant >= settings.tries:
+            raise ValueError("surnames of the corpus are surrogates of one another in every variant tried")
         made = _with_variant(left, key, variant)
-        met = made.join(names.select(F.col("name").alias("made")), "made", "left_semi").select("name")
-        left = scratch.settle(met, "met")
-        again = [r.name for r in left.collect()]
-        if not again:
-            scratch.drop_all_but()
-            return Names(key, variants, genders)
+        left = scratch.settle(made.join(names.select(F.col("name").alias("made")), "made", "left_semi").select("name"), "met")
+        if left.isEmpty():
+            break
         variant += 1
-        variants |= dict.fromkeys(again, variant)
-    raise ValueError("surnames of the corpus are surrogates of one another in every variant tried")
+        variants = variants.unionByName(left.select("name", F.lit(variant).alias("variant")))
+    variants = variants.groupBy("name").agg(F.max("variant").alias("variant"))
+    special = persons.filter("role = 'surname'").join(variants, "name").select("digest", "name", "variant", F.lit(None).cast("string").alias("gender"))
+    neutral = persons.filter("role = 'given' AND gender = 'n'").drop("gender").join(genders, "name")
+    special = special.unionByName(neutral.select("digest", "name", F.lit(None).cast("int").alias("variant"), "gender"))
+    pairs = [F.map_from_entries(F.collect_set(F.when(F.col(c).isNotNull(), F.struct("name", c)))).alias(c) for c in ("variant", "gender")]
+    by_text = scratch.settle(special.groupBy("digest").agg(*pairs), "by-text")
+    scratch.drop_all_but(by_text)
+    return Names(key, by_text=by_text)
 
 
 def with_surrogates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -514,13 +523,19 @@ def with_surrogates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     """
     settings = settings or Settings()
     names = name_key(docs, settings)
-    columns = docs.columns
+    columns, key = docs.columns, names.key
+    rows = docs.select(F.struct("*").alias("row"), F.md5("text").alias("digest")).join(names.by_text, "digest", "left").drop("digest")
 
     def make():
+        def made(text: str | None, variant: list | None, gender: list | None) -> str | None:
+            return None if text is None else replaced(text, settings.key, Names(key, dict(variant or ()), dict(gender or ())))[0]
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [None if t is None else replaced(t, settings.key, names)[0] for t in batch.column("text").to_pylist()]
+            whole = batch.column("row").flatten()
+            needed = (whole[columns.index("text")], batch.column("variant"), batch.column("gender"))
+            texts = [made(*r) for r in zip(*(c.to_pylist() for c in needed), strict=True)]
             arrays = []
-            for name, column in zip(columns, batch.columns, strict=True):
+            for name, column in zip(columns, whole, strict=True):
                 if name == "text":
                     column = pa.array(texts, column.type)
                 elif name == "n_chars" and pa.types.is_integer(column.type):
@@ -530,4 +545,4 @@ def with_surrogates(docs: DataFrame, settings: Settings | None = None) -> DataFr
 
         return work
 
-    return map_batches(docs, make, docs.schema)
+    return map_batches(rows, make, docs.schema)
