@@ -5,7 +5,7 @@ from conftest import rows
 
 from trackmill.session import new_shared_dir, renewed_dir, shared_root
 from trackmill.schemas import EMPLOYEE_TABLE, SALES
-from trackmill.sinks.writers import as_messages, write_by_interval, write_csv, write_intervals, write_tsv
+from trackmill.sinks.writers import as_messages, write_by_interval, write_csv, write_intervals, write_plt_tracks, write_tsv
 from trackmill.sources.files import (
     frame_of,
     number_lines,
@@ -13,6 +13,7 @@ from trackmill.sources.files import (
     read_iris,
     read_lines,
     read_plt,
+    read_plt_tracks,
     read_sales,
     read_written_csv,
     read_written_tsv,
@@ -59,6 +60,29 @@ def test_plt_in_small_blocks(spark, tmp_path, small_blocks):
     assert read_plt(spark, str(tmp_path)).agg(F.count("*"), F.sum("day_serial")).first()[:] == (500, sum(range(500)))
 
 
+@pytest.mark.parametrize("block", [1 << 27, 300, 64])
+def test_many_tracks_share_files(spark, tmp_path, block):
+    """The number of files doesn't grow with that of tracks, and every point finds its track and its place in it."""
+    users = [f"u{i}" for i in range(60)] + [None, "", "a,b\n\\N", "\u2028%s"]
+    sent = [(u, f"2024-01-01 {i // 540:02}:{i // 9 % 60:02}:{i % 9 // 3:02}.{9 - i % 3}", i, i / 10, float(k)) for k, u in enumerate(users) for i in range(700 if u == "u7" else 5)]
+    points = spark.createDataFrame(sent, "name string, ts string, seq int, lat double, lon double")
+    points = points.withColumns({"ts": F.col("ts").cast("timestamp"), "altitude": F.lit(None).cast("double"), "day_serial": F.lit(1.5)})
+    write_plt_tracks(points, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").rglob("*.txt"))) <= 4
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = read_plt_tracks(spark, str(tmp_path / "out")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {r.altitude for r in found} == {-777.0} and len(found) == len(sent)
+    # in order of time, then of place, the points are where they were
+    want = sorted(((r[0] is not None, r[0] or "", r[1], r[2], r[3], r[4]) for r in sent))
+    got = sorted(found, key=lambda r: (r.traj_id is not None, r.traj_id or "", r.ts, r.seq))
+    assert [(r.traj_id, r.lat, r.lon) for r in got] == [(w[1] if w[0] else None, w[4], w[5]) for w in want]
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 5])
 def test_skip_lines(spark, tmp_path, small_blocks, n):
     want = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmill.functions.texts import NULL_MARK, coded
@@ -18,6 +18,10 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 BUCKET = "bucket"
+#: The six header lines of a track; the fifth one names it.
+PLT_HEADER = ("Track file", "WGS 84", "Altitude in feet", "Reserved", "0,2,255,%s,0,0,2,8421376", "0")
+#: A header's line with a name. It has a field more than a point.
+PLT_NAME_LINE = r"(?s)^0,2,255,(.*),0,0,2,8421376$"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -65,6 +69,28 @@ def write_by_interval(df: DataFrame, path: str, keys: list[str], mode: str = "er
     rows.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).options(**CSV_OPTIONS).csv(path)
 
 
+def write_plt_tracks(points: DataFrame, path: str, mode: str = "error") -> None:
+    """Tracks as PLT text, many in a file, each below six header lines of which the fifth names it.
+
+    Points carry ``name``, ``ts``, ``seq``, ``lat``, ``lon``, ``altitude`` and ``day_serial``. The number of
+    files follows from the rows, not from the tracks. Rows are cut into ranges of name and time, so a
+    long track goes on, below a header of its own, in the next file; points of one second stay in one.
+    ``read_plt_tracks`` gives them back in whole seconds.
+    """
+    ranged = points.withColumn("_second", F.date_trunc("second", "ts")).repartitionByRange("name", "_second")
+    ranged = ranged.withColumn("_part", F.spark_partition_id())
+    of_track = Window.partitionBy("_part", "name").orderBy("ts", "seq")
+    line = F.concat_ws(
+        ",", F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit("0"), F.coalesce(F.col("altitude").cast("string"), F.lit("-777")),
+        F.col("day_serial").cast("string"), F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss"),
+    )
+    name = F.coalesce(coded(F.col("name")), F.lit(NULL_MARK))
+    header = F.format_string("\n".join(PLT_HEADER), name)
+    begins = F.row_number().over(of_track) == 1
+    lines = ranged.withColumn("value", F.when(begins, F.concat_ws("\n", header, line)).otherwise(line))
+    lines.sortWithinPartitions("_part", "name", "ts", "seq").select("value").write.mode(mode).text(path)
+
+
 def append_table(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_rows: int = 10_000, writers: int = 16
 ) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from trackmill.functions.texts import NULL_MARK, decoded, split_on
 from trackmill.functions.times import timestamp_from
 from trackmill.schemas import CENSUS, EMPLOYEE_CSV, EMPLOYEE_JSON, IRIS, SALES, SALES_TEXT
-from trackmill.sinks.writers import CSV_OPTIONS
+from trackmill.sinks.writers import CSV_OPTIONS, PLT_NAME_LINE
 
 #: Read as null by the CSV reader. No written field is equal to it: null has its own mark.
 NOTHING = "\\-"
@@ -84,6 +84,21 @@ def read_written_tsv(spark: SparkSession, path, schema: StructType) -> DataFrame
     return typed(lines.select(*[fields[i].alias(f.name) for i, f in enumerate(schema)]), schema)
 
 
+def _plt_points(lines: DataFrame) -> DataFrame:
+    """The points among lines with ``traj_id``, ``name`` and ``seq``; header lines are told by their shape."""
+    points = lines.withColumn("f", split_on(F.col("value"), ",")).filter(F.size("f") == 7).select(
+        "traj_id",
+        "name",
+        "seq",
+        timestamp_from(F.col("f")[5], F.trim(F.col("f")[6])).alias("ts"),
+        F.col("f")[0].try_cast("double").alias("lat"),
+        F.col("f")[1].try_cast("double").alias("lon"),
+        F.col("f")[3].try_cast("double").alias("altitude"),
+        F.col("f")[4].try_cast("double").alias("day_serial"),
+    )
+    return points.dropna(subset=["ts", "lat", "lon"])
+
+
 def read_plt(spark: SparkSession, path) -> DataFrame:
     """Points of PLT files, one trajectory per file.
 
@@ -92,24 +107,43 @@ def read_plt(spark: SparkSession, path) -> DataFrame:
     told by their shape, so files may be split and many may be read at once. ``seq`` breaks
     ties between equal timestamps.
     """
-    fields = split_on(F.col("value"), ",")
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("traj_id"),
         F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1).alias("name"),
         F.monotonically_increasing_id().alias("seq"),
-        fields.alias("f"),
+        "value",
     )
-    points = lines.filter(F.size("f") == 7).select(
-        "traj_id",
-        "name",
-        "seq",
-        timestamp_from(F.col("f")[5], F.trim(F.col("f")[6])).alias("ts"),
-        F.col("f")[0].try_cast("double").alias("lat"),
-        F.col("f")[1].try_cast("double").alias("lon"),
-        F.col("f")[3].try_cast("double").alias("altitude"),
-        F.col("f")[4].try_cast("double").alias("day_serial"),
+    return _plt_points(lines)
+
+
+def read_plt_tracks(spark: SparkSession, path) -> DataFrame:
+    """Points of PLT files that hold many tracks each, as ``write_plt_tracks`` wrote them.
+
+    ``traj_id`` and ``name`` are the name in the nearest header above the point. Lines are
+    grouped by the block they were read in, whatever the size of the files and tracks; what a
+    block begins with is the last name of the blocks before it. ``seq`` counts up through a file.
+    """
+    name = F.regexp_extract("value", PLT_NAME_LINE, 1)
+    # In a struct, where null is an ordinary value; lines that name nothing have none.
+    header = F.struct(F.when(name != NULL_MARK, decoded(name)).alias("name"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"),
+        F.when(F.col("value").rlike(PLT_NAME_LINE), header).alias("header"),
+        "value",
     )
-    return points.dropna(subset=["ts", "lat", "lon"])
+    headed = F.when(F.col("header").isNotNull(), F.col("no"))
+    blocks = lines.groupBy("file", "block").agg(F.max_by("header", headed).alias("header"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select("file", "block", F.last("header", ignorenulls=True).over(earlier).alias("begins"))
+    of_block = Window.partitionBy("file", "block").orderBy("no")
+    # A line has a byte at least, so the place in its block never reaches the next block's start.
+    placed = lines.withColumns({"header": F.last("header", ignorenulls=True).over(of_block), "seq": F.col("block") + F.row_number().over(of_block)})
+    # One row per block: as many as the scan has splits, which the driver holds anyway.
+    placed = placed.join(F.broadcast(begins), ["file", "block"], "left")
+    track = F.coalesce("header", "begins")["name"]
+    return _plt_points(placed.select(track.alias("traj_id"), track.alias("name"), "seq", "value"))
 
 
 def number_lines(spark: SparkSession, path) -> DataFrame:
