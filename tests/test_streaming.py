@@ -1,14 +1,17 @@
+import time
 from datetime import timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import test_trajectory as tt
 from trackmill.operators.ordered import plain
 from trackmill.operators import trajectory as tr
 from trackmill.streaming.messages import pair_speeds, person_messages, show_console, start_append
-from trackmill.streaming.vehicles import catch_up, last_places, read_vehicle_speeds, with_previous
+from trackmill.streaming import vehicles
+from trackmill.streaming.vehicles import catch_up, last_places, read_vehicle_speeds, start_known_before, with_previous
 from trackmill.streaming.wordcount import REPORT_EVERY, current_counts, result_messages, split_words, start_word_counts
 
 
@@ -132,6 +135,33 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert {(r.seq, r.gap_s) for r in read_vehicle_speeds(spark, str(out)).collect()} == {(1, 0.0), (2, 4.0)}
 
 
+def test_state_takes_rows_in_any_session(spark, tmp_path):
+    """No pandas frames per vehicle; a session with another state store is left as it is."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    session, t = spark.newSession(), tt.START
+    session.conf.set(provider, other)
+    for i in range(2):
+        part = [(f"v{v}", t + timedelta(seconds=5 * i), v, 0.0, None if v == 3 else 0.0) for v in range(50)]
+        session.createDataFrame(part, tt.SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        catch_up(session.readStream.schema(tt.SCHEMA).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert sorted(r.gap_s for r in read_vehicle_speeds(session, str(tmp_path / "out")).collect()) == [0.0] * 50 + [5.0] * 50
+    assert session.conf.get(provider) == other
+    query = start_known_before(session, str(tmp_path / "out"), str(tmp_path / "again"), T.StringType())
+    query.awaitTermination()
+    assert "transformWithState" in query.lastProgress["stateOperators"][0]["operatorName"]
+
+
+def test_timer_lets_state_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vehicles, "ARRIVAL_DELAY", "0 seconds")
+    for v in ("a", "b", "c"):
+        spark.createDataFrame([(v, tt.START, 1, 0.0, 0.0)], tt.SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        catch_up(spark.readStream.schema(tt.SCHEMA).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), forget_after_s=0.5)
+        time.sleep(1)
+    held = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "cp" / "before"))
+    assert [r.key.key for r in held.collect()] == ["c"]
+
+
 def test_split_words(spark):
     df = spark.createDataFrame([("a  b ",), ("",), (None,)], "text string")
     assert rows(split_words(df, "text")) == [("a",), ("b",)]

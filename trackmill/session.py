@@ -7,6 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: State on disk, with what changed written for each batch.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 # Roots chosen here for local sessions that name no shared folder, per application; they go with the program.
 _local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 # The folder in use for each purpose, per application.
@@ -25,12 +31,7 @@ def build_session(app: str = "trackmill", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
-        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-        .config("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+        .config(map=STATE_STORE)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
@@ -40,6 +41,19 @@ def build_session(app: str = "trackmill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """The session, if it keeps stream state in RocksDB, or else a new one that does, so the caller's settings stay."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider) == STATE_STORE[provider]:
+        return spark
+    session = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(name, spark.conf.get(name))
+    for name, value in STATE_STORE.items():
+        session.conf.set(name, value)
+    return session
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or a temporary one in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)

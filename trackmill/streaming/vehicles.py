@@ -13,17 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from trackmill.functions.geo import haversine_m
 from trackmill.operators.ordered import MAX_ROWS_PER_TASK, order_window, plain
 from trackmill.operators.trajectory import KEY, ORDER, number_points
-from trackmill.session import make_dir
+from trackmill.session import make_dir, state_session
 
 #: How far apart batches may be seen from the order in which they arrived.
 ARRIVAL_DELAY = "1 minute"
@@ -31,6 +30,9 @@ POINT = (KEY, "ts", "seq", "lat", "lon")
 #: A point without its vehicle; times are microseconds.
 _PLACE = "us long, seq long, lat double, lon double"
 _PLACE_NAMES = ("us", "seq", "lat", "lon")
+_TOLD = Row("key", "batch_id", "known", *_PLACE_NAMES)
+#: A vehicle's state: its last place, batch and arrival, and the timer that lets it go.
+_HELD = f"{_PLACE}, batch_id long, arrived_ms long, timer_ms long"
 
 
 def _place():
@@ -38,6 +40,10 @@ def _place():
     return F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), F.col("seq").cast("long").alias("seq"), "lat", "lon")
 
 
+def _null_first(place: tuple) -> list[tuple]:
+    return [(value is not None, value) for value in place]
+
+
 def with_previous(batch: DataFrame, max_rows: int | None = MAX_ROWS_PER_TASK) -> DataFrame:
     """The points of a batch with ``previous``, the vehicle's point before it in the batch."""
     df = number_points(batch.select(*POINT), max_rows)
@@ -73,44 +79,66 @@ def start_batches(
     return writer.start()
 
 
+class _LastPlace(StatefulProcessor):
+    """Holds the last place of a vehicle, the batch that it came from and when that arrived, and tells what was held before."""
+
+    def __init__(self, wait_ms: int | None):
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", _HELD)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        held = first = self.last.get()
+        told = []
+        for row in sorted(rows, key=lambda r: r.batch_id):
+            if held and row.batch_id <= held[4]:
+                continue
+            if held and self.wait_ms is not None and row.arrived_ms - held[5] >= self.wait_ms:
+                held = None
+            told.append(_TOLD(*key, row.batch_id, held is not None, *(held[:4] if held else (0, 0, 0.0, 0.0))))
+            place = tuple(row[c] for c in _PLACE_NAMES)
+            held = (*max(place, held[:4] if held else place, key=_null_first), row.batch_id, row.arrived_ms, None)
+        if told:
+            self.last.update(self._timed(held, first, timerValues))
+        yield from told
+
+    def _timed(self, held: tuple, before: tuple | None, timer_values: TimerValues) -> tuple:
+        """What is held, with a timer in place of the one before."""
+        if self.wait_ms is None:
+            return held
+        if before and before[6] is not None:
+            self.handle.deleteTimer(before[6])
+        at = max(held[5], timer_values.getCurrentWatermarkInMs()) + self.wait_ms
+        self.handle.registerTimer(at)
+        return (*held[:6], at)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def known_before(ends: DataFrame, forget_after_s: float | None = None) -> DataFrame:
-    """For each batch and vehicle the point ``before`` it, null for a vehicle not known; works on streams.
+    """For each batch and vehicle the point ``before`` it, null for a vehicle not known; for streams.
 
     The state of a vehicle is one point and the batch that it came from, so that a batch that is seen again
     changes nothing. It goes when the vehicle has sent nothing for ``forget_after_s`` seconds,
     by the times at which batches ``arrived`` and whatever the clocks of its points say; its
-    next point is a first one again. The timer follows a watermark of these times.
+    next point is a first one again. The timer follows a watermark of these times. The session
+    keeps its state in RocksDB (``session.state_session``). A vehicle's rows reach its state as
+    they are: frames of pandas, one for every vehicle and batch, would take most of the time.
     """
     wait_ms = None if forget_after_s is None else max(1, int(forget_after_s * 1000))
-
-    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = state.get if state.exists else None
-        columns = ["batch_id", "arrived_ms", *_PLACE_NAMES]
-        rows = sorted(row for frame in frames for row in zip(*(frame[c].tolist() for c in columns), strict=True))
-        out = []
-        for batch_id, now, *place in rows:
-            if held and batch_id <= held[4]:
-                continue
-            if held and wait_ms is not None and now - held[5] >= wait_ms:
-                held = None
-            out.append((*key, batch_id, held is not None, *(held[:4] if held else (0, 0, 0.0, 0.0))))
-            held = (*max(tuple(place), held[:4] if held else tuple(place)), batch_id, now)
-        state.update(held)
-        if wait_ms is not None:
-            state.setTimeoutTimestamp(max(held[5], state.getCurrentWatermarkMs()) + wait_ms)
-        if out:
-            yield pd.DataFrame(out, columns=["key", "batch_id", "known", *_PLACE_NAMES])
-
     kind = ends.schema[KEY].dataType.simpleString()
-    timeout = GroupStateTimeout.NoTimeout if wait_ms is None else GroupStateTimeout.EventTimeTimeout
     flat = ends.select(F.col(KEY).alias("key"), F.col("batch_id").cast("long").alias("batch_id"), "arrived", F.unix_millis("arrived").alias("arrived_ms"), "last.*")
     if wait_ms is not None:
         flat = flat.withWatermark("arrived", ARRIVAL_DELAY)
-    told = flat.groupBy("key").applyInPandasWithState(
-        advance, f"key {kind}, batch_id long, known boolean, {_PLACE}", f"{_PLACE}, batch_id long, arrived long", "append", timeout
+    told = flat.groupBy("key").transformWithState(
+        _LastPlace(wait_ms), f"key {kind}, batch_id long, known boolean, {_PLACE}", "append", "none" if wait_ms is None else "eventTime"
     )
     before = F.when(F.col("known"), F.struct(*_PLACE_NAMES)).alias("before")
     return told.select(F.col("key").alias(KEY), "batch_id", before)
@@ -120,6 +148,7 @@ def start_known_before(
     spark: SparkSession, path: str, checkpoint: str, key_type: T.DataType, every: str | None = None, forget_after_s: float | None = None
 ) -> StreamingQuery:
     """Follow ``path/ends`` and write what was known before each batch to ``path/before``."""
+    spark = state_session(spark)
     place = T.StructType([T.StructField(n, k) for n, k in zip(_PLACE_NAMES, (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()), strict=True)])
     schema = T.StructType([T.StructField(KEY, key_type), T.StructField("last", place), T.StructField("arrived", T.TimestampType()), T.StructField("batch_id", T.LongType())])
     before = known_before(spark.readStream.schema(schema).parquet(f"{path}/ends"), forget_after_s)
